@@ -19,18 +19,17 @@ def regression_metrics(df: DataFrame, label: str = "label", prediction: str = "p
 
     Same definitions as Spark's ``RegressionMetrics`` with label and
     prediction in their named roles (the reference swapped them, Q9):
-    r2 = 1 - SS_err / SS_tot, explained variance = mean((prediction - mean label)^2).
-    The label mean enters as a scalar subquery, one value.
+    r2 = 1 - SS_err / SS_tot, explained variance = mean((prediction - mean label)^2),
+    taken in the same single pass as var_pop(prediction) + (mean prediction - mean label)^2.
     """
     err = col(label) - col(prediction)
-    mean_label = df.select(F.avg(label)).scalar()
     return df.agg(
         F.count(F.lit(1)).alias("n"),
         F.avg(err * err).alias("mse"),
         F.sqrt(F.avg(err * err)).alias("rmse"),
         (F.lit(1.0) - F.sum(err * err) / (F.count(F.lit(1)) * F.var_pop(label))).alias("r2"),
         F.avg(F.abs(err)).alias("mae"),
-        F.avg(F.pow(col(prediction) - mean_label, 2)).alias("explained_variance"),
+        (F.var_pop(prediction) + F.pow(F.avg(prediction) - F.avg(label), 2)).alias("explained_variance"),
     )
 
 
