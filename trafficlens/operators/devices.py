@@ -13,13 +13,24 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import MOBILE, WEB, col, device, non_negative, seconds_between
+from ..functions.columns import MOBILE, MOBILE_MARKER, WEB, col, device, non_negative, seconds_between
 
 
 def with_device(hits: DataFrame, user_agent: str = "user_agent", out: str = "device") -> DataFrame:
     return hits.withColumn(out, device(user_agent))
 
 
+def only_device(hits: DataFrame, which: str, user_agent: str = "user_agent") -> DataFrame:
+    """Hits of one class (F3 / F4) by the plain substring predicate, which
+    reaches the parquet reader as ``StringContains`` (or its negation)."""
+    has = col(user_agent).contains(MOBILE_MARKER)
+    if which == MOBILE:
+        return hits.where(has)
+    if which == WEB:
+        return hits.where(~has)
+    raise ValueError(f"device must be {MOBILE!r} or {WEB!r}")
+
+
 def device_counts(hits: DataFrame, user_agent: str = "user_agent") -> DataFrame:
     """Hits per device class, the null-agent class included."""
     return hits.groupBy(device(user_agent).alias("device")).agg(F.count(F.lit(1)).alias("hits"))
