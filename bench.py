@@ -47,7 +47,7 @@ def main() -> None:
         "load_features_second": lambda: L.moving_average(
             L.add_lags(L.add_next(L.load_features(hits, "second", ["DELETE", "GET", "POST"])))
         ),
-        "user_features": lambda: D.user_features(S.sessionize(hits)),
+        "user_features": lambda: D.user_features(hits),
         "corr_matrix_hourly": lambda: ST.corr_matrix(
             L.add_lags(L.load_features(hits, "hour", ["GET"])).withColumn("ct_url", L.F.col("ct_url").cast("double")),
             ["ct_url"] + [f"lag_{k}" for k in range(1, 7)],

@@ -25,7 +25,7 @@ def test_window_strategy_uses_one_exchange(spark):
 def test_no_python_in_plans(spark):
     hits = fx.hits(spark, SF01)
     for df in (S.session_table(S.sessionize(hits)), L.load_features(hits, "hour", ["GET"]),
-               D.user_features(S.sessionize(hits)),
+               D.user_features(hits),
                logs.parse_access_log(fx.log_lines(spark, SF01))):
         plan = _plan(df)
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan and "PythonUDF" not in plan

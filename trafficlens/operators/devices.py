@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import MOBILE, MOBILE_MARKER, WEB, col, device, non_negative, seconds_between
+from .sessions import DEFAULT_GAP_SECS, sessionize
 
 
 def with_device(hits: DataFrame, user_agent: str = "user_agent", out: str = "device") -> DataFrame:
@@ -85,14 +86,28 @@ def traffic_features(hits: DataFrame, user: str = "cl_ip", url: str = "url") ->
     )
 
 
-def user_features(session_hits: DataFrame, user: str = "cl_ip", ts: str = "date_time", url: str = "url") -> DataFrame:
+def user_features(
+    hits: DataFrame,
+    user: str = "cl_ip",
+    ts: str = "date_time",
+    url: str = "url",
+    gap_secs: int = DEFAULT_GAP_SECS,
+    session_hits: DataFrame | None = None,
+) -> DataFrame:
     """``device, user, session_secs, avg_rqpt, avg_recb, ct_url``.
 
-    Both sides are aggregated on (device, user) and joined on those keys,
-    so the join's inputs are already partitioned alike.
+    Session lengths come from the sessionised hits (pass ``session_hits`` if
+    they exist already); the traffic half needs no session ids, so it reads the
+    plain hits (the same rows: those with a user and a time) instead of
+    running the sessioniser a second time. Both halves are aggregated on
+    (device, user) and joined on those keys, so the join's inputs arrive
+    partitioned alike.
     """
+    if session_hits is None:
+        session_hits = sessionize(hits, user=user, ts=ts, gap_secs=gap_secs)
     times = device_session_time(session_hits, user, ts)
-    traffic = traffic_features(session_hits, user, url)
+    usable = hits.where(col(user).isNotNull() & col(ts).isNotNull())
+    traffic = traffic_features(usable, user, url)
     return times.join(traffic, ["device", user], "inner")
 
 

@@ -81,7 +81,7 @@ def _model_frame(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _user_features(spark: SparkSession, sf: str) -> DataFrame:
-    return D.user_features(_session_hits(spark, sf))
+    return D.user_features(_hits(spark, sf), gap_secs=GAP)
 
 
 # ---- sources -------------------------------------------------------------------
