@@ -90,8 +90,8 @@ def test_url_split(spark):
     assert got == [("/a", None), ("/a", "x=1"), ("/a", "x=1")]
 
 
-LINE = ('2015-07-22T09:00:28.019143Z marketpalce-shop 123.242.248.130:54635 {backend} 0.000022 {bt} 0.00002 '
-        '200 200 0 699 "GET https://paytm.com:443/shop/authresponse?code=f2405b HTTP/1.1" "{agent}" '
+LINE = ('2015-07-22T09:00:28.019143Z shop-lb 203.0.113.7:54635 {backend} 0.000022 {bt} 0.00002 '
+        '200 200 0 699 "GET https://shop.example.com:443/cart/checkout?code=f2405b HTTP/1.1" "{agent}" '
         'ECDHE-RSA-AES128-GCM-SHA256 TLSv1.2')
 
 
@@ -110,9 +110,9 @@ def test_parse_modes(spark):
     assert [lenient[i].is_valid for i in range(5)] == [True, True, True, False, True]
     assert [strict[i].is_valid for i in range(5)] == [True, False, False, False, True]
     r = lenient[0]
-    assert (r.cl_ip, r.cl_port, r.bck_ip, r.bck_port) == ("123.242.248.130", "54635", "10.0.6.158", "80")
+    assert (r.cl_ip, r.cl_port, r.bck_ip, r.bck_port) == ("203.0.113.7", "54635", "10.0.6.158", "80")
     assert r.date_time == dt.datetime(2015, 7, 22, 9, 0, 28, 19143)
-    assert (r.request_type, r.url, r.get_params) == ("GET", "https://paytm.com:443/shop/authresponse", "code=f2405b")
+    assert (r.request_type, r.url, r.get_params) == ("GET", "https://shop.example.com:443/cart/checkout", "code=f2405b")
     assert r.backend_processing_time == pytest.approx(0.026109) and r.received_bytes == 0 and r.sent_bytes == 699
     assert (lenient[1].bck_ip, lenient[1].bck_port, lenient[1].backend_processing_time) == (None, None, -1.0)
     assert lenient[3].cl_ip is None and lenient[3].date_time is None

@@ -188,6 +188,7 @@ ORACLE: dict[str, str] = {
     ),
     "session_spans": _with_sessions(GAP_6H, "SELECT cl_ip, session_id, session_secs, hits FROM st"),
     "session_length": _with_sessions(GAP, "SELECT cl_ip, session_id, session_secs, hits FROM st"),
+    "session_log_cut": _with_sessions(GAP, "SELECT cl_ip, session_id, session_secs, hits FROM st"),
     "session_length_6h": _with_sessions(GAP_6H, "SELECT cl_ip, session_id, session_secs, hits FROM st"),
     "avg_session_length": _with_sessions(
         GAP, f"SELECT {_r('avg(session_secs)')} AS avg_session_secs, count(*) AS sessions FROM st"

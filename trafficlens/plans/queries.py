@@ -22,7 +22,7 @@ from ..operators import stats as ST
 from ..runtime import scratch_path
 from ..sources import fixtures as fx
 from ..sources import logs
-from ..sources.tables import read_table, write_table
+from ..sources.tables import materialize, read_table, write_table
 
 GAP = 900
 GAP_6H = 21_600
@@ -145,6 +145,13 @@ def q_session_length(spark, sf):
     return _sessions(spark, sf, GAP).select("cl_ip", "session_id", "session_secs", "hits")
 
 
+def q_session_log_cut(spark, sf):
+    """The reference writes the session log and reads it back before the
+    session questions (S7); here the cut lands in the shared checkpoint folder."""
+    cut = materialize(_session_hits(spark, sf, GAP), how="table", name="session-log")
+    return S.session_table(cut).select("cl_ip", "session_id", "session_secs", "hits")
+
+
 def q_session_length_6h(spark, sf):
     return _sessions(spark, sf, GAP_6H).select("cl_ip", "session_id", "session_secs", "hits")
 
@@ -327,6 +334,14 @@ def q_cluster_interval(spark, sf):
     return rounded(out.select("device", "cl_ip", "prediction", "session_secs", "lo", "hi"))
 
 
+def q_session_prediction(spark, sf):
+    """Per session: the first hit's device picks the model, the user's cluster
+    in it gives the session-length range."""
+    intervals = M.cluster_interval(_clustered(spark, sf), "session_secs")
+    firsts = D.first_hit_device(_session_hits(spark, sf, GAP))
+    return rounded(D.session_intervals(firsts, intervals).select("cl_ip", "session_id", "device", "lo", "hi"))
+
+
 def q_model_roundtrip(spark, sf):
     df = _model_frame(spark, sf)
     model = M.fit_linear(df.where(col("split") == "train"))
@@ -358,6 +373,7 @@ QUERIES: dict[str, Query] = {
     "session_window_table": q_session_window_table,
     "session_spans": q_session_spans,
     "session_length": q_session_length,
+    "session_log_cut": q_session_log_cut,
     "session_length_6h": q_session_length_6h,
     "avg_session_length": q_avg_session_length,
     "urls_per_session": q_urls_per_session,
@@ -391,5 +407,6 @@ QUERIES: dict[str, Query] = {
     "kmeans_users": q_kmeans_users,
     "kmeans_sweep": q_kmeans_sweep,
     "cluster_interval": q_cluster_interval,
+    "session_prediction": q_session_prediction,
     "model_roundtrip": q_model_roundtrip,
 }
