@@ -225,6 +225,17 @@ ORACLE: dict[str, str] = {
     "next_load": _with_features(
         f"SELECT bucket, ct_url, {_NEXT} AS next_load, CAST(coalesce({_NEXT}, 0) AS DOUBLE) AS label FROM lf"
     ),
+    "next_load_dense": _with_features(
+        ",\ngrid AS (SELECT unnest(generate_series(min(bucket), max(bucket), INTERVAL 1 MINUTE)) AS bucket "
+        "FROM lf GROUP BY CAST(bucket AS DATE)),\n"
+        "d AS (SELECT g.bucket, coalesce(lf.ct_url, 0) AS ct_url, coalesce(lf.\"GET\", 0) AS \"GET\", "
+        "coalesce(lf.\"POST\", 0) AS \"POST\", CAST(hour(g.bucket) AS INTEGER) AS hour "
+        "FROM grid AS g LEFT JOIN lf ON g.bucket = lf.bucket)\n"
+        "SELECT bucket, ct_url, \"GET\", \"POST\", hour, "
+        "lead(ct_url) OVER (PARTITION BY CAST(bucket AS DATE) ORDER BY bucket) AS next_load FROM d",
+        unit="minute",
+        methods=("GET", "POST"),
+    ).replace("\n,\ngrid", ",\ngrid", 1),
     "load_lags": _with_features("SELECT bucket, ct_url, " + _LAG_COLS + " FROM lf"),
     "moving_average": f"WITH {HITS},\n{_features_cte()},\n{_LAGS_CTE}\n"
     f"SELECT bucket, CAST(ct_url AS BIGINT) AS ct_url, "

@@ -191,6 +191,12 @@ def q_next_load(spark, sf):
     return L.label(nxt, fill=0).select("bucket", "ct_url", "next_load", "label")
 
 
+def q_next_load_dense(spark, sf):
+    minute = L.load_features(_hits(spark, sf), unit="minute", methods=["GET", "POST"])
+    dense = L.add_next(L.densify(minute, unit="minute"))
+    return dense.select("bucket", "ct_url", "GET", "POST", "hour", "next_load")
+
+
 def q_load_lags(spark, sf):
     return L.add_lags(_features(spark, sf), n=LAGS).select(
         "bucket", "ct_url", *[f"lag_{k}" for k in range(1, LAGS + 1)]
@@ -384,6 +390,7 @@ QUERIES: dict[str, Query] = {
     "load_features": q_load_features,
     "load_features_minute": q_load_features_minute,
     "next_load": q_next_load,
+    "next_load_dense": q_next_load_dense,
     "load_lags": q_load_lags,
     "moving_average": q_moving_average,
     "time_cut": q_time_cut,
