@@ -66,6 +66,11 @@ def seconds_between(later: ColumnOrName, earlier: ColumnOrName) -> Column:
     return epoch_seconds(later) - epoch_seconds(earlier)
 
 
+def ntz_from_epoch(seconds: ColumnOrName) -> Column:
+    """``timestamp_ntz`` wall clock for whole epoch seconds, independent of the session zone."""
+    return F.timestamp_add("SECOND", col(seconds), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+
+
 def non_negative(c: ColumnOrName) -> Column:
     """``-1`` marks a missing processing time; averages treat it as null."""
     return F.when(col(c) >= 0, col(c))

@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import col, epoch_seconds, seconds_between
+from ..functions.columns import col, epoch_seconds, ntz_from_epoch, seconds_between
 
 DEFAULT_GAP_SECS = 15 * 60
 DEFAULT_CHUNK_SECS = 86_400
@@ -179,9 +179,7 @@ def session_windows(
     Output: ``user, session_start, session_secs, hits``.
     """
     df = _drop_unusable(hits, user, ts)
-    secs = session_seconds(df, user, ts).withColumn(
-        "_sec_ts", F.timestamp_seconds(col("_sec")).cast("timestamp_ntz")
-    )
+    secs = session_seconds(df, user, ts).withColumn("_sec_ts", ntz_from_epoch("_sec"))
     win = F.session_window(col("_sec_ts"), f"{gap_secs - 1} seconds")
     agg = secs.groupBy(user, win.alias("_w")).agg(
         F.min("_sec").alias("_s0"), F.max("_sec").alias("_s1"), F.sum("_hits").alias("hits")

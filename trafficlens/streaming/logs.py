@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.columns import col, epoch_seconds
+from ..functions.columns import col, epoch_seconds, ntz_from_epoch
 from ..operators.sessions import DEFAULT_GAP_SECS
 from ..runtime import scratch_path
 from ..sources.logs import parse_access_log, transform_log
@@ -71,10 +71,9 @@ def session_table_stream(
     agg = timed.groupBy(user, F.session_window("_sec_ts", f"{gap_secs - 1} seconds").alias("_w")).agg(
         F.min("_sec").alias("_s0"), F.max("_sec").alias("_s1"), F.count(F.lit(1)).alias("hits")
     )
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     return agg.select(
         user,
-        F.timestamp_add("SECOND", col("_s0"), epoch).alias("session_start"),
+        ntz_from_epoch("_s0").alias("session_start"),
         (col("_s1") - col("_s0")).alias("session_secs"),
         "hits",
     )
