@@ -100,6 +100,16 @@ def test_cluster_interval_and_stats(spark):
     assert [r.prediction for r in stats] == [0, 1] and stats[1].sd == pytest.approx(sd)
 
 
+def test_cluster_interval_keeps_models_apart(spark):
+    df = spark.createDataFrame(
+        [("mobile", 0, 1.0), ("mobile", 0, 3.0), ("web", 0, 10.0), ("web", 0, 30.0)],
+        "device string, prediction int, v double",
+    )
+    out = {(r.device, r.v): (r.lo, r.hi) for r in M.cluster_interval(df, "v", ["device", "prediction"]).collect()}
+    assert out[("mobile", 1.0)] == pytest.approx((1.0, 3.0))
+    assert out[("web", 30.0)] == pytest.approx((10.0, 30.0))
+
+
 def test_model_roundtrip(spark, labelled, tmp_path):
     model = M.fit_linear(labelled)
     path = M.save_model(model, str(tmp_path / "lr"))

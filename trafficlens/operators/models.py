@@ -156,17 +156,19 @@ def cluster_stats(clustered: DataFrame, value: str, cluster: str = "prediction")
     return group_mean_sd(clustered, cluster, value)
 
 
-def cluster_interval(clustered: DataFrame, value: str, cluster: str = "prediction") -> DataFrame:
+def cluster_interval(clustered: DataFrame, value: str, cluster: str | Sequence[str] = "prediction") -> DataFrame:
     """Each row plus ``lo, hi`` = its cluster's mean -/+ population sd.
 
-    The statistics table has one row per cluster (k rows), so it is
-    broadcast: its size is bounded by k, not by the data.
+    ``cluster`` names the key; when tables scored by several models are
+    stacked (one per device), pass e.g. ``["device", "prediction"]``. The
+    statistics table has one row per key; no broadcast is forced, since the key
+    is the caller's choice: for model clusters (k rows) AQE measures the small
+    side at run time and turns the join into a broadcast itself.
     """
-    stats = clustered.groupBy(cluster).agg(
-        F.avg(value).alias("_mean"), F.stddev_pop(value).alias("_sd")
-    )
+    keys = [cluster] if isinstance(cluster, str) else list(cluster)
+    stats = clustered.groupBy(*keys).agg(F.avg(value).alias("_mean"), F.stddev_pop(value).alias("_sd"))
     return (
-        clustered.join(F.broadcast(stats), cluster)
+        clustered.join(stats, keys)
         .withColumn("lo", col("_mean") - col("_sd"))
         .withColumn("hi", col("_mean") + col("_sd"))
         .drop("_mean", "_sd")

@@ -76,7 +76,7 @@ def _labelled(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _model_frame(spark: SparkSession, sf: str) -> DataFrame:
-    df = M.assemble(_labelled(spark, sf), L.FEATURE_COLUMNS)
+    df = M.assemble(L.fill_zero(_labelled(spark, sf), L.FEATURE_COLUMNS), L.FEATURE_COLUMNS)
     return ST.hash_split(df.withColumn("_key", epoch_seconds("bucket")), "_key")
 
 
@@ -336,14 +336,14 @@ def q_kmeans_sweep(spark, sf):
 
 
 def q_cluster_interval(spark, sf):
-    out = M.cluster_interval(_clustered(spark, sf), "session_secs")
+    out = M.cluster_interval(_clustered(spark, sf), "session_secs", cluster=["device", "prediction"])
     return rounded(out.select("device", "cl_ip", "prediction", "session_secs", "lo", "hi"))
 
 
 def q_session_prediction(spark, sf):
     """Per session: the first hit's device picks the model, the user's cluster
     in it gives the session-length range."""
-    intervals = M.cluster_interval(_clustered(spark, sf), "session_secs")
+    intervals = M.cluster_interval(_clustered(spark, sf), "session_secs", cluster=["device", "prediction"])
     firsts = D.first_hit_device(_session_hits(spark, sf, GAP))
     return rounded(D.session_intervals(firsts, intervals).select("cl_ip", "session_id", "device", "lo", "hi"))
 
