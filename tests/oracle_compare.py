@@ -74,7 +74,12 @@ def main(argv: list[str]) -> int:
 
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     keys = argv[1:] or list(ORACLE)
-    spark = local_session(8)
+    if os.environ.get("TL_PLAIN_SESSION"):
+        from pyspark.sql import SparkSession
+
+        spark = SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").getOrCreate()
+    else:
+        spark = local_session(8)
     if os.environ.get("TL_SESSION_TZ"):
         spark.conf.set("spark.sql.session.timeZone", os.environ["TL_SESSION_TZ"])
     con = duck(sf_dir)
