@@ -41,3 +41,19 @@ def test_time_cut_by_literal_and_by_interval_agree(spark):
     lit = (latest.replace(minute=0) - __import__("datetime").timedelta(hours=6)).strftime("%Y-%m-%d %H:%M:%S")
     by_cutoff = L.time_cut(f, cutoff=lit).where("is_holdout").count()
     assert by_last == by_cutoff == 7
+
+
+def test_metrics_equal_spark_regression_metrics(spark):
+    from pyspark.mllib.evaluation import RegressionMetrics
+
+    from trafficlens.operators import stats as ST
+
+    ma = L.moving_average(Q._features(spark, SF01)).withColumn("ct_url", F.col("ct_url").cast("double"))
+    ours = ST.regression_metrics(ma, label="ct_url", prediction="autoregressive_value").first()
+    # the RDD class takes (prediction, observation) pairs
+    ref = RegressionMetrics(ma.select("autoregressive_value", "ct_url").rdd.map(tuple))
+    assert abs(ours.mse - ref.meanSquaredError) < 1e-9 * max(1.0, ref.meanSquaredError)
+    assert abs(ours.rmse - ref.rootMeanSquaredError) < 1e-9 * max(1.0, ref.rootMeanSquaredError)
+    assert abs(ours.mae - ref.meanAbsoluteError) < 1e-9 * max(1.0, ref.meanAbsoluteError)
+    assert abs(ours.r2 - ref.r2) < 1e-9
+    assert abs(ours.explained_variance - ref.explainedVariance) < 1e-9 * max(1.0, ref.explainedVariance)

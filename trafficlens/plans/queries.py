@@ -335,6 +335,18 @@ def q_kmeans_sweep(spark, sf):
     return sweeps[0].unionByName(sweeps[1])
 
 
+def q_cluster_stats_kmeans(spark, sf):
+    """Mean and sd of session length and distinct URLs per real cluster of each device's model."""
+    clustered = _clustered(spark, sf).withColumn("cluster", F.concat_ws(":", "device", col("prediction").cast("string")))
+    secs = ST.group_mean_sd(clustered, "cluster", "session_secs").select(
+        "cluster", col("mean").alias("mean_session_secs"), col("sd").alias("sd_session_secs"), "n"
+    )
+    urls = ST.group_mean_sd(clustered, "cluster", "ct_url").select(
+        "cluster", col("mean").alias("mean_ct_url"), col("sd").alias("sd_ct_url")
+    )
+    return rounded(secs.join(urls, "cluster").orderBy("cluster"))
+
+
 def q_cluster_interval(spark, sf):
     out = M.cluster_interval(_clustered(spark, sf), "session_secs", cluster=["device", "prediction"])
     return rounded(out.select("device", "cl_ip", "prediction", "session_secs", "lo", "hi"))
@@ -413,6 +425,7 @@ QUERIES: dict[str, Query] = {
     "tree_fit": q_tree_fit,
     "kmeans_users": q_kmeans_users,
     "kmeans_sweep": q_kmeans_sweep,
+    "cluster_stats_kmeans": q_cluster_stats_kmeans,
     "cluster_interval": q_cluster_interval,
     "session_prediction": q_session_prediction,
     "model_roundtrip": q_model_roundtrip,
