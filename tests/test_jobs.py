@@ -27,3 +27,14 @@ def test_four_jobs_end_to_end(spark):
     assert spark.read.parquet(u["kmeans_sweep"]).count() == 4
     preds = spark.read.parquet(u["session_predictions"])
     assert preds.count() == spark.read.parquet(s["sessions"]).count() - preds.where(F.lit(False)).count()
+
+
+def test_users_job_standardized(spark):
+    out = tempfile.mkdtemp(prefix="tl-jobs-std-")
+    lines = fx.log_text_path(spark, SF001)
+    p = jobs.parse_job(spark, lines, f"{out}/parse")
+    s = jobs.sessions_job(spark, p["hits"], f"{out}/sessions")
+    u = jobs.users_job(spark, s["session_log"], f"{out}/users", k={"mobile": 2, "web": 2},
+                       sweep={"mobile": [2], "web": [2]}, standardize=True)
+    stats = spark.read.parquet(u["cluster_stats"]).collect()
+    assert {r.device for r in stats} == {"mobile", "web"} and sum(r.users for r in stats) > 0

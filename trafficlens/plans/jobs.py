@@ -126,9 +126,14 @@ def users_job(
     mode: str = "errorifexists",
     k: dict | None = None,
     sweep: dict | None = None,
+    standardize: bool = False,
 ) -> dict:
     """Per-device user features, k-means per device with a k sweep, cluster
-    statistics and per-session predicted ranges chosen by the first hit's device."""
+    statistics and per-session predicted ranges chosen by the first hit's device.
+
+    ``standardize=True`` scales the features to unit variance per device
+    before clustering (the reference clusters raw values).
+    """
     k = k or {MOBILE: 6, WEB: 7}
     sweep = sweep or {MOBILE: range(4, 12), WEB: range(4, 11)}
     session_hits = read_table(spark, session_log_path)
@@ -139,6 +144,8 @@ def users_job(
     scored, sweeps = [], []
     for dev in (MOBILE, WEB):
         part = feats.where(col("device") == dev)
+        if standardize:
+            part = M.standardize(part).drop("features").withColumnRenamed("scaled", "features")
         model = M.fit_kmeans(part, k[dev])
         paths[f"kmeans_{dev}"] = M.save_model(model, _out(out, f"kmeans_{dev}"))
         scored.append(M.score(model, part))
