@@ -15,7 +15,6 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import columns as C
 from ..functions.columns import col
 
 # The 15 field names in log order, and the two line patterns.
@@ -42,15 +41,6 @@ _SEP = "\u0001"
 _DOUBLE_FIELDS = ("request_processing_time", "backend_processing_time", "response_processing_time")
 _LONG_FIELDS = ("received_bytes", "sent_bytes")
 
-HITS_FIELDS = [
-    "date_time", "elb", "cl_ip", "cl_port", "bck_ip", "bck_port",
-    "request_processing_time", "backend_processing_time", "response_processing_time",
-    "elb_status_code", "backend_status_code", "received_bytes", "sent_bytes",
-    "request_type", "request_url", "url", "get_params",
-    "user_agent", "ssl_cipher", "ssl_protocol",
-]
-
-
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Text line scan of a file, directory or glob (S1) -> ``value string``."""
     return spark.read.text(path)
@@ -77,11 +67,13 @@ def parse_access_log(
     replacement = _SEP.join(f"${i}" for i in range(1, len(RAW_FIELDS) + 1))
     text = col(col_name)
     rewritten = F.regexp_replace(text, _line_regex(mode), replacement)
-    staged = lines.select(
+    # the rewrite is its own column, referenced twice below: Catalyst keeps it
+    # as one evaluation instead of inlining the regex into both uses
+    rewritten_once = lines.select(*keep, text.alias("_line"), rewritten.alias("_rw"))
+    staged = rewritten_once.select(
         *keep,
-        text.alias("_line"),
-        F.split(rewritten, _SEP).alias("_f"),
-        (rewritten != text).alias("is_valid"),
+        F.split(col("_rw"), _SEP).alias("_f"),
+        (col("_rw") != col("_line")).alias("is_valid"),
     )
     fields = []
     for i, name in enumerate(RAW_FIELDS):
@@ -105,24 +97,36 @@ def transform_log(raw: DataFrame, mode: str = "lenient") -> DataFrame:
     """Raw fields -> hits columns: endpoints split, request split, URL split, time typed.
 
     In lenient mode a backend of ``-`` (no backend reached) gives null ip and
-    port; strict mode keeps the reference's split (ip ``-``, port null).
+    port; strict mode keeps the reference's split (ip ``-``, port null). Each
+    field is split once into an array column and the parts are read from it.
     """
     backend = col("backend_port")
     if mode == "lenient":
         backend = F.when(backend != "-", backend)
-    target = C.request_target("request")
     others = [c for c in raw.columns if c not in {"timestamp", "client_port", "backend_port", "request"}]
-    return raw.select(
+    arrays = raw.select(
         *others,
-        C.endpoint_ip("client_port").alias("cl_ip"),
-        C.endpoint_port("client_port").alias("cl_port"),
-        C.endpoint_ip(backend).alias("bck_ip"),
-        C.endpoint_port(backend).alias("bck_port"),
+        F.split(col("client_port"), ":").alias("_client"),
+        F.split(backend, ":").alias("_backend"),
+        F.split(col("request"), " ").alias("_request"),
         col("timestamp").try_cast("timestamp_ntz").alias("date_time"),
-        C.request_method("request").alias("request_type"),
-        target.alias("request_url"),
-        C.url_path(target).alias("url"),
-        C.url_query(target).alias("get_params"),
+    )
+    with_target = arrays.select(
+        *others, "_client", "_backend", "date_time",
+        F.get(col("_request"), F.lit(0)).alias("request_type"),
+        F.get(col("_request"), F.lit(1)).alias("request_url"),
+    ).withColumn("_url", F.split(col("request_url"), r"\?"))
+    return with_target.select(
+        *others,
+        F.get(col("_client"), F.lit(0)).alias("cl_ip"),
+        F.get(col("_client"), F.lit(1)).alias("cl_port"),
+        F.get(col("_backend"), F.lit(0)).alias("bck_ip"),
+        F.get(col("_backend"), F.lit(1)).alias("bck_port"),
+        "date_time",
+        "request_type",
+        "request_url",
+        F.get(col("_url"), F.lit(0)).alias("url"),
+        F.get(col("_url"), F.lit(1)).alias("get_params"),
     )
 
 
