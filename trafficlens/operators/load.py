@@ -50,9 +50,12 @@ def load_features(
     ts: str = "date_time",
     method: str = "request_type",
 ) -> DataFrame:
-    """One row per bucket that has hits: ``bucket``, five means, ``ct_url``
-    (distinct URLs), ``quarter``, ``day_quarter``, ``hour``, ``day_week`` and one
-    hit count per request type (0 when absent).
+    """One row per bucket that has hits: ``bucket``, its calendar ``day``, five
+    means, ``ct_url`` (distinct URLs), ``quarter``, ``day_quarter``, ``hour``,
+    ``day_week`` and one hit count per request type (0 when absent).
+
+    The ``day`` column is the partition key of the next/lag windows; carrying
+    it as a column lets chained windows share one shuffle.
 
     Processing times of ``-1`` (no backend) are left out of the means.
     ``methods=None`` looks the types up first, as a value-less pivot does.
@@ -73,6 +76,7 @@ def load_features(
     )
     return agg.select(
         "bucket",
+        col("bucket").cast("date").alias("day"),
         "avg_rqpt", "avg_bckpt", "avg_respt", "avg_recb", "avg_sentb", "ct_url",
         F.quarter("bucket").alias("quarter"),
         day_quarter("bucket").alias("day_quarter"),
@@ -82,7 +86,7 @@ def load_features(
     )
 
 
-_CALENDAR = ("quarter", "day_quarter", "hour", "day_week")
+_CALENDAR = ("day", "quarter", "day_quarter", "hour", "day_week")
 
 
 def densify(features: DataFrame, unit: str = "second", ts: str = "bucket") -> DataFrame:
@@ -103,6 +107,7 @@ def densify(features: DataFrame, unit: str = "second", ts: str = "bucket") -> Da
     counts = [f.name for f in values.schema.fields if f.name != ts and f.dataType.typeName() == "long"]
     filled = joined.na.fill(0, subset=counts)
     calendar = {
+        "day": col(ts).cast("date"),
         "quarter": F.quarter(ts),
         "day_quarter": day_quarter(ts),
         "hour": F.hour(ts),
@@ -111,13 +116,21 @@ def densify(features: DataFrame, unit: str = "second", ts: str = "bucket") -> Da
     return filled.withColumns({k: v for k, v in calendar.items() if k in features.columns})
 
 
-def _day_window(ts: str = "bucket") -> Window:
-    return Window.partitionBy(col(ts).cast("date")).orderBy(ts)
+def _by_day(features: DataFrame, ts: str, make):
+    """Apply window columns partitioned by the calendar day of ``ts``.
+
+    Uses the table's ``day`` column when there is one (so windows chained on a
+    ``load_features`` table reuse one partitioning), else adds it for the call.
+    """
+    added = "day" not in features.columns
+    df = features.withColumn("day", col(ts).cast("date")) if added else features
+    out = make(df, Window.partitionBy("day").orderBy(ts))
+    return out.drop("day") if added else out
 
 
 def add_next(features: DataFrame, value: str = "ct_url", ts: str = "bucket", out: str = "next_load") -> DataFrame:
     """Next present bucket's value within the same day (W4); null on the last bucket of a day."""
-    return features.withColumn(out, F.lead(value, 1).over(_day_window(ts)))
+    return _by_day(features, ts, lambda df, w: df.withColumn(out, F.lead(value, 1).over(w)))
 
 
 def label(features: DataFrame, source: str = "next_load", fill: float | None = None, out: str = "label") -> DataFrame:
@@ -136,9 +149,10 @@ def fill_zero(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def add_lags(features: DataFrame, value: str = "ct_url", n: int = 6, ts: str = "bucket") -> DataFrame:
     """``lag_1 .. lag_n`` of ``value`` as double, 0 where the day has no earlier bucket."""
-    w = _day_window(ts)
-    return features.withColumns(
-        {f"lag_{k}": F.lag(value, k, 0).over(w).cast("double") for k in range(1, n + 1)}
+    return _by_day(
+        features,
+        ts,
+        lambda df, w: df.withColumns({f"lag_{k}": F.lag(value, k, 0).over(w).cast("double") for k in range(1, n + 1)}),
     )
 
 
@@ -150,9 +164,12 @@ def moving_average(
     One frame sum over ``n`` preceding rows divided by ``n`` (not ``avg`` over
     the frame, which would divide by fewer rows at the start of a day).
     """
-    frame = _day_window(ts).rowsBetween(-n, -1)
-    total = F.coalesce(F.sum(col(value).cast("double")).over(frame), F.lit(0.0))
-    return features.withColumn(out, total / F.lit(float(n)))
+
+    def make(df, w):
+        total = F.coalesce(F.sum(col(value).cast("double")).over(w.rowsBetween(-n, -1)), F.lit(0.0))
+        return df.withColumn(out, total / F.lit(float(n)))
+
+    return _by_day(features, ts, make)
 
 
 def time_cut(

@@ -62,7 +62,7 @@ def _features_cte(unit: str = "hour", methods=("DELETE", "GET", "POST")) -> str:
     count(DISTINCT url) AS ct_url{counts}
   FROM hits WHERE date_time IS NOT NULL GROUP BY 1),
 lf AS (
-  SELECT *, CAST(quarter(bucket) AS INTEGER) AS quarter, CAST(floor(hour(bucket) / 6) AS INTEGER) AS day_quarter,
+  SELECT *, CAST(bucket AS DATE) AS day, CAST(quarter(bucket) AS INTEGER) AS quarter, CAST(floor(hour(bucket) / 6) AS INTEGER) AS day_quarter,
     CAST(hour(bucket) AS INTEGER) AS hour, dayname(bucket) AS day_week
   FROM lf0)"""
 
@@ -213,12 +213,12 @@ ORACLE: dict[str, str] = {
     "load_features": _with_features(
         "SELECT bucket, "
         + ", ".join(_r(c) + f" AS {c}" for c in ["avg_rqpt", "avg_bckpt", "avg_respt", "avg_recb", "avg_sentb"])
-        + ', ct_url, quarter, day_quarter, hour, day_week, "DELETE", "GET", "POST" FROM lf'
+        + ', ct_url, day, quarter, day_quarter, hour, day_week, "DELETE", "GET", "POST" FROM lf'
     ),
     "load_features_minute": _with_features(
         "SELECT bucket, "
         + ", ".join(_r(c) + f" AS {c}" for c in ["avg_rqpt", "avg_bckpt", "avg_respt", "avg_recb", "avg_sentb"])
-        + ', ct_url, quarter, day_quarter, hour, day_week, "GET", "POST" FROM lf',
+        + ', ct_url, day, quarter, day_quarter, hour, day_week, "GET", "POST" FROM lf',
         unit="minute",
         methods=("GET", "POST"),
     ),
