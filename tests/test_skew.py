@@ -56,3 +56,23 @@ def test_user_features_on_skew(skewed):
     uf = D.user_features(skewed, gap_secs=3600)
     hot = uf.where(F.col("cl_ip") == HOT_IP).collect()
     assert {r.device for r in hot} == {"mobile", "web"}
+
+
+def test_clustered_write_splits_the_hot_key(spark, skewed, tmp_path):
+    """``write_table(cluster_by=...)`` uses REBALANCE: AQE splits the hot key's partition."""
+    import glob
+
+    from trafficlens.sources.tables import read_table, write_table
+
+    src = str(tmp_path / "src")
+    skewed.repartition(16).write.parquet(src)
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16k")
+    try:
+        out = write_table(read_table(spark, src), str(tmp_path / "out"), cluster_by=["cl_ip"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    files = glob.glob(f"{out}/*.parquet")
+    hot_files = [f for f in files if spark.read.parquet(f).where(F.col("cl_ip") == HOT_IP).limit(1).count()]
+    assert len(hot_files) > 1
+    assert read_table(spark, out).count() == skewed.count()
