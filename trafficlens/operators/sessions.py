@@ -131,8 +131,8 @@ def sessionize(
 ) -> DataFrame:
     """Hits with non-null user and time, plus ``prev_ts``, ``is_new_session`` (int)
     and ``session_id`` (bigint, from 1 per user)."""
-    if gap_secs <= 0:
-        raise ValueError("gap_secs must be positive")
+    if gap_secs <= 0 or chunk_secs <= 0:
+        raise ValueError("gap_secs and chunk_secs must be positive")
     df = _drop_unusable(hits, user, ts)
     if strategy == "window":
         return _sessionize_window(df, user, ts, gap_secs)
@@ -178,6 +178,8 @@ def session_windows(
     per-user sort is bounded by the seconds a user was seen in, not by hits.
     Output: ``user, session_start, session_secs, hits``.
     """
+    if gap_secs < 2:
+        raise ValueError("session_windows needs gap_secs >= 2 (its window gap is gap_secs - 1)")
     df = _drop_unusable(hits, user, ts)
     secs = session_seconds(df, user, ts).withColumn("_sec_ts", ntz_from_epoch("_sec"))
     win = F.session_window(col("_sec_ts"), f"{gap_secs - 1} seconds")
