@@ -76,3 +76,10 @@ def test_clustered_write_splits_the_hot_key(spark, skewed, tmp_path):
     hot_files = [f for f in files if spark.read.parquet(f).where(F.col("cl_ip") == HOT_IP).limit(1).count()]
     assert len(hot_files) > 1
     assert read_table(spark, out).count() == skewed.count()
+
+
+def test_user_features_accepts_a_session_log(skewed):
+    sh = S.sessionize(skewed, gap_secs=3600)
+    a = D.user_features(sh)
+    b = D.user_features(skewed, gap_secs=3600)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
