@@ -96,19 +96,18 @@ def user_features(
 ) -> DataFrame:
     """``device, user, session_secs, avg_rqpt, avg_recb, ct_url``.
 
-    Session lengths come from the sessionised hits (pass ``session_hits`` if
-    they exist already, or pass a session log itself as ``hits``: a table with
-    a ``session_id`` column is used as is); the traffic half needs no session
-    ids, so it reads the plain hits (the same rows: those with a user and a
-    time) instead of running the sessioniser a second time. Both halves are
-    aggregated on (device, user) and joined on those keys, so the join's
-    inputs arrive partitioned alike.
+    Session lengths come from the sessionised hits: pass ``session_hits`` if
+    they exist already (then ``gap_secs`` is not used), else ``hits`` are
+    sessionised here. The traffic half needs no session ids, so it reads the
+    plain hits (the same rows: those with a user and a time) instead of
+    running the sessioniser a second time. Both halves are aggregated on
+    (device, user) and joined on those keys, so the join's inputs arrive
+    partitioned alike.
     """
     if session_hits is None:
         if "session_id" in hits.columns:
-            session_hits = hits
-        else:
-            session_hits = sessionize(hits, user=user, ts=ts, gap_secs=gap_secs)
+            raise ValueError("hits already carry session ids: pass that table as session_hits=")
+        session_hits = sessionize(hits, user=user, ts=ts, gap_secs=gap_secs)
     times = device_session_time(session_hits, user, ts)
     usable = hits.where(col(user).isNotNull() & col(ts).isNotNull())
     traffic = traffic_features(usable, user, url)
