@@ -86,16 +86,26 @@ def load_features(
     )
 
 
+def ensure_methods(features: DataFrame, methods: Sequence[str]) -> DataFrame:
+    """Add a 0 count column for each request type the data did not have."""
+    missing = {m: F.lit(0).cast("bigint") for m in methods if m not in features.columns}
+    return features.withColumns(missing) if missing else features
+
+
 _CALENDAR = ("day", "quarter", "day_quarter", "hour", "day_week")
 
 
-def densify(features: DataFrame, unit: str = "second", ts: str = "bucket") -> DataFrame:
+def densify(
+    features: DataFrame, unit: str = "second", ts: str = "bucket", counts: Sequence[str] | None = None
+) -> DataFrame:
     """Add the missing buckets between the first and last bucket of each day
     (the ``fill_gaps`` option of Q6), so "next" and "lag" mean the next and
     previous bucket in time rather than the next one present.
 
-    Counts (``ct_url`` and the request-type columns) are 0 in the gaps, means
-    stay null, calendar attributes are recomputed. The grid is built per day
+    Counts are 0 in the gaps (``counts``; by default ``ct_url`` and the
+    request-type columns, i.e. the bigint columns of ``load_features``), every
+    other column is null there, calendar attributes are recomputed. Apply it
+    before ``add_next`` / ``add_lags``. The grid is built per day
     with ``sequence`` (at most one day of buckets per row) and joined on the
     bucket; both sides grow with the time span, so it is a shuffle join.
     """
@@ -104,8 +114,12 @@ def densify(features: DataFrame, unit: str = "second", ts: str = "bucket") -> Da
     grid = days.select(F.explode(F.sequence("_lo", "_hi", step)).alias(ts))
     values = features.drop(*[c for c in _CALENDAR if c in features.columns])
     joined = grid.join(values, ts, "left")
-    counts = [f.name for f in values.schema.fields if f.name != ts and f.dataType.typeName() == "long"]
-    filled = joined.na.fill(0, subset=counts)
+    if counts is None:
+        counts = [
+            f.name for f in values.schema.fields
+            if f.name != ts and f.dataType.typeName() == "long" and f.name != "next_load"
+        ]
+    filled = joined.na.fill(0, subset=list(counts))
     calendar = {
         "day": col(ts).cast("date"),
         "quarter": F.quarter(ts),
@@ -119,13 +133,15 @@ def densify(features: DataFrame, unit: str = "second", ts: str = "bucket") -> Da
 def _by_day(features: DataFrame, ts: str, make):
     """Apply window columns partitioned by the calendar day of ``ts``.
 
-    Uses the table's ``day`` column when there is one (so windows chained on a
-    ``load_features`` table reuse one partitioning), else adds it for the call.
+    Uses the ``day`` column of a ``load_features`` table (a date column next to
+    ``bucket``), so windows chained on it reuse one partitioning; otherwise the
+    day is derived from ``ts`` for the call.
     """
-    added = "day" not in features.columns
-    df = features.withColumn("day", col(ts).cast("date")) if added else features
-    out = make(df, Window.partitionBy("day").orderBy(ts))
-    return out.drop("day") if added else out
+    types = dict(features.dtypes)
+    if ts == "bucket" and types.get("day") == "date":
+        return make(features, Window.partitionBy("day").orderBy(ts))
+    keyed = features.withColumn("_day", col(ts).cast("date"))
+    return make(keyed, Window.partitionBy("_day").orderBy(ts)).drop("_day")
 
 
 def add_next(features: DataFrame, value: str = "ct_url", ts: str = "bucket", out: str = "next_load") -> DataFrame:

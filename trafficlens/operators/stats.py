@@ -21,13 +21,16 @@ def regression_metrics(df: DataFrame, label: str = "label", prediction: str = "p
     prediction in their named roles (the reference swapped them, Q9):
     r2 = 1 - SS_err / SS_tot, explained variance = mean((prediction - mean label)^2),
     taken in the same single pass as var_pop(prediction) + (mean prediction - mean label)^2.
+    Rows missing either value are left out of every figure; r2 is null when
+    the label is constant (no variance to explain).
     """
     err = col(label) - col(prediction)
-    return df.agg(
+    both = df.where(col(label).isNotNull() & col(prediction).isNotNull())
+    return both.agg(
         F.count(F.lit(1)).alias("n"),
         F.avg(err * err).alias("mse"),
         F.sqrt(F.avg(err * err)).alias("rmse"),
-        (F.lit(1.0) - F.sum(err * err) / (F.count(F.lit(1)) * F.var_pop(label))).alias("r2"),
+        (F.lit(1.0) - F.try_divide(F.sum(err * err), F.count(F.lit(1)) * F.var_pop(label))).alias("r2"),
         F.avg(F.abs(err)).alias("mae"),
         (F.var_pop(prediction) + F.pow(F.avg(prediction) - F.avg(label), 2)).alias("explained_variance"),
     )

@@ -31,13 +31,15 @@ HITS = (
 )
 
 
-def _sessions_ctes(gap: int) -> str:
-    """``sh``: hits with prev_ts, is_new_session, session_id; ``st``: the session table."""
+def _sessions_ctes(gap: int, where: str = "") -> str:
+    """``sh``: hits with prev_ts, is_new_session, session_id; ``st``: the session table.
+    ``where`` adds a condition on the hits that are sessionised."""
+    extra = f" AND {where}" if where else ""
     return f"""{HITS},
 flagged AS (
   SELECT *, CASE WHEN {_es('date_time')} - {_es('prev_ts')} < {gap} THEN 0 ELSE 1 END AS is_new_session
   FROM (SELECT *, lag(date_time) OVER (PARTITION BY cl_ip ORDER BY date_time) AS prev_ts
-        FROM hits WHERE cl_ip IS NOT NULL AND date_time IS NOT NULL) AS x),
+        FROM hits WHERE cl_ip IS NOT NULL AND date_time IS NOT NULL{extra}) AS x),
 sh AS (
   SELECT *, CAST(sum(is_new_session) OVER (PARTITION BY cl_ip ORDER BY date_time) AS BIGINT) AS session_id
   FROM flagged),
@@ -47,8 +49,10 @@ st AS (
   FROM sh GROUP BY cl_ip, session_id)"""
 
 
-def _with_sessions(gap: int, body: str) -> str:
-    return f"WITH {_sessions_ctes(gap)}\n{body}"
+def _with_sessions(gap: int, body: str, ctes: tuple[str, ...] = (), where: str = "") -> str:
+    """``body`` over the session CTEs, plus further named CTEs."""
+    more = "".join(f",\n{c}" for c in ctes)
+    return f"WITH {_sessions_ctes(gap, where)}{more}\n{body}"
 
 
 def _features_cte(unit: str = "hour", methods=("DELETE", "GET", "POST")) -> str:
@@ -67,8 +71,10 @@ lf AS (
   FROM lf0)"""
 
 
-def _with_features(body: str, unit: str = "hour", methods=("DELETE", "GET", "POST")) -> str:
-    return f"WITH {HITS},\n{_features_cte(unit, methods)}\n{body}"
+def _with_features(body: str, unit: str = "hour", methods=("DELETE", "GET", "POST"), ctes: tuple[str, ...] = ()) -> str:
+    """``body`` over the load-feature CTEs, plus further named CTEs."""
+    more = "".join(f",\n{c}" for c in ctes)
+    return f"WITH {HITS},\n{_features_cte(unit, methods)}{more}\n{body}"
 
 
 _LAG_COLS = ", ".join(
@@ -134,25 +140,16 @@ def _hash_mod(expr: str, n: int) -> str:
     return f"(('0x' || substr(md5(CAST({expr} AS VARCHAR)), 1, 8))::BIGINT % {n})"
 
 
-_USER_FEATURES = """uf AS (
-  SELECT t.device, t.cl_ip, t.session_secs, f.avg_rqpt, f.avg_recb, f.ct_url
-  FROM (SELECT device, cl_ip, avg(secs) AS session_secs FROM (
-          SELECT device, cl_ip, session_id, {es_max} - {es_min} AS secs
-          FROM (SELECT *, {dev} AS device FROM sh) AS d WHERE device IS NOT NULL
-          GROUP BY device, cl_ip, session_id) AS s
-        GROUP BY device, cl_ip) AS t
-  JOIN (SELECT device, cl_ip,
+_DEVICE = "CASE WHEN contains(user_agent, 'Mobi') THEN 'mobile' WHEN NOT contains(user_agent, 'Mobi') THEN 'web' END"
+
+_USER_FEATURES = f"""uf AS (
+  SELECT dt.device, dt.cl_ip, dt.session_secs, f.avg_rqpt, f.avg_recb, f.ct_url
+  FROM dt JOIN (SELECT device, cl_ip,
           avg(CASE WHEN request_processing_time >= 0 THEN request_processing_time END) AS avg_rqpt,
           avg(received_bytes) AS avg_recb, count(DISTINCT url) AS ct_url
-        FROM (SELECT *, {dev} AS device FROM sh) AS d WHERE device IS NOT NULL
+        FROM (SELECT *, {_DEVICE} AS device FROM sh) AS d WHERE device IS NOT NULL
         GROUP BY device, cl_ip) AS f
-  USING (device, cl_ip))"""
-
-_DEVICE = "CASE WHEN contains(user_agent, 'Mobi') THEN 'mobile' WHEN NOT contains(user_agent, 'Mobi') THEN 'web' END"
-
-
-def _user_features_cte() -> str:
-    return _USER_FEATURES.format(es_max=_es("max(date_time)"), es_min=_es("min(date_time)"), dev=_DEVICE)
+  ON dt.device = f.device AND dt.cl_ip = f.cl_ip)"""
 
 
 def _device_time_cte() -> str:
@@ -209,7 +206,8 @@ ORACLE: dict[str, str] = {
         GAP,
         f"SELECT cl_ip, {_r('avg(session_secs)')} AS avg_session_secs, count(*) AS sessions FROM st "
         "GROUP BY cl_ip ORDER BY avg(session_secs) DESC, cl_ip LIMIT 100",
-    ).replace("FROM hits WHERE cl_ip IS NOT NULL", "FROM hits WHERE event_id % 101 <> 0 AND cl_ip IS NOT NULL", 1),
+        where="event_id % 101 <> 0",  # the garbage lines never parse
+    ),
     "load_features": _with_features(
         "SELECT bucket, "
         + ", ".join(_r(c) + f" AS {c}" for c in ["avg_rqpt", "avg_bckpt", "avg_respt", "avg_recb", "avg_sentb"])
@@ -226,16 +224,18 @@ ORACLE: dict[str, str] = {
         f"SELECT bucket, ct_url, {_NEXT} AS next_load, CAST(coalesce({_NEXT}, 0) AS DOUBLE) AS label FROM lf"
     ),
     "next_load_dense": _with_features(
-        ",\ngrid AS (SELECT unnest(generate_series(min(bucket), max(bucket), INTERVAL 1 MINUTE)) AS bucket "
-        "FROM lf GROUP BY CAST(bucket AS DATE)),\n"
-        "d AS (SELECT g.bucket, coalesce(lf.ct_url, 0) AS ct_url, coalesce(lf.\"GET\", 0) AS \"GET\", "
-        "coalesce(lf.\"POST\", 0) AS \"POST\", CAST(hour(g.bucket) AS INTEGER) AS hour "
-        "FROM grid AS g LEFT JOIN lf ON g.bucket = lf.bucket)\n"
         "SELECT bucket, ct_url, \"GET\", \"POST\", hour, "
         "lead(ct_url) OVER (PARTITION BY CAST(bucket AS DATE) ORDER BY bucket) AS next_load FROM d",
         unit="minute",
         methods=("GET", "POST"),
-    ).replace("\n,\ngrid", ",\ngrid", 1),
+        ctes=(
+            "grid AS (SELECT unnest(generate_series(min(bucket), max(bucket), INTERVAL 1 MINUTE)) AS bucket "
+            "FROM lf GROUP BY CAST(bucket AS DATE))",
+            "d AS (SELECT g.bucket, coalesce(lf.ct_url, 0) AS ct_url, coalesce(lf.\"GET\", 0) AS \"GET\", "
+            "coalesce(lf.\"POST\", 0) AS \"POST\", CAST(hour(g.bucket) AS INTEGER) AS hour "
+            "FROM grid AS g LEFT JOIN lf ON g.bucket = lf.bucket)",
+        ),
+    ),
     "load_lags": _with_features("SELECT bucket, ct_url, " + _LAG_COLS + " FROM lf"),
     "moving_average": f"WITH {HITS},\n{_features_cte()},\n{_LAGS_CTE}\n"
     f"SELECT bucket, CAST(ct_url AS BIGINT) AS ct_url, "
@@ -245,20 +245,21 @@ ORACLE: dict[str, str] = {
     ),
     "device_counts": f"WITH {HITS}\nSELECT {_DEVICE} AS device, count(*) AS hits FROM hits GROUP BY 1",
     "device_session_time": _with_sessions(
-        GAP_6H, f",\n{_device_time_cte()}\nSELECT device, cl_ip, {_r('session_secs')} AS session_secs FROM dt"
-    ).replace("\n,\n", ",\n", 1),
+        GAP_6H, f"SELECT device, cl_ip, {_r('session_secs')} AS session_secs FROM dt", ctes=(_device_time_cte(),)
+    ),
     "device_gap": _with_sessions(
         GAP_6H,
-        f",\n{_device_time_cte()}\n"
         f"SELECT m.cl_ip, {_r('m.session_secs')} AS sess_time_mob, {_r('w.session_secs')} AS sess_time_web, "
         f"{_r('m.session_secs - w.session_secs')} AS diff "
         "FROM dt AS m JOIN dt AS w ON m.cl_ip = w.cl_ip AND m.device = 'mobile' AND w.device = 'web'",
-    ).replace("\n,\n", ",\n", 1),
+        ctes=(_device_time_cte(),),
+    ),
     "user_features": _with_sessions(
         GAP,
-        f",\n{_user_features_cte()}\nSELECT device, cl_ip, {_r('session_secs')} AS session_secs, "
+        f"SELECT device, cl_ip, {_r('session_secs')} AS session_secs, "
         f"{_r('avg_rqpt')} AS avg_rqpt, {_r('avg_recb')} AS avg_recb, ct_url FROM uf",
-    ).replace("\n,\n", ",\n", 1),
+        ctes=(_device_time_cte(), _USER_FEATURES),
+    ),
     "first_hit_device": _with_sessions(
         GAP_6H,
         f"SELECT cl_ip, session_id, first_device FROM (SELECT cl_ip, session_id, {_DEVICE} AS first_device, "
@@ -282,8 +283,8 @@ ORACLE: dict[str, str] = {
     + _metrics("ct_url", "autoregressive_value", "ma"),
     "cluster_stats": _with_sessions(
         GAP,
-        f",\n{_user_features_cte()}\n"
         f"SELECT CAST({_hash_mod('cl_ip', 4)} AS INTEGER) AS grp, {_r('avg(session_secs)')} AS mean, "
         f"{_r('stddev_pop(session_secs)')} AS sd, count(*) AS n FROM uf GROUP BY 1",
-    ).replace("\n,\n", ",\n", 1),
+        ctes=(_device_time_cte(), _USER_FEATURES),
+    ),
 }

@@ -66,13 +66,17 @@ def _sessions(spark: SparkSession, sf: str, gap: int = GAP) -> DataFrame:
     return S.session_table(_session_hits(spark, sf, gap))
 
 
+METHODS = ["DELETE", "GET", "POST"]
+
+
 def _features(spark: SparkSession, sf: str) -> DataFrame:
-    return L.load_features(_hits(spark, sf), unit="hour")
+    """Hourly load features with the request types named (no discovery job)."""
+    return L.load_features(_hits(spark, sf), unit="hour", methods=METHODS)
 
 
 def _labelled(spark: SparkSession, sf: str) -> DataFrame:
     """Hourly features with the next hour's load as label; rows without one dropped."""
-    return L.label(L.add_next(_features(spark, sf)))
+    return L.ensure_methods(L.label(L.add_next(_features(spark, sf))), L.FEATURE_COLUMNS[-2:])
 
 
 def _model_frame(spark: SparkSession, sf: str) -> DataFrame:
@@ -179,7 +183,8 @@ def q_top_users(spark, sf):
 # ---- load features -------------------------------------------------------------
 
 def q_load_features(spark, sf):
-    return rounded(_features(spark, sf))
+    # request types looked up from the data, as a value-less pivot does
+    return rounded(L.load_features(_hits(spark, sf), unit="hour"))
 
 
 def q_load_features_minute(spark, sf):

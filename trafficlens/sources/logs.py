@@ -66,18 +66,24 @@ def parse_access_log(
     """
     replacement = _SEP.join(f"${i}" for i in range(1, len(RAW_FIELDS) + 1))
     text = col(col_name)
-    rewritten = F.regexp_replace(text, _line_regex(mode), replacement)
+    regex = _line_regex(mode)
+    rewritten = F.regexp_replace(text, regex, replacement)
     # the rewrite is its own column, referenced twice below: Catalyst keeps it
     # as one evaluation instead of inlining the regex into both uses
     rewritten_once = lines.select(*keep, text.alias("_line"), rewritten.alias("_rw"))
     staged = rewritten_once.select(
         *keep,
+        "_line",
         F.split(col("_rw"), _SEP).alias("_f"),
         (col("_rw") != col("_line")).alias("is_valid"),
     )
+    # a field holding the separator itself would shift the split; such rare
+    # lines take their groups from regexp_extract instead (evaluated only then)
+    clean = F.size(col("_f")) == F.lit(len(RAW_FIELDS))
     fields = []
     for i, name in enumerate(RAW_FIELDS):
-        v = F.when(col("is_valid"), F.get(col("_f"), F.lit(i)))
+        part = F.when(clean, F.get(col("_f"), F.lit(i))).otherwise(F.regexp_extract(col("_line"), regex, i + 1))
+        v = F.when(col("is_valid"), part)
         if name in _DOUBLE_FIELDS:
             v = v.try_cast("double")
         elif name in _LONG_FIELDS:
