@@ -38,3 +38,16 @@ def test_users_job_standardized(spark):
                        sweep={"mobile": [2], "web": [2]}, standardize=True)
     stats = spark.read.parquet(u["cluster_stats"]).collect()
     assert {r.device for r in stats} == {"mobile", "web"} and sum(r.users for r in stats) > 0
+
+
+def test_users_job_with_one_device_class_only(spark):
+    from pyspark.sql import functions as F
+
+    from trafficlens.operators import sessions as S
+
+    out = tempfile.mkdtemp(prefix="tl-jobs-web-")
+    hits = fx.hits(spark, SF001).where(~F.col("user_agent").contains("Mobi"))
+    S.sessionize(hits).write.parquet(f"{out}/log")
+    u = jobs.users_job(spark, f"{out}/log", f"{out}/users", k={"web": 2}, sweep={"web": [2]})
+    assert "kmeans_mobile" not in u and "kmeans_web" in u
+    assert {r.device for r in spark.read.parquet(u["cluster_stats"]).collect()} == {"web"}

@@ -175,9 +175,10 @@ def cluster_interval(clustered: DataFrame, value: str, cluster: str | Sequence[s
     )
 
 
-def save_model(model: Model, path: str) -> str:
-    """Persist a fitted model (S10); overwrite an older one at the path."""
-    model.write().overwrite().save(path)
+def save_model(model: Model, path: str, overwrite: bool = True) -> str:
+    """Persist a fitted model (S10). With ``overwrite=False`` an existing path is an error."""
+    writer = model.write()
+    (writer.overwrite() if overwrite else writer).save(path)
     return path
 
 

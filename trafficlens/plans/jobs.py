@@ -35,14 +35,26 @@ def _out(base: str, name: str) -> str:
     return f"{base.rstrip('/')}/{name}"
 
 
-def parse_job(spark: SparkSession, lines_path: str, out: str, mode: str = "errorifexists", parse_mode: str = "lenient") -> dict:
-    """Raw log text -> typed hits table; unmatched lines kept aside."""
-    lines = logs.read_lines(spark, lines_path)
-    hits = logs.transform_log(logs.parse_access_log(lines, mode=parse_mode), mode=parse_mode)
-    paths = {
-        "hits": write_table(hits.where("is_valid").drop("is_valid"), _out(out, "hits"), mode),
-        "rejects": write_table(logs.rejects(lines, mode=parse_mode), _out(out, "rejects"), mode),
-    }
+def parse_job(
+    spark: SparkSession,
+    lines_path: str,
+    out: str,
+    mode: str = "errorifexists",
+    parse_mode: str = "lenient",
+    write_rejects: bool = True,
+) -> dict:
+    """Raw log text -> typed hits table; unmatched lines kept aside.
+
+    Hits and rejects are two halves of one parsed frame (``is_valid``), so
+    they agree by construction; each output is one scan of the text. Skip
+    the rejects with ``write_rejects=False`` to scan once.
+    """
+    parsed = logs.transform_log(
+        logs.parse_access_log(logs.read_lines(spark, lines_path), mode=parse_mode, keep=["value"]), mode=parse_mode
+    )
+    paths = {"hits": write_table(parsed.where("is_valid").drop("is_valid", "value"), _out(out, "hits"), mode)}
+    if write_rejects:
+        paths["rejects"] = write_table(parsed.where(~col("is_valid")).select("value"), _out(out, "rejects"), mode)
     return paths
 
 
@@ -114,7 +126,7 @@ def load_job(
         ST.corr_with(L.label(feats), LOAD_FEATURES, "label"), _out(out, "feature_correlation"), mode
     )
     for name, model in (("linear", linear), ("linear_cv", cv), ("tree", tree)):
-        paths[f"model_{name}"] = M.save_model(model, _out(out, f"model_{name}"))
+        paths[f"model_{name}"] = M.save_model(model, _out(out, f"model_{name}"), overwrite=mode == "overwrite")
     data.unpersist()
     return paths
 
@@ -134,36 +146,55 @@ def users_job(
     ``standardize=True`` scales the features to unit variance per device
     before clustering (the reference clusters raw values).
     """
-    k = k or {MOBILE: 6, WEB: 7}
-    sweep = sweep or {MOBILE: range(4, 12), WEB: range(4, 11)}
+    k = {MOBILE: 6, WEB: 7, **(k or {})}
+    sweep = {MOBILE: range(4, 12), WEB: range(4, 11), **(sweep or {})}
     session_hits = read_table(spark, session_log_path)
     hits = session_hits.drop("prev_ts", "is_new_session", "session_id")
-    feats = cache(M.assemble(D.user_features(hits, session_hits=session_hits), USER_FEATURES))
+    # a user whose every request time is -1 has no mean time: counted as 0, as the load job does (P20)
+    users = L.fill_zero(D.user_features(hits, session_hits=session_hits), USER_FEATURES)
+    feats = cache(M.assemble(users, USER_FEATURES))
     paths = {"device_counts": write_table(D.device_counts(hits), _out(out, "device_counts"), mode)}
     paths["device_gap"] = write_table(D.device_gap(session_hits), _out(out, "device_gap"), mode)
     scored, sweeps = [], []
     for dev in (MOBILE, WEB):
         part = feats.where(col("device") == dev)
+        if part.isEmpty():  # no traffic of this class: no model for it
+            continue
         if standardize:
             part = M.standardize(part).drop("features").withColumnRenamed("scaled", "features")
         model = M.fit_kmeans(part, k[dev])
-        paths[f"kmeans_{dev}"] = M.save_model(model, _out(out, f"kmeans_{dev}"))
+        paths[f"kmeans_{dev}"] = M.save_model(model, _out(out, f"kmeans_{dev}"), overwrite=mode == "overwrite")
         scored.append(M.score(model, part))
         sweeps.append(M.kmeans_sweep(part, sweep[dev]).select(F.lit(dev).alias("device"), "k", "wssse"))
-    clustered = scored[0].unionByName(scored[1]).drop("features")
-    intervals = M.cluster_interval(clustered, "session_secs", cluster=["device", "prediction"])
-    paths["kmeans_sweep"] = write_table(sweeps[0].unionByName(sweeps[1]), _out(out, "kmeans_sweep"), mode)
-    paths["clusters"] = write_table(intervals, _out(out, "clusters"), mode)
-    stats = clustered.groupBy("device", "prediction").agg(
+    if not scored:
+        feats.unpersist()
+        return paths
+    clustered = scored[0] if len(scored) == 1 else scored[0].unionByName(scored[1])
+    clustered = clustered.drop("features")
+    keys = ["device", "prediction"]
+    stats = clustered.groupBy(*keys).agg(
         F.avg("session_secs").alias("mean_session_secs"),
         F.stddev_pop("session_secs").alias("sd_session_secs"),
         F.avg("ct_url").alias("mean_ct_url"),
         F.stddev_pop("ct_url").alias("sd_ct_url"),
         F.count(F.lit(1)).alias("users"),
-    ).orderBy("device", "prediction")
-    paths["cluster_stats"] = write_table(stats, _out(out, "cluster_stats"), mode)
-    predictions = D.session_intervals(D.first_hit_device(session_hits, tie_break=()), intervals)
-    paths["session_predictions"] = write_table(predictions, _out(out, "session_predictions"), mode)
+    )
+    # one statistics table: the cluster summary and each user's interval (M15) come from it
+    intervals = clustered.join(
+        stats.select(
+            *keys,
+            (col("mean_session_secs") - col("sd_session_secs")).alias("lo"),
+            (col("mean_session_secs") + col("sd_session_secs")).alias("hi"),
+        ),
+        keys,
+    )
+    all_sweeps = sweeps[0] if len(sweeps) == 1 else sweeps[0].unionByName(sweeps[1])
+    paths["kmeans_sweep"] = write_table(all_sweeps, _out(out, "kmeans_sweep"), mode)
+    paths["clusters"] = write_table(intervals, _out(out, "clusters"), mode)
+    paths["cluster_stats"] = write_table(stats.orderBy(*keys), _out(out, "cluster_stats"), mode)
+    # ties at a session's first instant are broken by the agent text, so the choice is stable
+    firsts = D.first_hit_device(session_hits, tie_break=("user_agent",))
+    paths["session_predictions"] = write_table(D.session_intervals(firsts, intervals), _out(out, "session_predictions"), mode)
     feats.unpersist()
     return paths
 

@@ -318,7 +318,7 @@ def q_tree_fit(spark, sf):
 
 
 def _clustered(spark, sf) -> DataFrame:
-    feats = M.assemble(_user_features(spark, sf), USER_FEATURES)
+    feats = M.assemble(L.fill_zero(_user_features(spark, sf), USER_FEATURES), USER_FEATURES)
     parts = []
     for dev, k in KMEANS_K.items():
         part = feats.where(col("device") == dev)
@@ -332,7 +332,7 @@ def q_kmeans_users(spark, sf):
 
 
 def q_kmeans_sweep(spark, sf):
-    feats = M.assemble(_user_features(spark, sf), USER_FEATURES)
+    feats = M.assemble(L.fill_zero(_user_features(spark, sf), USER_FEATURES), USER_FEATURES)
     sweeps = [
         M.kmeans_sweep(feats.where(col("device") == dev), ks).select(F.lit(dev).alias("device"), "k", "wssse")
         for dev, ks in KMEANS_SWEEP.items()

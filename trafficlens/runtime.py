@@ -35,8 +35,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and materialised tables.
 
     Uses the directory the cluster names in ``spark.checkpoint.dir`` (or one
-    already set on the context). Only when neither exists, as in local tests,
-    a fresh local folder is created and registered.
+    already set on the context). Only when neither exists and the master is
+    local, as in tests, a fresh local folder is created and registered; on a
+    cluster that is an error, since executors could not share it.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -44,6 +45,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir")
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         configured = tempfile.mkdtemp(prefix="trafficlens-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

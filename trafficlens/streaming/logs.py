@@ -16,12 +16,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.columns import col, epoch_seconds, ntz_from_epoch
 from ..operators.sessions import DEFAULT_GAP_SECS
-from ..runtime import scratch_path
 from ..sources.logs import parse_access_log, transform_log
 
 
 def read_log_stream(spark: SparkSession, source_dir: str, mode: str = "lenient", max_files: int | None = None) -> DataFrame:
-    """New text files in ``source_dir`` -> parsed hits, as a streaming DataFrame."""
+    """New text files in ``source_dir`` -> parsed lines (with ``is_valid``), as a streaming DataFrame."""
     reader = spark.readStream.format("text")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
@@ -36,12 +35,18 @@ def ingest(
     mode: str = "lenient",
     available_now: bool = True,
 ) -> StreamingQuery:
-    """Parse every new log file into the parquet hits table (append)."""
-    hits = read_log_stream(spark, source_dir, mode)
+    """Parse every new log file into the parquet hits table (append).
+
+    Like the batch parse job, only matched lines become hits. The checkpoint
+    defaults to a folder next to the sink (``<sink>_checkpoint``), so running
+    the same ingest again resumes where it stopped.
+    """
+    parsed = read_log_stream(spark, source_dir, mode)
+    hits = parsed.where(col("is_valid")).drop("is_valid")
     writer = (
         hits.writeStream.format("parquet")
         .option("path", sink_dir)
-        .option("checkpointLocation", checkpoint or scratch_path(spark, "ingest-checkpoint"))
+        .option("checkpointLocation", checkpoint or sink_dir.rstrip("/") + "_checkpoint")
         .outputMode("append")
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
@@ -61,6 +66,8 @@ def session_table_stream(
     session splits exactly where the batch sessioniser splits it. With append
     output a session is written once the watermark passes its end.
     """
+    if gap_secs < 2:
+        raise ValueError("session_table_stream needs gap_secs >= 2 (its window gap is gap_secs - 1)")
     # watermarks need an instant (TIMESTAMP); whole seconds of the wall clock serve
     timed = (
         hits.where(col(user).isNotNull() & col(ts).isNotNull())
