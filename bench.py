@@ -17,7 +17,9 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from trafficlens.operators import devices as D  # noqa: E402
+from trafficlens.functions.columns import epoch_seconds  # noqa: E402
 from trafficlens.operators import load as L  # noqa: E402
+from trafficlens.operators import models as M  # noqa: E402
 from trafficlens.operators import sessions as S  # noqa: E402
 from trafficlens.operators import stats as ST  # noqa: E402
 from trafficlens.runtime import local_session  # noqa: E402
@@ -37,6 +39,20 @@ def main() -> None:
     def parsed():
         return logs.read_access_log(spark, text_path)
 
+    def linear_fit():
+        feats = L.label(L.add_next(L.load_features(hits, "second", ["GET", "POST"])))
+        data = ST.hash_split(
+            M.assemble(L.fill_zero(feats, L.FEATURE_COLUMNS), L.FEATURE_COLUMNS).withColumn("_k", epoch_seconds("bucket")),
+            "_k",
+        )
+        model = M.fit_linear(data.where("split = 'train'"))
+        return ST.regression_metrics(M.score(model, data.where("split = 'test'")))
+
+    def kmeans_users():
+        users = L.fill_zero(D.user_features(hits), ["avg_rqpt", "avg_recb", "ct_url", "session_secs"])
+        feats = M.assemble(users, ["avg_rqpt", "avg_recb", "ct_url", "session_secs"]).where("device = 'web'")
+        return M.score(M.fit_kmeans(feats, 7), feats)
+
     plans = {
         "parse_log_lines": lambda: parsed(),
         "sessionize": lambda: S.sessionize(hits),
@@ -52,6 +68,8 @@ def main() -> None:
             L.add_lags(L.load_features(hits, "hour", ["GET"])).withColumn("ct_url", L.F.col("ct_url").cast("double")),
             ["ct_url"] + [f"lag_{k}" for k in range(1, 7)],
         ),
+        "linear_fit_second": linear_fit,
+        "kmeans_users_web": kmeans_users,
     }
 
     # warm the JVM and the file listing caches

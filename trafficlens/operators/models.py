@@ -9,6 +9,7 @@ k sweeps) are persisted first.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from contextlib import contextmanager
 
 from pyspark.ml import Model
 from pyspark.ml.clustering import KMeans, KMeansModel
@@ -29,6 +30,25 @@ from ..sources.tables import cache
 from .stats import group_mean_sd
 
 
+@contextmanager
+def _persisted(df: DataFrame):
+    """Keep the input of an iterative fit for the length of the fit.
+
+    Spark ML makes several passes over its input (initialisation, every
+    iteration, the training summary); without this each pass would re-run the
+    whole plan behind the feature table. A table the caller persisted is used
+    as it is and left alone.
+    """
+    if df.storageLevel.useMemory or df.storageLevel.useDisk:
+        yield df
+        return
+    kept = cache(df)
+    try:
+        yield kept
+    finally:
+        kept.unpersist()
+
+
 def index_labels(df: DataFrame, column: str = "day_week", out: str | None = None) -> DataFrame:
     """Label-encode a string column, most frequent first, ties by name (M1)."""
     indexer = StringIndexer(inputCol=column, outputCol=out or f"{column}_idx", stringOrderType="frequencyDesc")
@@ -45,7 +65,8 @@ def fit_linear(
 ) -> LinearRegressionModel:
     """Linear regression, ``maxIter`` 10 as in the reference (M4)."""
     lr = LinearRegression(featuresCol=features, labelCol=label, maxIter=max_iter, regParam=reg)
-    return lr.fit(train)
+    with _persisted(train) as data:
+        return lr.fit(data)
 
 
 def linear_summary(model: LinearRegressionModel) -> DataFrame:
@@ -105,18 +126,16 @@ def fit_linear_cv(
     )
     if fold_col:
         cv = cv.setFoldCol(fold_col)
-    data = cache(train)
-    try:
+    with _persisted(train) as data:
         return cv.fit(data)
-    finally:
-        data.unpersist()
 
 
 def fit_tree(
     train: DataFrame, features: str = "features", label: str = "label", seed: int = 1, **params
 ) -> DecisionTreeRegressionModel:
     """Decision-tree regression, default parameters (M7)."""
-    return DecisionTreeRegressor(featuresCol=features, labelCol=label, seed=seed, **params).fit(train)
+    with _persisted(train) as data:
+        return DecisionTreeRegressor(featuresCol=features, labelCol=label, seed=seed, **params).fit(data)
 
 
 def score(model: Model, df: DataFrame) -> DataFrame:
@@ -131,7 +150,8 @@ def standardize(df: DataFrame, features: str = "features", out: str = "scaled")
 
 def fit_kmeans(df: DataFrame, k: int, features: str = "features", seed: int = 1, max_iter: int = 20) -> KMeansModel:
     """K-means with a fixed seed."""
-    return KMeans(k=k, seed=seed, featuresCol=features, maxIter=max_iter).fit(df)
+    with _persisted(df) as data:
+        return KMeans(k=k, seed=seed, featuresCol=features, maxIter=max_iter).fit(data)
 
 
 def wssse(model: KMeansModel) -> float:
@@ -143,11 +163,8 @@ def kmeans_sweep(
     df: DataFrame, ks: Iterable[int] = range(4, 12), features: str = "features", seed: int = 1
 ) -> DataFrame:
     """``k, wssse`` for each k, on a persisted vector table."""
-    data = cache(df.select(features))
-    try:
+    with _persisted(df.select(features)) as data:
         rows = [(int(k), wssse(fit_kmeans(data, int(k), features, seed))) for k in ks]
-    finally:
-        data.unpersist()
     return df.sparkSession.createDataFrame(rows, "k int, wssse double")
 
 
