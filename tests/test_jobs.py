@@ -14,7 +14,10 @@ def test_four_jobs_end_to_end(spark):
     lines = fx.log_text_path(spark, SF001)
     p = jobs.parse_job(spark, lines, f"{out}/parse")
     hits = spark.read.parquet(p["hits"])
-    assert hits.count() == 1000 - spark.read.parquet(p["rejects"]).count()
+    rejects = spark.read.parquet(p["rejects"])
+    assert hits.count() == 990 and rejects.count() == 10
+    assert {r.raw.split()[0] for r in rejects.collect()} == {"#garbage"}
+    assert hits.where("raw IS NOT NULL OR cl_ip IS NULL").count() == 0
     s = jobs.sessions_job(spark, p["hits"], f"{out}/sessions")
     assert spark.read.parquet(s["session_log"]).count() == hits.count()
     assert spark.read.parquet(s["top_users"]).count() == 15
