@@ -38,5 +38,5 @@ def test_compact_equals_window(spark, hits, gap, chunk):
     if gap >= 2:
         spans = sorted((r.cl_ip, r.session_secs, r.hits) for r in S.session_spans(df, gap_secs=gap, chunk_secs=chunk).collect())
         table = sorted((r.cl_ip, r.session_secs, r.hits) for r in S.session_table(S.sessionize(df, gap_secs=gap)).collect())
-        windows = sorted((r.cl_ip, r.session_secs, r.hits) for r in S.session_windows(df, gap_secs=gap).collect())
+        windows = sorted((r.cl_ip, r.session_secs, r.hits) for r in S.session_windows(df, gap_secs=gap, chunk_secs=chunk).collect())
         assert spans == table == windows

@@ -171,26 +171,43 @@ def session_windows(
     user: str = "cl_ip",
     ts: str = "date_time",
     gap_secs: int = DEFAULT_GAP_SECS,
+    chunk_secs: int = DEFAULT_CHUNK_SECS,
 ) -> DataFrame:
-    """W1-3' as one aggregate: ``session_window`` over whole seconds.
+    """W1-3' as aggregates: Spark's ``session_window`` over whole seconds.
 
     ``session_window`` merges events whose distance is at most its gap, so a
     whole-second gap of ``gap_secs - 1`` reproduces "split when the gap is
-    ``>= gap_secs``". The input is first reduced to (user, second) rows, so the
-    per-user sort is bounded by the seconds a user was seen in, not by hits.
+    ``>= gap_secs``". Spark sorts a session-window group by its other keys, so
+    the windows are formed per (user, time chunk): no sort holds more than one
+    chunk of one user's seconds. Pieces of a session cut by a chunk border are
+    then joined again with a running flag per user, over pieces (about one per
+    session and chunk), not over seconds.
     Output: ``user, session_start, session_secs, hits``.
     """
-    if gap_secs < 2:
-        raise ValueError("session_windows needs gap_secs >= 2 (its window gap is gap_secs - 1)")
+    if gap_secs < 2 or chunk_secs <= 0:
+        raise ValueError("session_windows needs gap_secs >= 2 (its window gap is gap_secs - 1) and chunk_secs > 0")
     df = _drop_unusable(hits, user, ts)
-    secs = session_seconds(df, user, ts).withColumn("_sec_ts", ntz_from_epoch("_sec"))
+    secs = session_seconds(df, user, ts).withColumns(
+        {
+            "_sec_ts": ntz_from_epoch("_sec"),
+            "_chunk": F.coalesce(F.floor(col("_sec") / F.lit(chunk_secs)), F.lit(0)),
+        }
+    )
     win = F.session_window(col("_sec_ts"), f"{gap_secs - 1} seconds")
-    agg = secs.groupBy(user, win.alias("_w")).agg(
-        F.min("_sec").alias("_s0"), F.max("_sec").alias("_s1"), F.sum("_hits").alias("hits")
+    pieces = secs.groupBy(user, "_chunk", win.alias("_w")).agg(
+        F.min("_sec").alias("_s0"), F.max("_sec").alias("_s1"), F.sum("_hits").alias("_h")
+    )
+    wu = Window.partitionBy(user).orderBy("_s0")
+    prev_end = F.lag("_s1", 1).over(wu)
+    starts = pieces.withColumn(
+        "_new", (prev_end.isNull() | (col("_s0") - prev_end >= F.lit(gap_secs))).cast("int")
+    ).withColumn("_sid", F.sum("_new").over(wu.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    agg = starts.groupBy(user, "_sid").agg(
+        F.min("_s0").alias("_s0"), F.max("_s1").alias("_s1"), F.sum("_h").alias("hits")
     )
     return agg.select(
         user,
-        col("_w.start").alias("session_start"),
+        ntz_from_epoch("_s0").alias("session_start"),
         (col("_s1") - col("_s0")).alias("session_secs"),
         "hits",
     )
