@@ -16,8 +16,8 @@ def test_four_jobs_end_to_end(spark):
     hits = spark.read.parquet(p["hits"])
     rejects = spark.read.parquet(p["rejects"])
     assert hits.count() == 990 and rejects.count() == 10
-    assert {r.raw.split()[0] for r in rejects.collect()} == {"#garbage"}
-    assert hits.where("raw IS NOT NULL OR cl_ip IS NULL").count() == 0
+    assert {r.value.split()[0] for r in rejects.collect()} == {"#garbage"}
+    assert hits.where("cl_ip IS NULL").count() == 0 and "value" not in hits.columns
     s = jobs.sessions_job(spark, p["hits"], f"{out}/sessions")
     assert spark.read.parquet(s["session_log"]).count() == hits.count()
     assert spark.read.parquet(s["top_users"]).count() == 15

@@ -52,3 +52,19 @@ def test_ensure_methods_adds_zero_columns(spark):
     r = L.ensure_methods(f, ["GET", "POST"]).first()
     assert (r.GET, r.POST) == (1, 0)
     assert F is not None
+
+
+def test_time_bucket_floors_before_1970(spark):
+    from trafficlens.functions.columns import time_bucket
+
+    df = spark.createDataFrame([("1969-12-31 23:59:59.5",), ("2024-01-01 10:20:30.25",)], "s string").select(
+        F.col("s").cast("timestamp_ntz").alias("ts")
+    )
+    out = [
+        (r.d, r.s, r.h)
+        for r in df.select(
+            time_bucket("ts", "day").alias("d"), time_bucket("ts", "second").alias("s"), time_bucket("ts", "hour").alias("h")
+        ).collect()
+    ]
+    assert out[0] == (dt.datetime(1969, 12, 31), dt.datetime(1969, 12, 31, 23, 59, 59), dt.datetime(1969, 12, 31, 23))
+    assert out[1] == (dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 1, 10, 20, 30), dt.datetime(2024, 1, 1, 10))

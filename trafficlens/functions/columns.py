@@ -86,7 +86,9 @@ def time_bucket(c: ColumnOrName, unit: str = "second") -> Column:
     """
     if unit not in _UNIT_SECONDS:
         raise ValueError(f"unit must be one of {sorted(_UNIT_SECONDS)}")
-    secs = epoch_seconds(c)
+    whole = epoch_seconds(c)
+    # unix_timestamp truncates toward zero; step back one second for a fractional pre-1970 value
+    secs = whole - F.when(ntz_from_epoch(whole) > col(c), F.lit(1)).otherwise(F.lit(0))
     size = F.lit(_UNIT_SECONDS[unit]).cast("bigint")
     return ntz_from_epoch(secs - F.pmod(secs, size))
 

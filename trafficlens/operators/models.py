@@ -31,18 +31,19 @@ from .stats import group_mean_sd
 
 
 @contextmanager
-def _persisted(df: DataFrame):
+def _persisted(df: DataFrame, columns: Sequence[str] | None = None):
     """Keep the input of an iterative fit for the length of the fit.
 
     Spark ML makes several passes over its input (initialisation, every
     iteration, the training summary); without this each pass would re-run the
-    whole plan behind the feature table. A table the caller persisted is used
-    as it is and left alone.
+    whole plan behind the feature table. Only the columns the estimator reads
+    are kept, so the cached copy is narrow. A table the caller persisted is
+    used as it is and left alone.
     """
     if df.storageLevel.useMemory or df.storageLevel.useDisk:
         yield df
         return
-    kept = cache(df)
+    kept = cache(df.select(*columns) if columns else df)
     try:
         yield kept
     finally:
@@ -65,7 +66,7 @@ def fit_linear(
 ) -> LinearRegressionModel:
     """Linear regression, ``maxIter`` 10 as in the reference (M4)."""
     lr = LinearRegression(featuresCol=features, labelCol=label, maxIter=max_iter, regParam=reg)
-    with _persisted(train) as data:
+    with _persisted(train, [features, label]) as data:
         return lr.fit(data)
 
 
@@ -126,7 +127,7 @@ def fit_linear_cv(
     )
     if fold_col:
         cv = cv.setFoldCol(fold_col)
-    with _persisted(train) as data:
+    with _persisted(train, [features, label] + ([fold_col] if fold_col else [])) as data:
         return cv.fit(data)
 
 
@@ -134,7 +135,7 @@ def fit_tree(
     train: DataFrame, features: str = "features", label: str = "label", seed: int = 1, **params
 ) -> DecisionTreeRegressionModel:
     """Decision-tree regression, default parameters (M7)."""
-    with _persisted(train) as data:
+    with _persisted(train, [features, label]) as data:
         return DecisionTreeRegressor(featuresCol=features, labelCol=label, seed=seed, **params).fit(data)
 
 
@@ -150,7 +151,7 @@ def standardize(df: DataFrame, features: str = "features", out: str = "scaled")
 
 def fit_kmeans(df: DataFrame, k: int, features: str = "features", seed: int = 1, max_iter: int = 20) -> KMeansModel:
     """K-means with a fixed seed."""
-    with _persisted(df) as data:
+    with _persisted(df, [features]) as data:
         return KMeans(k=k, seed=seed, featuresCol=features, maxIter=max_iter).fit(data)
 
 

@@ -5,7 +5,7 @@ given save mode, and returns the paths it wrote. They hand over through
 parquet exactly like the reference's programs: raw text -> parsed hits ->
 session log -> {load forecasting, user clustering}.
 
-    python -m trafficlens.plans.jobs parse    <log text path> <out>   (hits: <out>/parsed/is_valid=true)
+    python -m trafficlens.plans.jobs parse    <log text path> <out>
     python -m trafficlens.plans.jobs sessions <hits parquet>  <out>
     python -m trafficlens.plans.jobs load     <hits parquet>  <out>
     python -m trafficlens.plans.jobs users    <session log>   <out>
@@ -35,34 +35,26 @@ def _out(base: str, name: str) -> str:
     return f"{base.rstrip('/')}/{name}"
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
-
-
 def parse_job(
     spark: SparkSession,
     lines_path: str,
     out: str,
     mode: str = "errorifexists",
     parse_mode: str = "lenient",
+    write_rejects: bool = True,
 ) -> dict:
     """Raw log text -> typed hits table; unmatched lines kept aside.
 
-    One scan and one regex pass: the parsed lines are written once,
-    partitioned by ``is_valid``, with the raw text kept (column ``raw``) only
-    on unmatched lines. ``hits`` is the ``is_valid=true`` folder, ``rejects``
-    the ``is_valid=false`` one (absent when every line matched); each reads
-    as a plain parquet table.
+    Hits and rejects are the two halves of one parsed frame (``is_valid``),
+    so they agree by construction. Each output is one scan of the text; with
+    ``write_rejects=False`` the job scans once.
     """
     parsed = logs.transform_log(
         logs.parse_access_log(logs.read_lines(spark, lines_path), mode=parse_mode, keep=["value"]), mode=parse_mode
     )
-    table = parsed.withColumn("raw", F.when(~col("is_valid"), col("value"))).drop("value")
-    base = write_table(table, _out(out, "parsed"), mode, partition_by=["is_valid"])
-    paths = {"parsed": base, "hits": f"{base}/is_valid=true"}
-    if _exists(spark, f"{base}/is_valid=false"):
-        paths["rejects"] = f"{base}/is_valid=false"
+    paths = {"hits": write_table(parsed.where("is_valid").drop("is_valid", "value"), _out(out, "hits"), mode)}
+    if write_rejects:
+        paths["rejects"] = write_table(parsed.where(~col("is_valid")).select("value"), _out(out, "rejects"), mode)
     return paths
 
 
