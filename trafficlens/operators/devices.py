@@ -115,11 +115,13 @@ def user_features(
 
 
 def first_hit_device(
-    session_hits: DataFrame, user: str = "cl_ip", ts: str = "date_time", tie_break: Sequence[str] = ("event_id",)
+    session_hits: DataFrame, user: str = "cl_ip", ts: str = "date_time", tie_break: Sequence[str] = ("user_agent",)
 ) -> DataFrame:
     """Device of each session's first hit, which picks the model to use.
 
     ``min_by`` over a (ts, tie-break) struct: partial aggregation, no sort.
+    The device depends only on the agent, so breaking ties at the first
+    instant by the agent text makes the answer deterministic.
     """
     order = F.struct(col(ts), *[col(c) for c in tie_break])
     return session_hits.groupBy(user, "session_id").agg(

@@ -192,8 +192,7 @@ def users_job(
     paths["kmeans_sweep"] = write_table(all_sweeps, _out(out, "kmeans_sweep"), mode)
     paths["clusters"] = write_table(intervals, _out(out, "clusters"), mode)
     paths["cluster_stats"] = write_table(stats.orderBy(*keys), _out(out, "cluster_stats"), mode)
-    # ties at a session's first instant are broken by the agent text, so the choice is stable
-    firsts = D.first_hit_device(session_hits, tie_break=("user_agent",))
+    firsts = D.first_hit_device(session_hits)
     paths["session_predictions"] = write_table(D.session_intervals(firsts, intervals), _out(out, "session_predictions"), mode)
     feats.unpersist()
     return paths

@@ -235,7 +235,7 @@ def q_user_features(spark, sf):
 
 
 def q_first_hit_device(spark, sf):
-    return D.first_hit_device(_session_hits(spark, sf, GAP_6H))
+    return D.first_hit_device(_session_hits(spark, sf, GAP_6H), tie_break=["event_id"])
 
 
 # ---- statistics ----------------------------------------------------------------
