@@ -19,6 +19,9 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from pyspark.sql import SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
+from trafficlens.functions.columns import ntz_from_epoch  # noqa: E402
+from trafficlens.operators import devices as D  # noqa: E402
+from trafficlens.operators import load as L  # noqa: E402
 from trafficlens.operators import sessions as S  # noqa: E402
 from trafficlens.sources import fixtures as fx  # noqa: E402
 
@@ -51,9 +54,24 @@ def main() -> None:
     total = data.count()
     hot_rows = data.where(F.col("cl_ip") == "10.0.0.0").count()
     groups = {}
-    for strategy in ("window", "compact"):
-        spark.sparkContext.setJobGroup(strategy, strategy)
-        S.sessionize(data, strategy=strategy).write.format("noop").mode("overwrite").save()
+    # a third of all hits also moved into one second, for the per-bucket aggregate
+    hot_second = data.withColumn(
+        "date_time",
+        F.when(F.col("cl_ip") == "10.0.0.0", ntz_from_epoch(F.lit(1_704_067_200))).otherwise(F.col("date_time")),
+    )
+    runs = {
+        "sessionize_window": lambda: S.sessionize(data, strategy="window"),
+        "sessionize_compact": lambda: S.sessionize(data),
+        "session_table": lambda: S.session_table(S.sessionize(data)),
+        "session_windows": lambda: S.session_windows(data),
+        "user_features": lambda: D.user_features(data),
+        "device_gap": lambda: D.device_gap(S.sessionize(data)),
+        "first_hit_device": lambda: D.first_hit_device(S.sessionize(data)),
+        "load_features_hot_second": lambda: L.load_features(hot_second, "second", ["GET", "POST"]),
+    }
+    for name, build in runs.items():
+        spark.sparkContext.setJobGroup(name, name)
+        build().write.format("noop").mode("overwrite").save()
     spark.stop()
 
     stage_job, job_group, max_read = {}, {}, {}
@@ -76,6 +94,7 @@ def main() -> None:
         g = stage_job.get(sid)
         if g:
             groups[g] = max(groups.get(g, 0), read)
+    groups = dict(sorted(groups.items()))
     print(json.dumps({"rows": total, "hot_client_rows": hot_rows, "max_task_shuffle_records": groups,
                       "shuffle_partitions": 64, "event_log": log_dir}))
 
