@@ -34,3 +34,24 @@ def test_session_stream_equals_batch_sessions(spark):
     hits = logs.read_access_log(spark, src)
     want = sorted((r.cl_ip, r.session_secs, r.hits) for r in S.session_windows(hits, gap_secs=21_600).collect())
     assert got == want
+
+
+def test_session_stream_with_local_merge(spark):
+    """Spark's map-side session merge (for a few dominant clients) gives the same sessions."""
+    conf = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
+    src = fx.log_text_path(spark, SF001)
+    spark.conf.set(conf, "true")
+    try:
+        stream = SL.session_table_stream(SL.read_log_stream(spark, src), gap_secs=21_600, watermark="400 days")
+        q = stream.writeStream.format("memory").queryName("tl_sessions_local_merge").outputMode("complete").start()
+        q.processAllAvailable()
+        plan = q._jsq.streamingQuery().lastExecution().executedPlan().toString()
+        q.stop()
+    finally:
+        spark.conf.unset(conf)
+    got = sorted((r.cl_ip, r.session_secs, r.hits) for r in spark.table("tl_sessions_local_merge").collect())
+    hits = logs.read_access_log(spark, src)
+    want = sorted((r.cl_ip, r.session_secs, r.hits) for r in S.session_windows(hits, gap_secs=21_600).collect())
+    assert got == want
+    # one merge before the shuffle (map side) and one after it
+    assert plan.count("MergingSessions") == 2

@@ -65,6 +65,12 @@ def session_table_stream(
     Times are cut to whole seconds and the window gap is ``gap_secs - 1`` so a
     session splits exactly where the batch sessioniser splits it. With append
     output a session is written once the watermark passes its end.
+
+    When a few clients dominate the traffic, set
+    ``spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition=true``
+    before starting the query: Spark then merges each client's events into
+    sessions inside every partition before the shuffle, so a hot client's part
+    of a micro-batch reaches its task as a few session rows (tested).
     """
     if gap_secs < 2:
         raise ValueError("session_table_stream needs gap_secs >= 2 (its window gap is gap_secs - 1)")
