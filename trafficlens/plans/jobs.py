@@ -98,8 +98,8 @@ def load_job(
     feats = read_table(spark, feats_path)
     # absent averages (a bucket whose hits all lack a backend) count as 0, as in the reference (P20)
     known = L.time_cut(L.fill_zero(L.label(feats), LOAD_FEATURES), last=holdout).where(~col("is_holdout"))
+    # features come back from parquet; each fit keeps a narrow copy of its own input
     data = ST.hash_split(M.assemble(known, LOAD_FEATURES).withColumn("_key", epoch_seconds("bucket")), "_key")
-    data = cache(data)
     train, test = data.where(col("split") == "train"), data.where(col("split") == "test")
 
     linear = M.fit_linear(train)
@@ -127,7 +127,6 @@ def load_job(
     )
     for name, model in (("linear", linear), ("linear_cv", cv), ("tree", tree)):
         paths[f"model_{name}"] = M.save_model(model, _out(out, f"model_{name}"), overwrite=mode == "overwrite")
-    data.unpersist()
     return paths
 
 
