@@ -54,17 +54,31 @@ def test_ensure_methods_adds_zero_columns(spark):
     assert F is not None
 
 
-def test_time_bucket_floors_before_1970(spark):
+def test_time_bucket_of_zoned_timestamps_uses_utc_wall_clock(spark):
     from trafficlens.functions.columns import time_bucket
 
-    df = spark.createDataFrame([("1969-12-31 23:59:59.5",), ("2024-01-01 10:20:30.25",)], "s string").select(
-        F.col("s").cast("timestamp_ntz").alias("ts")
-    )
-    out = [
-        (r.d, r.s, r.h)
-        for r in df.select(
-            time_bucket("ts", "day").alias("d"), time_bucket("ts", "second").alias("s"), time_bucket("ts", "hour").alias("h")
-        ).collect()
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([("2024-01-01 10:20:30",), ("2024-01-01 10:00:00",)], "s string").select(
+            F.col("s").cast("timestamp").alias("ts")
+        )
+        out = [(r.s, r.h) for r in df.select(time_bucket("ts", "second").alias("s"), time_bucket("ts", "hour").alias("h")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert out == [
+        (dt.datetime(2024, 1, 1, 15, 20, 30), dt.datetime(2024, 1, 1, 15)),
+        (dt.datetime(2024, 1, 1, 15, 0, 0), dt.datetime(2024, 1, 1, 15)),
     ]
-    assert out[0] == (dt.datetime(1969, 12, 31), dt.datetime(1969, 12, 31, 23, 59, 59), dt.datetime(1969, 12, 31, 23))
-    assert out[1] == (dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 1, 10, 20, 30), dt.datetime(2024, 1, 1, 10))
+
+
+def test_first_hit_device_prefers_an_agent_at_a_tie(spark):
+    from trafficlens.operators import devices as D
+
+    t = dt.datetime(2024, 1, 1)
+    df = spark.createDataFrame(
+        [("ip", 1, t, None), ("ip", 1, t, "x Mobi"), ("ip", 2, t, "web agent")],
+        "cl_ip string, session_id bigint, date_time timestamp_ntz, user_agent string",
+    )
+    got = {r.session_id: r.first_device for r in D.first_hit_device(df).collect()}
+    assert got == {1: "mobile", 2: "web"}

@@ -83,12 +83,12 @@ def time_bucket(c: ColumnOrName, unit: str = "second") -> Column:
     Here the whole epoch seconds of the wall clock are cut down to a multiple
     of the unit with integer arithmetic and turned back into ``timestamp_ntz``:
     zone-free, and about twice as cheap as rebuilding the value from its fields.
+    Whole seconds are those of ``unix_timestamp``, as everywhere in the
+    library; a zoned ``timestamp`` input is bucketed on its UTC wall clock.
     """
     if unit not in _UNIT_SECONDS:
         raise ValueError(f"unit must be one of {sorted(_UNIT_SECONDS)}")
-    whole = epoch_seconds(c)
-    # unix_timestamp truncates toward zero; step back one second for a fractional pre-1970 value
-    secs = whole - F.when(ntz_from_epoch(whole) > col(c), F.lit(1)).otherwise(F.lit(0))
+    secs = epoch_seconds(c)
     size = F.lit(_UNIT_SECONDS[unit]).cast("bigint")
     return ntz_from_epoch(secs - F.pmod(secs, size))
 

@@ -115,15 +115,20 @@ def user_features(
 
 
 def first_hit_device(
-    session_hits: DataFrame, user: str = "cl_ip", ts: str = "date_time", tie_break: Sequence[str] = ("user_agent",)
+    session_hits: DataFrame, user: str = "cl_ip", ts: str = "date_time", tie_break: Sequence[str] | None = None
 ) -> DataFrame:
     """Device of each session's first hit, which picks the model to use.
 
     ``min_by`` over a (ts, tie-break) struct: partial aggregation, no sort.
-    The device depends only on the agent, so breaking ties at the first
-    instant by the agent text makes the answer deterministic.
+    By default ties at the first instant go to a hit with an agent, then to the
+    smallest agent text: the device depends only on the agent, so the answer
+    is deterministic. ``tie_break`` names other columns instead (an event id).
     """
-    order = F.struct(col(ts), *[col(c) for c in tie_break])
+    if tie_break is None:
+        keys = [col("user_agent").isNull(), col("user_agent")]
+    else:
+        keys = [col(c) for c in tie_break]
+    order = F.struct(col(ts), *keys)
     return session_hits.groupBy(user, "session_id").agg(
         F.min_by(device("user_agent"), order).alias("first_device")
     )

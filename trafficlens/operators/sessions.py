@@ -180,8 +180,10 @@ def session_windows(
     ``>= gap_secs``". Spark sorts a session-window group by its other keys, so
     the windows are formed per (user, time chunk): no sort holds more than one
     chunk of one user's seconds. Pieces of a session cut by a chunk border are
-    joined again through per-chunk session offsets, computed by a per-user
-    window over chunks only (as in ``session_spans``).
+    joined again by a running flag per user over pieces: at most one piece per
+    session and chunk, i.e. bounded by time span / gap plus the chunks spanned,
+    not by traffic. One pass over the input; ``session_spans`` is the variant
+    whose per-user work is bounded by chunks alone.
     Output: ``user, session_start, session_secs, hits``.
     """
     if gap_secs < 2 or chunk_secs <= 0:
@@ -197,27 +199,16 @@ def session_windows(
     pieces = secs.groupBy(user, "_chunk", win.alias("_w")).agg(
         F.min("_sec").alias("_s0"), F.max("_sec").alias("_s1"), F.sum("_hits").alias("_h")
     )
-    # number the pieces inside their chunk (bounded by the chunk) ...
-    pieces = pieces.withColumn("_r", F.row_number().over(Window.partitionBy(user, "_chunk").orderBy("_s0")))
-    # ... and give each chunk an offset from a per-user window over chunks only
-    wu = Window.partitionBy(user).orderBy("_chunk")
-    chunks = (
-        pieces.groupBy(user, "_chunk")
-        .agg(F.min("_s0").alias("_first"), F.max("_s1").alias("_end"), F.count(F.lit(1)).alias("_n"))
-        .withColumn("_cpend", F.lag("_end", 1).over(wu))
-        .withColumn(
-            "_first_new", (col("_cpend").isNull() | (col("_first") - col("_cpend") >= F.lit(gap_secs))).cast("bigint")
-        )
-        .withColumn("_cnt", col("_n") - 1 + col("_first_new"))
-        .withColumn("_offset", F.coalesce(F.sum("_cnt").over(wu.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-        .select(user, "_chunk", "_first_new", "_offset")
-    )
-    # the first piece of a chunk continues the previous chunk's last session unless the gap is long enough
-    sid = col("_offset") + col("_first_new") + col("_r") - 1
-    agg = (
-        pieces.join(chunks, [user, "_chunk"])
-        .groupBy(user, sid.alias("_sid"))
-        .agg(F.min("_s0").alias("_s0"), F.max("_s1").alias("_s1"), F.sum("_h").alias("hits"))
+    # re-join the pieces a chunk border cut: a running flag per user over its
+    # pieces, whose number is bounded by the time span / gap plus the chunks
+    # spanned, however much traffic the user sends
+    wu = Window.partitionBy(user).orderBy("_s0")
+    prev_end = F.lag("_s1", 1).over(wu)
+    starts = pieces.withColumn(
+        "_new", (prev_end.isNull() | (col("_s0") - prev_end >= F.lit(gap_secs))).cast("int")
+    ).withColumn("_sid", F.sum("_new").over(wu.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    agg = starts.groupBy(user, "_sid").agg(
+        F.min("_s0").alias("_s0"), F.max("_s1").alias("_s1"), F.sum("_h").alias("hits")
     )
     return agg.select(
         user,

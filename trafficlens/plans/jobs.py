@@ -46,8 +46,9 @@ def parse_job(
     """Raw log text -> typed hits table; unmatched lines kept aside.
 
     Hits and rejects are the two halves of one parsed frame (``is_valid``),
-    so they agree by construction. Each output is one scan of the text; with
-    ``write_rejects=False`` the job scans once.
+    so they agree as long as the input does not change between the two
+    writes. Each output is one scan of the text; with ``write_rejects=False``
+    (CLI ``--no-rejects``) the job scans once.
     """
     parsed = logs.transform_log(
         logs.parse_access_log(logs.read_lines(spark, lines_path), mode=parse_mode, keep=["value"]), mode=parse_mode
@@ -98,8 +99,9 @@ def load_job(
     feats = read_table(spark, feats_path)
     # absent averages (a bucket whose hits all lack a backend) count as 0, as in the reference (P20)
     known = L.time_cut(L.fill_zero(L.label(feats), LOAD_FEATURES), last=holdout).where(~col("is_holdout"))
-    # features come back from parquet; each fit keeps a narrow copy of its own input
-    data = ST.hash_split(M.assemble(known, LOAD_FEATURES).withColumn("_key", epoch_seconds("bucket")), "_key")
+    # the assembled, split model input is written once; fits and scoring read it back
+    split = ST.hash_split(M.assemble(known, LOAD_FEATURES).withColumn("_key", epoch_seconds("bucket")), "_key")
+    data = read_table(spark, write_table(split, _out(out, "model_input"), mode))
     train, test = data.where(col("split") == "train"), data.where(col("split") == "test")
 
     linear = M.fit_linear(train)
@@ -206,9 +208,11 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("input")
     ap.add_argument("output")
     ap.add_argument("--mode", default="errorifexists")
+    ap.add_argument("--no-rejects", action="store_true", help="parse: write hits only (one scan of the text)")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.getOrCreate()
-    for name, path in JOBS[args.job](spark, args.input, args.output, mode=args.mode).items():
+    extra = {"write_rejects": False} if args.job == "parse" and args.no_rejects else {}
+    for name, path in JOBS[args.job](spark, args.input, args.output, mode=args.mode, **extra).items():
         print(f"{name}\t{path}")
 
 
