@@ -242,6 +242,16 @@ def session_table(
     return session_hits.groupBy(user, "session_id").agg(*aggs)
 
 
+def session_length(sessions: DataFrame, user: str = "cl_ip") -> DataFrame:
+    """Length in whole seconds of every session (A1), from ``session_table``."""
+    return sessions.select(user, "session_id", "session_secs")
+
+
+def urls_per_session(sessions: DataFrame, user: str = "cl_ip") -> DataFrame:
+    """Distinct URLs per session, without and with query string (A3, A4), from ``session_table``."""
+    return sessions.select(user, "session_id", "dist_url", "dist_request_url")
+
+
 def avg_session_length(sessions: DataFrame) -> DataFrame:
     """Mean session length over all sessions (A2)."""
     return sessions.agg(F.avg("session_secs").alias("avg_session_secs"), F.count(F.lit(1)).alias("sessions"))

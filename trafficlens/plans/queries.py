@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import col, epoch_seconds, url_path, url_query
+from ..functions.columns import col, epoch_seconds
 from ..operators import devices as D
 from ..operators import load as L
 from ..operators import models as M
@@ -109,8 +109,9 @@ def q_parse_rejects(spark, sf):
 
 
 def q_url_split(spark, sf):
-    pages = fx.table(spark, sf, "pages")
-    return pages.select("page_id", "url", url_path("url").alias("path"), url_query("url").alias("query"))
+    pages = fx.table(spark, sf, "pages").select("page_id", col("url").alias("page_url"))
+    out = logs.split_url(pages, "page_url")
+    return out.select("page_id", col("page_url").alias("url"), col("url").alias("path"), col("get_params").alias("query"))
 
 
 def q_parquet_roundtrip(spark, sf):
@@ -165,7 +166,7 @@ def q_avg_session_length(spark, sf):
 
 
 def q_urls_per_session(spark, sf):
-    return _sessions(spark, sf, GAP_6H).select("cl_ip", "session_id", "dist_url", "dist_request_url")
+    return S.urls_per_session(_sessions(spark, sf, GAP_6H))
 
 
 def q_avg_urls_per_session(spark, sf):

@@ -99,41 +99,48 @@ def rejects(lines: DataFrame, col_name: str = "value", mode: str = "lenient", ke
     return lines.where(~F.coalesce(text.rlike(regex), F.lit(False))).select(*keep, text.alias(col_name))
 
 
+def split_endpoint(
+    df: DataFrame, column: str, ip_out: str, port_out: str, missing: str | None = None, drop: bool = True
+) -> DataFrame:
+    """``ip:port`` text -> two columns (P1, P2); the port is null without a colon.
+    ``missing`` names a placeholder (``-``) that means no endpoint at all."""
+    value = col(column)
+    if missing is not None:
+        value = F.when(value != F.lit(missing), value)
+    parts = F.split(value, ":")
+    out = df.withColumn("_ep", parts).withColumns(
+        {ip_out: F.get(col("_ep"), F.lit(0)), port_out: F.get(col("_ep"), F.lit(1))}
+    ).drop("_ep")
+    return out.drop(column) if drop and column not in (ip_out, port_out) else out
+
+
+def split_request(df: DataFrame, column: str = "request", drop: bool = True) -> DataFrame:
+    """Request line -> ``request_type`` (method) and ``request_url``; the protocol is dropped."""
+    out = df.withColumn("_rq", F.split(col(column), " ")).withColumns(
+        {"request_type": F.get(col("_rq"), F.lit(0)), "request_url": F.get(col("_rq"), F.lit(1))}
+    ).drop("_rq")
+    return out.drop(column) if drop else out
+
+
+def split_url(df: DataFrame, column: str = "request_url") -> DataFrame:
+    """URL -> ``url`` (path) and ``get_params`` (query, null without ``?``;
+    text after a second ``?`` is lost, as in the reference) (P4)."""
+    return df.withColumn("_u", F.split(col(column), r"\?")).withColumns(
+        {"url": F.get(col("_u"), F.lit(0)), "get_params": F.get(col("_u"), F.lit(1))}
+    ).drop("_u")
+
+
 def transform_log(raw: DataFrame, mode: str = "lenient") -> DataFrame:
     """Raw fields -> hits columns: endpoints split, request split, URL split, time typed.
 
     In lenient mode a backend of ``-`` (no backend reached) gives null ip and
     port; strict mode keeps the reference's split (ip ``-``, port null). Each
-    field is split once into an array column and the parts are read from it.
+    field is split once into an array and the parts are read from it.
     """
-    backend = col("backend_port")
-    if mode == "lenient":
-        backend = F.when(backend != "-", backend)
-    others = [c for c in raw.columns if c not in {"timestamp", "client_port", "backend_port", "request"}]
-    arrays = raw.select(
-        *others,
-        F.split(col("client_port"), ":").alias("_client"),
-        F.split(backend, ":").alias("_backend"),
-        F.split(col("request"), " ").alias("_request"),
-        col("timestamp").try_cast("timestamp_ntz").alias("date_time"),
-    )
-    with_target = arrays.select(
-        *others, "_client", "_backend", "date_time",
-        F.get(col("_request"), F.lit(0)).alias("request_type"),
-        F.get(col("_request"), F.lit(1)).alias("request_url"),
-    ).withColumn("_url", F.split(col("request_url"), r"\?"))
-    return with_target.select(
-        *others,
-        F.get(col("_client"), F.lit(0)).alias("cl_ip"),
-        F.get(col("_client"), F.lit(1)).alias("cl_port"),
-        F.get(col("_backend"), F.lit(0)).alias("bck_ip"),
-        F.get(col("_backend"), F.lit(1)).alias("bck_port"),
-        "date_time",
-        "request_type",
-        "request_url",
-        F.get(col("_url"), F.lit(0)).alias("url"),
-        F.get(col("_url"), F.lit(1)).alias("get_params"),
-    )
+    df = split_endpoint(raw, "client_port", "cl_ip", "cl_port")
+    df = split_endpoint(df, "backend_port", "bck_ip", "bck_port", missing="-" if mode == "lenient" else None)
+    df = df.withColumn("date_time", col("timestamp").try_cast("timestamp_ntz")).drop("timestamp")
+    return split_url(split_request(df))
 
 
 def read_access_log(spark: SparkSession, path: str | list[str], mode: str = "lenient") -> DataFrame:
