@@ -61,6 +61,8 @@ def main() -> None:
         "sessionize, compact (default)": S.sessionize(hits),
         "sessionize, window (reference plan)": S.sessionize(hits, strategy="window"),
         "session_table over compact sessions": S.session_table(S.sessionize(hits)),
+        "session_spans (chunked session table)": S.session_spans(hits),
+        "session_windows (session_window per client and day)": S.session_windows(hits),
         "top_users": S.top_users(S.session_table(S.sessionize(hits))),
         "load_features (second) + next + lags": L.add_lags(L.add_next(L.load_features(hits, "second", ["GET", "POST"]))),
         "user_features": D.user_features(hits),
