@@ -54,6 +54,17 @@ def digest(columns: list[str], rows: list[tuple]) -> tuple[int, list[str], str]:
     return len(rows), [columns[i] for i in order], h
 
 
+DUCK_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+              "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "date": "DATE"}
+
+
+def types(spark_df, con, sql: str) -> tuple[dict, dict]:
+    """Column types of both sides in DuckDB's names (no execution needed)."""
+    s = {f.name: DUCK_TYPES.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in spark_df.schema.fields}
+    rel = con.sql(sql)
+    return s, dict(zip(rel.columns, [str(t) for t in rel.types]))
+
+
 def compare(spark, con, key: str, sf_dir: str):
     from trafficlens.plans.oracle import ORACLE
     from trafficlens.plans.queries import QUERIES
@@ -65,7 +76,7 @@ def compare(spark, con, key: str, sf_dir: str):
     o_cols = [d[0] for d in cur.description]
     o_rows = cur.fetchall()
     a, b = digest(s_cols, s_rows), digest(o_cols, o_rows)
-    return a == b, a, b, (s_cols, s_rows, o_cols, o_rows)
+    return a == b, a, b, (s_cols, s_rows, o_cols, o_rows, types(df, con, ORACLE[key]))
 
 
 def main(argv: list[str]) -> int:
@@ -94,7 +105,7 @@ def main(argv: list[str]) -> int:
         print(("OK   " if ok else "DIFF ") + key, a[0], b[0], "" if a[1] == b[1] else (a[1], b[1]))
         if not ok:
             bad += 1
-            s_cols, s_rows, o_cols, o_rows = detail
+            s_cols, s_rows, o_cols, o_rows, _ = detail
             so = sorted("|".join(_norm(v) for _, v in sorted(zip(s_cols, r))) for r in s_rows)
             oo = sorted("|".join(_norm(v) for _, v in sorted(zip(o_cols, r))) for r in o_rows)
             only_s = [x for x in so if x not in set(oo)][:3]

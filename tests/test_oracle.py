@@ -13,7 +13,9 @@ def con():
 
 @pytest.mark.parametrize("key", sorted(ORACLE))
 def test_query_matches_oracle(spark, con, key):
-    ok, a, b, _ = compare(spark, con, key, SF01_DEFAULT)
+    ok, a, b, detail = compare(spark, con, key, SF01_DEFAULT)
     assert a[0] == b[0], f"row count {a[0]} != {b[0]}"
     assert a[1] == b[1], f"columns {a[1]} != {b[1]}"
+    spark_types, duck_types = detail[-1]
+    assert spark_types == duck_types, "column types differ"
     assert ok, "values differ"

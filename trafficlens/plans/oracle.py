@@ -56,7 +56,7 @@ def _with_sessions(gap: int, body: str, ctes: tuple[str, ...] = (), where: str =
 
 
 def _features_cte(unit: str = "hour", methods=("DELETE", "GET", "POST")) -> str:
-    counts = "".join(f", count_if(request_type = '{m}') AS \"{m}\"" for m in methods)
+    counts = "".join(f", CAST(count_if(request_type = '{m}') AS BIGINT) AS \"{m}\"" for m in methods)
     return f"""lf0 AS (
   SELECT date_trunc('{unit}', date_time) AS bucket,
     avg(CASE WHEN request_processing_time >= 0 THEN request_processing_time END) AS avg_rqpt,
