@@ -61,3 +61,28 @@ def test_compact_sessionize_exchanges_are_keyed_not_by_user_alone_for_hits(spark
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_chained_day_windows_share_one_shuffle(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        f = L.load_features(fx.hits(spark, SF01), "hour", ["GET"])
+        plan = _plan(L.moving_average(L.add_lags(L.add_next(f))))
+        assert plan.count("Exchange hashpartitioning(day") == 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_user_features_join_needs_no_extra_shuffle(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = _plan(D.user_features(fx.hits(spark, SF01))).splitlines()
+        j = next(i for i, line in enumerate(lines) if "SortMergeJoin [device" in line)
+        # both join inputs: Sort <- HashAggregate(final) straight away, no Exchange in between
+        below = [line.strip() for line in lines[j + 1:j + 4]]
+        assert any("HashAggregate(keys=[device" in x for x in below[:3])
+        assert not any(x.lstrip(":+- *(0123456789)").startswith("Exchange") for x in below[:2])
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
