@@ -54,13 +54,23 @@ def digest(columns: list[str], rows: list[tuple]) -> tuple[int, list[str], str]:
     return len(rows), [columns[i] for i in order], h
 
 
-DUCK_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
-              "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "date": "DATE"}
+DUCK_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "smallint": "SMALLINT", "tinyint": "TINYINT",
+              "double": "DOUBLE", "float": "FLOAT", "string": "VARCHAR", "boolean": "BOOLEAN",
+              "timestamp_ntz": "TIMESTAMP", "date": "DATE"}
+
+
+def duck_type(spark_type: str) -> str:
+    """A Spark type string in DuckDB's spelling."""
+    if spark_type.startswith("array<") and spark_type.endswith(">"):
+        return duck_type(spark_type[6:-1]) + "[]"
+    if spark_type.startswith("decimal"):
+        return spark_type.upper()
+    return DUCK_TYPES.get(spark_type, spark_type.upper())
 
 
 def types(spark_df, con, sql: str) -> tuple[dict, dict]:
     """Column types of both sides in DuckDB's names (no execution needed)."""
-    s = {f.name: DUCK_TYPES.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in spark_df.schema.fields}
+    s = {f.name: duck_type(f.dataType.simpleString()) for f in spark_df.schema.fields}
     rel = con.sql(sql)
     return s, dict(zip(rel.columns, [str(t) for t in rel.types]))
 
