@@ -55,3 +55,30 @@ def test_session_stream_with_local_merge(spark):
     assert got == want
     # one merge before the shuffle (map side) and one after it
     assert plan.count("MergingSessions") == 2
+
+
+def test_session_table_stream_to_parquet_emits_closed_sessions(spark):
+    """Append output: every session the watermark has passed is written once, as in batch."""
+    from pyspark.sql import functions as F
+
+    conf = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
+    src = fx.log_text_path(spark, SF001)
+    sink = os.path.join(tempfile.mkdtemp(prefix="tl-sess-out-"), "sessions")
+    before = spark.conf.get(conf, None)
+    q = SL.start_session_table_stream(SL.read_log_stream(spark, src), sink, gap_secs=21_600, watermark="1 hour")
+    q.awaitTermination(300)
+    assert spark.conf.get(conf, None) == before  # the caller's setting is untouched
+    plan = q._jsq.streamingQuery().lastExecution().executedPlan().toString()
+    assert plan.count("MergingSessions") == 2  # merged map-side, then after the shuffle
+    got = spark.read.parquet(sink)
+    hits = logs.read_access_log(spark, src)
+    batch = S.session_windows(hits, gap_secs=21_600)
+    # a session is final once the watermark (last event - 1 h) is past its window end (last hit + gap - 1 s)
+    last = hits.agg(F.max("date_time")).first()[0]
+    closed = batch.where(
+        F.expr("session_start + make_interval(0, 0, 0, 0, 0, 0, session_secs + 21599)")
+        < F.lit(last) - F.expr("INTERVAL 1 HOUR")
+    )
+    key = lambda df: sorted((r.cl_ip, r.session_start, r.session_secs, r.hits) for r in df.collect())
+    emitted = key(got)
+    assert emitted and set(key(closed)) <= set(emitted) and set(emitted) <= set(key(batch))

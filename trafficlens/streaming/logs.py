@@ -90,3 +90,46 @@ def session_table_stream(
         (col("_s1") - col("_s0")).alias("session_secs"),
         "hits",
     )
+
+
+_LOCAL_MERGE = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
+
+
+def start_session_table_stream(
+    hits: DataFrame,
+    sink_dir: str,
+    checkpoint: str | None = None,
+    user: str = "cl_ip",
+    ts: str = "date_time",
+    gap_secs: int = DEFAULT_GAP_SECS,
+    watermark: str = "1 hour",
+    merge_locally: bool = True,
+    available_now: bool = True,
+) -> StreamingQuery:
+    """Run ``session_table_stream`` into a parquet table (append: each session
+    once, when the watermark has passed it).
+
+    With ``merge_locally`` the query merges each client's events into sessions
+    inside every partition before the shuffle, so a client holding a large
+    share of a micro-batch reaches its task as a few session rows. The setting
+    is made for this query only: a streaming query keeps a copy of the session
+    settings from its start, and the caller's value is restored right after.
+    """
+    sessions = session_table_stream(hits, user=user, ts=ts, gap_secs=gap_secs, watermark=watermark)
+    spark = hits.sparkSession
+    before = spark.conf.get(_LOCAL_MERGE, None)
+    spark.conf.set(_LOCAL_MERGE, str(merge_locally).lower())
+    try:
+        writer = (
+            sessions.writeStream.format("parquet")
+            .option("path", sink_dir)
+            .option("checkpointLocation", checkpoint or sink_dir.rstrip("/") + "_checkpoint")
+            .outputMode("append")
+        )
+        writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+        return writer.start()
+    finally:
+        if before is None:
+            spark.conf.unset(_LOCAL_MERGE)
+        else:
+            spark.conf.set(_LOCAL_MERGE, before)
