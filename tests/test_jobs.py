@@ -54,3 +54,11 @@ def test_users_job_with_one_device_class_only(spark):
     u = jobs.users_job(spark, f"{out}/log", f"{out}/users", k={"web": 2}, sweep={"web": [2]})
     assert "kmeans_mobile" not in u and "kmeans_web" in u
     assert {r.device for r in spark.read.parquet(u["cluster_stats"]).collect()} == {"web"}
+
+
+def test_cli_parse_without_rejects(spark, capsys):
+    out = tempfile.mkdtemp(prefix="tl-jobs-cli-")
+    jobs.main(["parse", fx.log_text_path(spark, SF001), f"{out}/parse", "--no-rejects"])
+    printed = dict(line.split("\t") for line in capsys.readouterr().out.strip().splitlines())
+    assert set(printed) == {"hits"}
+    assert spark.read.parquet(printed["hits"]).count() == 990
