@@ -59,6 +59,7 @@ def main() -> None:
         "sessionize_window": lambda: S.sessionize(hits, strategy="window"),
         "session_table": lambda: S.session_table(S.sessionize(hits)),
         "session_windows_6h": lambda: S.session_windows(hits, gap_secs=21_600),
+        "session_spans": lambda: S.session_spans(hits),
         "top_users_from_lines": lambda: S.top_users(S.session_table(S.sessionize(parsed())), k=100),
         "load_features_second": lambda: L.moving_average(
             L.add_lags(L.add_next(L.load_features(hits, "second", ["DELETE", "GET", "POST"])))
