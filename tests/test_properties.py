@@ -18,7 +18,7 @@ hit = st.tuples(
 )
 
 
-@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=25, deadline=None, derandomize=True, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
     hits=st.lists(hit, min_size=1, max_size=40),
     gap=st.sampled_from([1, 2, 30, 899, 900, 3600]),
