@@ -1,0 +1 @@
+"""DataFrame-to-DataFrame operators: sessions, load features, devices, statistics, models."""

@@ -1,0 +1 @@
+"""Compositions: the registered queries, their DuckDB oracle, and the four batch jobs."""

@@ -1,0 +1 @@
+"""The parser and the session aggregate on Structured Streaming."""
