@@ -9,6 +9,7 @@ k sweeps) are persisted first.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
 from pyspark.ml import Model
@@ -161,11 +162,20 @@ def wssse(model: KMeansModel) -> float:
 
 
 def kmeans_sweep(
-    df: DataFrame, ks: Iterable[int] = range(4, 12), features: str = "features", seed: int = 1
+    df: DataFrame, ks: Iterable[int] = range(4, 12), features: str = "features", seed: int = 1, parallelism: int = 4
 ) -> DataFrame:
-    """``k, wssse`` for each k, on a persisted vector table."""
+    """``k, wssse`` for each k, on a persisted vector table.
+
+    The fits are independent, so up to ``parallelism`` of them run as
+    concurrent Spark jobs over the one cached table (as ``CrossValidator``
+    does with its ``parallelism``); each is seeded, so results do not depend
+    on the order.
+    """
+    ks = [int(k) for k in ks]
     with _persisted(df, [features]) as data:
-        rows = [(int(k), wssse(fit_kmeans(data, int(k), features, seed))) for k in ks]
+        with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(ks)))) as pool:
+            costs = list(pool.map(lambda k: wssse(fit_kmeans(data, k, features, seed)), ks))
+        rows = list(zip(ks, costs))
     return df.sparkSession.createDataFrame(rows, "k int, wssse double")
 
 
