@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from ..operators.load import FEATURE_COLUMNS
 from ..sources.fixtures import HITS_COLUMNS, HITS_SELECT
-from .queries import DIGITS, GAP, GAP_6H, LAGS
+from .queries import CUTOFF, DIGITS, GAP, GAP_6H, LAGS
 
 
 def _es(x: str) -> str:
@@ -243,6 +243,9 @@ ORACLE: dict[str, str] = {
     "time_cut": _with_features(
         "SELECT bucket, ct_url, bucket >= (SELECT max(bucket) FROM lf) - INTERVAL 1 DAY AS is_holdout FROM lf"
     ),
+    "time_cut_literal": _with_features(
+        f"SELECT bucket, ct_url, bucket >= TIMESTAMP '{CUTOFF}' AS is_holdout FROM lf"
+    ),
     "device_counts": f"WITH {HITS}\nSELECT {_DEVICE} AS device, count(*) AS hits FROM hits GROUP BY 1",
     "device_session_time": _with_sessions(
         GAP_6H, f"SELECT device, cl_ip, {_r('session_secs')} AS session_secs FROM dt", ctes=(_device_time_cte(),)

@@ -217,6 +217,14 @@ def q_time_cut(spark, sf):
     return L.time_cut(_features(spark, sf), last="1 day").select("bucket", "ct_url", "is_holdout")
 
 
+CUTOFF = "2024-01-25 12:00:00"
+
+
+def q_time_cut_literal(spark, sf):
+    """A cutoff given as text, as the reference's constant cut time."""
+    return L.time_cut(_features(spark, sf), cutoff=CUTOFF).select("bucket", "ct_url", "is_holdout")
+
+
 # ---- devices -------------------------------------------------------------------
 
 def q_device_counts(spark, sf):
@@ -412,6 +420,7 @@ QUERIES: dict[str, Query] = {
     "load_lags": q_load_lags,
     "moving_average": q_moving_average,
     "time_cut": q_time_cut,
+    "time_cut_literal": q_time_cut_literal,
     "device_counts": q_device_counts,
     "device_session_time": q_device_session_time,
     "device_gap": q_device_gap,
