@@ -8,6 +8,7 @@ places in the output only, so that the DuckDB oracle can compare them.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -327,13 +328,14 @@ def q_tree_fit(spark, sf):
 
 
 def _clustered(spark, sf) -> DataFrame:
+    """Each device's users scored by that device's k-means model; the two
+    independent fits run as concurrent Spark jobs."""
     feats = M.assemble(L.fill_zero(_user_features(spark, sf), USER_FEATURES), USER_FEATURES)
-    parts = []
-    for dev, k in KMEANS_K.items():
-        part = feats.where(col("device") == dev)
-        model = M.fit_kmeans(part, k)
-        parts.append(M.score(model, part))
-    return parts[0].unionByName(parts[1])
+    parts = {dev: feats.where(col("device") == dev) for dev in KMEANS_K}
+    with ThreadPoolExecutor(max_workers=len(parts)) as pool:
+        models = dict(zip(parts, pool.map(lambda d: M.fit_kmeans(parts[d], KMEANS_K[d]), parts)))
+    scored = [M.score(models[dev], part) for dev, part in parts.items()]
+    return scored[0].unionByName(scored[1])
 
 
 def q_kmeans_users(spark, sf):
