@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from . import exact_dedup as X
 from . import nbsvm as NB
+from . import ngram_join as NJ
 from . import secrets as SEC
 from . import url_reputation as U
 
@@ -46,6 +47,10 @@ def op3_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return NJ.ngram_join(_table(spark, sf_dir, "documents"))
+
+
 def op9_quality_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return NB.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -57,6 +62,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secret_scan": op2_secret_scan,
     "op3_url_reputation": op3_url_reputation,
+    "op8_ngram_join": op8_ngram_join,
     "op9_quality_nbsvm": op9_quality_nbsvm,
     "op10_exact_dedup": op10_exact_dedup,
 }
