@@ -25,7 +25,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.tables import materialize
@@ -259,6 +259,38 @@ def ngram_join(
     id are rows of their own. Other columns are ignored. ``threshold`` must
     be 0.7 or more: the bands are laid out for 0.8.
     """
+    rows, classes, _ = _joined(df, id_col, text_col, n, threshold, tolerance, block, verify_block)
+    return rows.select("id", "k").join(classes.drop("keep_id", "keep_h"), "k", "left").select(
+        F.col("id").alias(id_col),
+        F.coalesce("class_id", F.when(F.col("k").isNull(), F.col("id"))).alias("class_id"),
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+        F.coalesce("class_size", F.lit(1)).cast("long").alias("class_size"),
+    )
+
+
+def keep_one(
+    df: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    n: int = 5,
+    threshold: float = 0.8,
+    tolerance: float = 1e-4,
+    block: int = 512,
+    verify_block: int = 256,
+) -> DataFrame:
+    """The rows of ``df``, all columns, with one row of each linked group (see
+    ``ngram_join``): that with the smallest id, null last. Texts without a gram
+    stay, one row per id and text."""
+    rows, classes, base = _joined(df, id_col, text_col, n, threshold, tolerance, block, verify_block)
+    kept = classes.select(F.col("keep_id").alias("_id"), F.col("keep_h").alias("_h")).union(rows.where("k is null").select("id", "h")).distinct()
+    whole = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), F.col(id_col).alias("_own"), F.xxhash64(text_or_empty(text_col)).alias("_hash"))
+    found = whole.join(kept, F.col("_own").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_h")))
+    once = Window.partitionBy("_id", "_h").orderBy(F.lit(1))
+    return found.withColumn("_n", F.row_number().over(once)).where("_n = 1").select("_row.*")
+
+
+def _joined(df: DataFrame, id_col: str, text_col: str, n: int, threshold: float, tolerance: float, block: int, verify_block: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows (id, h, k), classes by k, and the input as (id, text, h)."""
     if not 0.7 <= threshold <= 1.0:
         raise ValueError("threshold must be between 0.7 and 1")
     ship(df.sparkSession)
@@ -306,13 +338,16 @@ def ngram_join(
     )
     final = connected_components(found.select("u", "v"))
     counted = found.groupBy(F.col("u").alias("k")).agg(F.sum("links").alias("links"))
-    classes = reps.select("k", "rep", "copies").join(final.select(F.col("node").alias("k"), "component"), "k", "left")
+    classes = reps.select("k", "rep", "h", "copies").join(final.select(F.col("node").alias("k"), "component"), "k", "left")
     classes = classes.join(counted, "k", "left").withColumn("component", F.coalesce("component", "k"))
-    named = classes.groupBy("component").agg(F.min("rep").alias("class_id"), F.sum("copies").alias("class_size"))
-    classes = classes.join(named, "component").select("k", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "class_size")
-    return rows.select("id", "k").join(classes, "k", "left").select(
-        F.col("id").alias(id_col),
-        F.coalesce("class_id", F.when(F.col("k").isNull(), F.col("id"))).alias("class_id"),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-        F.coalesce("class_size", F.lit(1)).cast("long").alias("class_size"),
+    first = F.min(F.struct(F.col("rep").isNull().alias("none"), "rep", "h"))
+    named = classes.groupBy("component").agg(first.alias("first"), F.sum("copies").alias("class_size"))
+    classes = classes.join(named, "component").select(
+        "k",
+        F.col("first.rep").alias("class_id"),
+        (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+        "class_size",
+        F.col("first.rep").alias("keep_id"),
+        F.col("first.h").alias("keep_h"),
     )
+    return rows.select("id", "h", "k"), classes, base

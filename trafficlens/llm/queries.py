@@ -3,21 +3,34 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import byte_bpe as BPE
 from . import exact_dedup as X
+from . import kmeans_tree as KT
+from . import mixing as MX
 from . import nbsvm as NB
 from . import ngram_join as NJ
 from . import secrets as SEC
+from . import token_files as TF
 from . import url_reputation as U
+from . import warc as W
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    back = TF.token_files(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), vocabulary_size=49_408, end_id=1)
+    return back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = SEC.scan_secrets(_table(spark, sf_dir, "documents"))
     count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
@@ -47,6 +60,35 @@ def op3_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op4_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return KT.nearest(_table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5)
+
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return W.warc_round_trip(_table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op6_weighted_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return MX.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@lru_cache(maxsize=4)
+def vocabulary(name: str = "byte_bpe_multi_50k.tiktoken") -> BPE.Vocabulary:
+    import public_tokenizers
+
+    return BPE.Vocabulary(BPE.load_ranks(public_tokenizers.path(name)), public_tokenizers.PATTERN)
+
+
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = BPE.encode(_table(spark, sf_dir, "documents"), vocabulary())
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return NJ.ngram_join(_table(spark, sf_dir, "documents"))
 
@@ -60,8 +102,13 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_files": op1_token_files,
     "op2_secret_scan": op2_secret_scan,
     "op3_url_reputation": op3_url_reputation,
+    "op4_kmeans_tree": op4_kmeans_tree,
+    "op5_warc": op5_warc,
+    "op6_weighted_mix": op6_weighted_mix,
+    "op7_byte_bpe": op7_byte_bpe,
     "op8_ngram_join": op8_ngram_join,
     "op9_quality_nbsvm": op9_quality_nbsvm,
     "op10_exact_dedup": op10_exact_dedup,
