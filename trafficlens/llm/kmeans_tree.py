@@ -4,8 +4,8 @@ The tree is fitted on a bounded sample; every row is put into a leaf. A query
 visits leaves best bin first: a priority queue holds the open nodes by the
 similarity of their centre, and the best is opened next. How many leaves are
 visited is calibrated: for a bounded sample of queries the true neighbours are
-found by brute force over all rows, and the visits are doubled until the
-sample's recall reaches the wanted value.
+found by brute force over all rows, and the visits are widened by a quarter
+until the sample's recall reaches the wanted value.
 
 Equal vectors are folded first: of a group only the ``k + 1`` smallest ids can
 be among anyone's ``k`` nearest, so a vector shared by a third of all rows is
@@ -214,7 +214,7 @@ def brute_force(rows: DataFrame, queries: list[tuple[int, bytes]], k: int) -> Da
 
 
 def calibrated_visits(tree: Tree, queries: list[tuple[int, bytes]], truth: dict[int, list[np.ndarray]], recall: float) -> tuple[int, float]:
-    """Leaves to visit, doubled until the true neighbours found reach ``recall``;
+    """Leaves to visit, widened by a quarter until the true neighbours found reach ``recall``;
     ``truth`` has the vectors of each query's neighbours."""
     needed = []
     for key, v in queries:
@@ -226,7 +226,7 @@ def calibrated_visits(tree: Tree, queries: list[tuple[int, bytes]], truth: dict[
         return tree.leaves, 1.0
     visits = 1
     while visits < tree.leaves and np.mean(np.array(needed) < visits) < recall:
-        visits *= 2
+        visits += -(-visits // 4)
     return min(visits, tree.leaves), float(np.mean(np.array(needed) < visits))
 
 
@@ -236,16 +236,18 @@ def nearest(
     k: int = 5,
     id_col: str = "vec_id",
     vector_col: str = "embedding",
-    recall: float = 0.98,
+    recall: float = 0.95,
     sample: int = 20_000,
     calibration: int = 200,
-    leaf_rows: int = 256,
+    leaf_rows: int | None = None,
     block: int = 4096,
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: for each row for which ``is_query``
     (an expression on ``id``) holds, the ``k`` nearest other rows found by
     cosine, ties to the smaller id; all of them if there are fewer.
 
+    ``leaf_rows`` is the most rows of a leaf, measured on the sample; by
+    default four times the square root of the number of distinct vectors.
     The tree is fitted on at most ``sample`` distinct vectors and calibrated on
     at most ``calibration`` queries; every row is indexed and every query is
     answered. Unusable vectors (see ``usable_vectors``) take no part. Rows
@@ -265,7 +267,7 @@ def nearest(
     if not chosen:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
     x = _unit(np.frombuffer(b"".join(r["v"] for r in chosen), np.float64).reshape(len(chosen), -1))
-    tree = build_tree(x, max(8, int(leaf_rows * len(chosen) / total)))
+    tree = build_tree(x, max(8, int((leaf_rows or 4 * total**0.5) * len(chosen) / total)))
 
     tests = [(r["key"], bytes(r["v"])) for r in queries.orderBy(F.xxhash64("v"), "key").limit(calibration).collect()]
     truth: dict[int, list[np.ndarray]] = {}

@@ -22,7 +22,9 @@ Numbers are little-endian; codes are written from the highest bit down.
 from __future__ import annotations
 
 import os
+import re
 import struct
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -43,66 +45,122 @@ LONGEST = 64
 ODD_SPACE = ("\x1c", "\x1d", "\x1e", "\x1f")  # split() takes them for white space, the library does not
 
 
+# Latin letters whose lower case is one letter and which no normal form changes, then punctuation without
+# the apostrophe (which starts contractions)
+LATIN_WORD = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([!-&(-/:-@[-`{-~]*)").fullmatch
+
+
+def id_type(vocabulary_size: int) -> np.dtype:
+    """Of ids at rest: two bytes where they suffice."""
+    return np.dtype("<u2" if vocabulary_size <= 1 << 16 else "<u4")
+
+
+def byte_letters() -> dict[int, str]:
+    """The printable stand-in of each byte in byte-level vocabularies: printable
+    Latin-1 characters stand for themselves, the rest follow from U+0100."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
 # ---- texts to ids ---------------------------------------------------------
 
 
 class WordMemory:
     """Ids of texts by the library, word by word. For vocabularies that drop
-    white space and never merge across it, a text's ids are those of its words
-    in turn; distinct words of a batch are encoded in one library call."""
+    white space and case and never merge across a change between letters and
+    punctuation, a text's ids are those of its words in turn, and those of a
+    word are its letters' and its punctuation's. Distinct letter runs go to the
+    library's model directly, other distinct words of a batch to the whole
+    tokenizer in one call."""
 
-    def __init__(self, path: str, by_word: bool):
+    def __init__(self, path: str, by_word: bool, kind: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core per task
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.by_word = by_word
+        self.code = "H" if np.dtype(kind).itemsize == 2 else "I"
+        self.letters = byte_letters()
+        self.model = self.tokenizer.model
         self.known: dict[str, bytes] = {}
+        self.runs: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(c.ids, np.uint32).tobytes() for c in coded]
+        return [array(self.code, c.ids).tobytes() for c in coded]
+
+    def _run(self, run: str) -> bytes:
+        """Ids of one lower-case run of letters or of punctuation."""
+        ids = self.runs.get(run)
+        if ids is None:
+            written = run if run.isascii() else run.encode().decode("latin-1").translate(self.letters)
+            ids = array(self.code, [t.id for t in self.model.tokenize(written)]).tobytes()
+            if len(run) <= LONGEST:
+                self.runs[run] = ids
+        return ids
+
+    def _learn(self, fresh: list[str]) -> None:
+        known, other = self.known, []
+        for word in fresh:
+            found = LATIN_WORD(word)
+            if found is None:
+                other.append(word)
+                continue
+            run, tail = found.groups()
+            known[word] = self._run(run.lower()) + self._run(tail) if tail else self._run(run.lower())
+        known.update(zip(other, self._encode(other)))
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian u32 bytes."""
+        """Ids of each text as little-endian bytes."""
         if not self.by_word:
             return self._encode(texts)
         if len(self.known) > MEMORY:
             self.known = {}
+        if len(self.runs) > MEMORY:
+            self.runs = {}
         lists = [None if any(c in t for c in ODD_SPACE) else t.split() for t in texts]
-        fresh = list(set().union(*[w for w in lists if w]) - self.known.keys())
         known = self.known
-        known.update(zip(fresh, self._encode(fresh)))
+        fresh = list(set().union(*[w for w in lists if w]) - known.keys())
+        self._learn(fresh)
         out = [self._encode([t])[0] if w is None else b"".join(map(known.__getitem__, w)) for t, w in zip(texts, lists)]
-        for w in fresh:
-            if len(w) > LONGEST:
-                del known[w]
+        for word in fresh:
+            if len(word) > LONGEST:
+                del known[word]
         return out
 
 
 @lru_cache(maxsize=2)
-def _memory(path: str, by_word: bool) -> WordMemory:
-    return WordMemory(path, by_word)
+def _memory(path: str, by_word: bool, kind: str) -> WordMemory:
+    return WordMemory(path, by_word, kind)
 
 
 def encode_documents(
-    df: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", by_word: bool = True, batch: int = 256
+    df: DataFrame,
+    tokenizer_path: str,
+    vocabulary_size: int,
+    end_id: int,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    by_word: bool = True,
+    batch: int = 256,
 ) -> DataFrame:
     """``doc_id, n, ids`` for each row: the ids of the whole text (null: empty)
-    with ``end_id`` appended, as u32 bytes, and their number. The tokenizer file
-    must be readable on the executors. ``by_word=False`` encodes whole texts in
+    with ``end_id`` appended, as bytes of ``id_type``, and their number. The
+    tokenizer file must be readable on the executors. ``by_word=False`` encodes whole texts in
     one call each, for vocabularies whose tokens may cross white space."""
     ship(df.sparkSession)
+    kind = id_type(vocabulary_size)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory, end = _memory(tokenizer_path, by_word), np.uint32(end_id).tobytes()
+        memory, end = _memory(tokenizer_path, by_word, kind.str), np.array([end_id], kind).tobytes()
         for rows in batches:
             for i in range(0, rows.num_rows, batch):
                 part = rows.slice(i, batch)
                 ids = [x + end for x in memory.encode_batch(part.column(1).to_pylist())]
                 yield pa.record_batch(
-                    [part.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())], names=["doc_id", "n", "ids"]
+                    [part.column(0), pa.array([len(x) // kind.itemsize for x in ids], pa.int64()), pa.array(ids, pa.binary())], names=["doc_id", "n", "ids"]
                 )
 
     return df.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text")).mapInArrow(run, "doc_id bigint, n bigint, ids binary")
@@ -205,7 +263,7 @@ def decode_blocks(blocks: list[tuple[int, np.ndarray, bytes]], table: tuple[np.n
 # ---- files ----------------------------------------------------------------
 
 
-def _write_partition(folder: str, shared):
+def _write_partition(folder: str, shared, kind: np.dtype):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, attempt = this_task()
         codes, lengths = shared.value
@@ -230,7 +288,7 @@ def _write_partition(folder: str, shared):
 
             for rows in all_rows():
                 for doc, ids in zip(rows.column(0).to_pylist(), rows.column(2)):
-                    own = np.frombuffer(ids.as_buffer(), np.uint32)
+                    own = np.frombuffer(ids.as_buffer(), kind)
                     index.append(struct.pack("<BqQ", doc is not None, doc or 0, len(own)))
                     held.append(own)
                     n_held += len(own)
@@ -256,12 +314,13 @@ def write_tokens(tokens: DataFrame, folder: str, vocabulary_size: int, limit: in
     data."""
     spark = tokens.sparkSession
     ship(spark)
+    kind = id_type(vocabulary_size)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(vocabulary_size, np.int64)
         for rows in batches:
             for ids in rows.column(0):
-                total += np.bincount(np.frombuffer(ids.as_buffer(), np.uint32), minlength=vocabulary_size)
+                total += np.bincount(np.frombuffer(ids.as_buffer(), kind), minlength=vocabulary_size)
         used = np.flatnonzero(total)
         yield pa.record_batch([pa.array(used.astype(np.int32)), pa.array(total[used])], names=["id", "n"])
 
@@ -280,7 +339,7 @@ def write_tokens(tokens: DataFrame, folder: str, vocabulary_size: int, limit: in
         .sortWithinPartitions("doc_id", "_h")
         .select("doc_id", "n", "ids")
     )
-    written = ordered.mapInArrow(_write_partition(f"{folder}/data", shared), "part int, file string, docs bigint, ids bigint")
+    written = ordered.mapInArrow(_write_partition(f"{folder}/data", shared, kind), "part int, file string, docs bigint, ids bigint")
     written.write.parquet(f"{folder}/files.parquet")
     return folder
 
@@ -376,6 +435,6 @@ def token_files(
     spark = df.sparkSession
     folder = folder or scratch_path(spark, "token-files")
     draft = f"{folder}/_ids"
-    encode_documents(df, tokenizer_path, end_id, id_col, text_col, by_word).write.option("compression", "zstd").parquet(draft)
+    encode_documents(df, tokenizer_path, vocabulary_size, end_id, id_col, text_col, by_word).write.option("compression", "zstd").parquet(draft)
     write_tokens(spark.read.parquet(draft), folder, vocabulary_size)
     return read_tokens(spark, folder)
