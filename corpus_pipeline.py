@@ -49,10 +49,10 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every row, and whether they decode to its text."""
-    ids = byte_bpe.encoder(spark, vocabulary())("text")
-    coded = docs.select("doc_id", "source", F.encode(F.coalesce("text", F.lit("")), "utf-8").alias("raw"), ids.alias("ids"))
-    back = byte_bpe.decoder(spark, vocabulary())(F.col("ids"))
-    return coded.select("doc_id", "source", F.size("ids").cast("long").alias("n_tokens"), (back == F.col("raw")).alias("round_trip"), "ids")
+    code = byte_bpe.coder(spark, vocabulary())
+    coded = docs.select("doc_id", "source", F.encode(F.coalesce("text", F.lit("")), "utf-8").alias("raw"), code("text").alias("coded"))
+    same = F.col("coded.decoded") == F.col("raw")
+    return coded.select("doc_id", "source", F.size("coded.ids").cast("long").alias("n_tokens"), same.alias("round_trip"), "coded.ids")
 
 
 STAGES = [("quality", quality), ("exact_dedup", exact), ("near_duplicates", near), ("mix", mix), ("encode", encode)]

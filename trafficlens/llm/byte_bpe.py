@@ -13,6 +13,7 @@ worker remembers the ids of frequent pieces in a table of bounded size.
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
 
@@ -21,14 +22,15 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, IntegerType
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
 
 from .common import ship, text_or_empty
 
 # how the public rank files split text before merging
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-MEMORY = 400_000  # remembered pieces per worker
-LONGEST = 64  # characters of a remembered piece
+MEMORY = 250_000  # remembered pieces per worker
+LONGEST = 32  # characters of a remembered piece
+NONE = (1 << 32) - 1  # in place of an id: merged away, or past the end
 _M64 = (1 << 64) - 1
 
 
@@ -77,16 +79,17 @@ class Vocabulary:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str = PATTERN):
         self.pattern = pattern
-        self.ranks = ranks
         self.keys = list(ranks)
         self.ids = [ranks[k] for k in self.keys]
         self.hash = PerfectHash(self.keys)
         self.tokens: list[bytes] = [b""] * (max(self.ids, default=-1) + 1)
         for k, i in ranks.items():
             self.tokens[i] = k
-
-    def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if not k.startswith("_")}
+        self.bytes = [ranks[bytes([b])] for b in range(256)]
+        # rank (shifted) of the token that two adjacent tokens make, by their ids
+        self.pairs = {
+            ranks[k[:c]] << 32 | ranks[k[c:]]: i << 32 for k, i in ranks.items() for c in range(1, len(k)) if k[:c] in ranks and k[c:] in ranks
+        }
 
     def whole(self, piece: bytes) -> int | None:
         at = self.hash.find(piece)
@@ -94,28 +97,40 @@ class Vocabulary:
 
     def merge(self, piece: bytes) -> list[int]:
         """Merge the lowest-ranked adjacent pair (the leftmost of equals) until
-        no pair is a token."""
-        ranks, n = self.ranks, len(piece)
-        part = [piece[i : i + 1] for i in range(n)]
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(r, i, 2) for i in range(n - 1) if (r := ranks.get(piece[i : i + 2])) is not None]
+        no pair is a token. A heap entry is rank and position in one number; it
+        counts only while it is the entry of its position in ``now``. One
+        position past the end, which no pair can use, closes the list both
+        ways."""
+        pair, n = self.pairs.get, len(piece)
+        ids = list(map(self.bytes.__getitem__, piece))
+        now = [pair(a << 32 | b, -1) for a, b in zip(ids, ids[1:])]
+        now = [r | i if r >= 0 else -1 for i, r in enumerate(now)]
+        heap = [x for x in now if x >= 0]
         heapify(heap)
+        ids.append(NONE)
+        now += (-1, -1)
+        after, before = list(range(1, n + 2)), list(range(-1, n))
         while heap:
-            _, i, size = heappop(heap)
-            j = after[i] if part[i] else n
-            if j >= n or len(part[i]) + len(part[j]) != size:
-                continue  # one side was merged away meanwhile
-            whole = part[i] = part[i] + part[j]
-            part[j] = b""
-            k = after[i] = after[j]
-            if k < n:
-                before[k] = i
-                if (r := ranks.get(whole + part[k])) is not None:
-                    heappush(heap, (r, i, size + len(part[k])))
-            h = before[i]
-            if h >= 0 and (r := ranks.get(part[h] + whole)) is not None:
-                heappush(heap, (r, h, len(part[h]) + size))
-        return [ranks[p] for p in part if p]
+            top = heappop(heap)
+            i = top & 0xFFFFFFFF
+            if now[i] != top:
+                continue
+            r = top >> 32
+            j, h = after[i], before[i]
+            k = after[j]
+            ids[i], ids[j], now[j] = r, NONE, -1
+            after[i], before[k] = k, i
+            q = pair(r << 32 | ids[k], -1)
+            if q >= 0:
+                q |= i
+                heappush(heap, q)
+            now[i] = q
+            q = pair(ids[h] << 32 | r, -1)
+            if q >= 0:
+                q |= h
+                heappush(heap, q)
+            now[h] = q
+        return [x for x in ids if x != NONE]
 
     def encode_piece(self, piece: bytes) -> list[int]:
         whole = self.whole(piece)
@@ -156,7 +171,7 @@ class Encoder:
         self.after_space = _Memory(lambda piece: self._pieces(" " + piece), MEMORY)
 
     def _token(self, token: str) -> bytes:
-        return np.array(self.vocabulary.encode_piece(token.encode()), np.int32).tobytes()
+        return array("i", self.vocabulary.encode_piece(token.encode())).tobytes()
 
     def _pieces(self, text: str) -> bytes:
         return b"".join([self.by_token[t] for t in self.split(text)])
@@ -213,6 +228,15 @@ def encoder(spark: SparkSession, vocabulary: Vocabulary):
     return lambda col: udf(text_or_empty(col))
 
 
+def decode_lists(lists: pa.Array, tokens: list[bytes]) -> pa.Array:
+    """The bytes of each list of ids, one list at a time."""
+    token, out = tokens.__getitem__, []
+    ids, ends = np.asarray(lists.values), lists.offsets.to_numpy()
+    for i in range(len(lists)):
+        out.append(b"".join(map(token, ids[ends[i] : ends[i + 1]].tolist())) if lists[i].is_valid else b"")
+    return pa.array(out, pa.binary())
+
+
 def decoder(spark: SparkSession, vocabulary: Vocabulary):
     """A function from an ``array<int>`` column to the bytes it stands for. An
     id outside the vocabulary is an error; null and empty arrays are empty."""
@@ -220,19 +244,33 @@ def decoder(spark: SparkSession, vocabulary: Vocabulary):
     shared = spark.sparkContext.broadcast(_Shared(vocabulary))
 
     def decode_column(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        token = shared.value.vocabulary.tokens.__getitem__
         for lists in batches:
-            yield pa.array([b"".join(map(token, ids or ())) for ids in lists.to_pylist()], pa.binary())
+            yield decode_lists(lists, shared.value.vocabulary.tokens)
 
     udf = F.arrow_udf(decode_column, BinaryType())
     return lambda col: udf(col)
 
 
+def coder(spark: SparkSession, vocabulary: Vocabulary):
+    """A function from a text column to ``struct(ids, decoded)``: encoded, and
+    decoded from the ids, in one pass through Python."""
+    ship(spark)
+    shared = spark.sparkContext.broadcast(_Shared(vocabulary))
+
+    def code_column(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        own = _encoder(shared)
+        for texts in batches:
+            ids = int_lists([own.encode(t.as_py()) for t in texts])
+            yield pa.StructArray.from_arrays([ids, decode_lists(ids, own.vocabulary.tokens)], names=["ids", "decoded"])
+
+    udf = F.arrow_udf(code_column, StructType([StructField("ids", ArrayType(IntegerType())), StructField("decoded", BinaryType())]))
+    return lambda col: udf(text_or_empty(col))
+
+
 def encode(df: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``<id_col>, ids, decoded`` for each row, in one pass without a shuffle:
     the token ids of the whole text and the bytes these ids decode to. Null
     text is empty text (no ids, no bytes). Ids may be null or repeat; other
     columns are ignored. An empty table gives an empty result."""
-    spark = df.sparkSession
-    coded = df.select(F.col(id_col), encoder(spark, vocabulary)(text_col).alias("ids"))
-    return coded.withColumn("decoded", decoder(spark, vocabulary)(F.col("ids")))
+    code = coder(df.sparkSession, vocabulary)
+    return df.select(F.col(id_col), code(text_col).alias("_coded")).select(id_col, "_coded.ids", "_coded.decoded")
