@@ -138,11 +138,12 @@ def session_intervals(
     first_devices: DataFrame, intervals: DataFrame, user: str = "cl_ip", device_col: str = "device"
 ) -> DataFrame:
     """Predicted range for each session: the interval of the user's cluster in
-    the model of the session's first-hit device (M15 with M16).
+    the model of the session's first-hit device (M15 with M16). Sessions without
+    an interval, such as those whose first hit has no agent, keep null ``lo, hi``.
 
     ``intervals`` has one row per (device, user) with ``lo, hi``; it grows with
     the number of users, so this is a shuffle join on (device, user), not a
     broadcast.
     """
     keyed = first_devices.withColumnRenamed("first_device", device_col)
-    return keyed.join(intervals.select(device_col, user, "lo", "hi"), [device_col, user], "inner")
+    return keyed.join(intervals.select(device_col, user, "lo", "hi"), [device_col, user], "left")

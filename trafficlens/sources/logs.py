@@ -37,6 +37,9 @@ LENIENT_PATTERN = (
     r'"([^"]*)" "([^"]*)" (\S+) (\S+)'
 )
 
+# the ignored text around a match may hold any character, line terminators too
+REST = r"(?s:.*)\z"
+
 _SEP = "\u0001"
 _DOUBLE_FIELDS = ("request_processing_time", "backend_processing_time", "response_processing_time")
 _LONG_FIELDS = ("received_bytes", "sent_bytes")
@@ -48,10 +51,10 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 def _line_regex(mode: str) -> str:
     if mode == "lenient":
-        return "^" + LENIENT_PATTERN + ".*$"
+        return "^" + LENIENT_PATTERN + REST
     if mode == "strict":
         # leftmost match anywhere, as an unanchored find does
-        return "^.*?" + STRICT_PATTERN + ".*$"
+        return "^(?s:.*?)" + STRICT_PATTERN + REST
     raise ValueError("mode must be 'lenient' or 'strict'")
 
 
@@ -68,9 +71,9 @@ def parse_access_log(
     text = col(col_name)
     regex = _line_regex(mode)
     rewritten = F.regexp_replace(text, regex, replacement)
-    # the rewrite is its own column, referenced twice below: Catalyst keeps it
-    # as one evaluation instead of inlining the regex into both uses
-    rewritten_once = lines.select(*keep, text.alias("_line"), rewritten.alias("_rw"))
+    # one element exploded: a barrier that filters on the parsed fields are not
+    # pushed through, so the regex stays one evaluation per line under any filter
+    rewritten_once = lines.select(*keep, text.alias("_line"), F.explode(F.array(rewritten)).alias("_rw"))
     staged = rewritten_once.select(
         *keep,
         "_line",
@@ -130,6 +133,15 @@ def split_url(df: DataFrame, column: str = "request_url") -> DataFrame:
     ).drop("_u")
 
 
+def utc_wall_clock(text):
+    """Time text -> UTC wall clock (P5). A numeric offset is applied; ``Z`` and
+    no zone at all mean UTC. Null where the text is no time."""
+    moment = text.try_cast("timestamp")
+    micros = F.unix_micros(moment).cast("decimal(20,0)") / F.lit(1_000_000)
+    shifted = F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=micros.cast("decimal(18,6)"))
+    return F.when(text.rlike(r"\d[+-]\d{2}:?\d{2}$"), shifted).otherwise(text.try_cast("timestamp_ntz"))
+
+
 def transform_log(raw: DataFrame, mode: str = "lenient") -> DataFrame:
     """Raw fields -> hits columns: endpoints split, request split, URL split, time typed.
 
@@ -139,7 +151,7 @@ def transform_log(raw: DataFrame, mode: str = "lenient") -> DataFrame:
     """
     df = split_endpoint(raw, "client_port", "cl_ip", "cl_port")
     df = split_endpoint(df, "backend_port", "bck_ip", "bck_port", missing="-" if mode == "lenient" else None)
-    df = df.withColumn("date_time", col("timestamp").try_cast("timestamp_ntz")).drop("timestamp")
+    df = df.withColumn("date_time", utc_wall_clock(col("timestamp"))).drop("timestamp")
     return split_url(split_request(df))
 
 
