@@ -25,6 +25,7 @@ from trafficlens.operators import stats as ST  # noqa: E402
 from trafficlens.runtime import local_session  # noqa: E402
 from trafficlens.sources import fixtures as fx  # noqa: E402
 from trafficlens.sources import logs  # noqa: E402
+from trafficlens.sources.tables import materialize  # noqa: E402
 
 
 def main() -> None:
@@ -50,11 +51,13 @@ def main() -> None:
 
     def kmeans_users():
         users = L.fill_zero(D.user_features(hits), ["avg_rqpt", "avg_recb", "ct_url", "session_secs"])
-        feats = M.assemble(users, ["avg_rqpt", "avg_recb", "ct_url", "session_secs"]).where("device = 'web'")
+        # fit and scoring read the written user table, so the features are computed once
+        feats = M.assemble(materialize(users.where("device = 'web'")), ["avg_rqpt", "avg_recb", "ct_url", "session_secs"])
         return M.score(M.fit_kmeans(feats, 7), feats)
 
     plans = {
         "parse_log_lines": lambda: parsed(),
+        "parse_filtered": lambda: parsed().where("cl_ip IS NOT NULL AND date_time IS NOT NULL"),
         "sessionize": lambda: S.sessionize(hits),
         "sessionize_window": lambda: S.sessionize(hits, strategy="window"),
         "session_table": lambda: S.session_table(S.sessionize(hits)),

@@ -29,7 +29,17 @@ def test_four_jobs_end_to_end(spark):
                        sweep={"mobile": [2, 3], "web": [2, 3]})
     assert spark.read.parquet(u["kmeans_sweep"]).count() == 4
     preds = spark.read.parquet(u["session_predictions"])
-    assert preds.count() == spark.read.parquet(s["sessions"]).count() - preds.where(F.lit(False)).count()
+    assert preds.count() == spark.read.parquet(s["sessions"]).count()  # none is lost, with an interval or without
+    assert {"session_secs_lo", "session_secs_hi", "ct_url_lo", "ct_url_hi"} <= set(preds.columns)
+    assert preds.where("session_secs_lo <= session_secs_hi AND ct_url_lo <= ct_url_hi").count() > 0
+    types = spark.read.parquet(ld["request_types"])
+    assert {r.request_type for r in types.select("request_type").distinct().collect()} == {
+        r.request_type for r in hits.select("request_type").distinct().collect()
+    }
+    assert types.agg(F.sum("hits")).first()[0] == hits.count()
+    summary = spark.read.parquet(ld["linear_summary"]).first()
+    res = spark.read.parquet(ld["residuals"])
+    assert res.count() == summary.n and abs(res.agg(F.avg("residuals")).first()[0]) < 1e-6
 
 
 def test_users_job_standardized(spark):

@@ -2,7 +2,6 @@
 
 import numpy as np
 import pytest
-from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from tests.conftest import SF01
@@ -133,7 +132,3 @@ def test_hash_split_is_stable_under_repartition(spark):
     assert a.exceptAll(b).count() == 0
     share = a.where(F.col("split") == "train").count() / a.count()
     assert 0.75 < share < 0.85
-
-
-def test_vectors_import_ok():
-    assert Vectors.dense([1.0]).size == 1

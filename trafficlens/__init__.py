@@ -25,7 +25,6 @@ from .operators.load import (  # noqa: F401
 from .operators.models import (  # noqa: F401
     assemble,
     cluster_interval,
-    cluster_stats,
     fit_kmeans,
     fit_linear,
     fit_linear_cv,

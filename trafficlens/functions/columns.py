@@ -61,6 +61,12 @@ def epoch_seconds(c: ColumnOrName) -> Column:
     return F.unix_timestamp(col(c))
 
 
+def epoch_micros(c: ColumnOrName) -> Column:
+    """Epoch microseconds; zone-free on ``timestamp_ntz``."""
+    fraction = (F.extract(F.lit("SECOND"), col(c)) * F.lit(1_000_000)).cast("bigint") % F.lit(1_000_000)
+    return epoch_seconds(c) * F.lit(1_000_000) + fraction
+
+
 def seconds_between(later: ColumnOrName, earlier: ColumnOrName) -> Column:
     """Difference of whole seconds, as the reference measures gaps and lengths."""
     return epoch_seconds(later) - epoch_seconds(earlier)

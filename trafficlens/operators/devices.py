@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import MOBILE, MOBILE_MARKER, WEB, col, device, non_negative, seconds_between
+from ..functions.columns import MOBILE, MOBILE_MARKER, WEB, col, device, epoch_micros, non_negative, seconds_between
 from .sessions import DEFAULT_GAP_SECS, sessionize
 
 
@@ -119,31 +119,39 @@ def first_hit_device(
 ) -> DataFrame:
     """Device of each session's first hit, which picks the model to use.
 
-    ``min_by`` over a (ts, tie-break) struct: partial aggregation, no sort.
-    By default ties at the first instant go to a hit with an agent, then to the
-    smallest agent text: the device depends only on the agent, so the answer
-    is deterministic. ``tie_break`` names other columns instead (an event id).
+    By default ties at the first instant go to mobile, then web, then no agent.
+    Time and device are then one number (microseconds, and the device's rank in
+    the last digit), so the aggregate is a ``min`` of a long: a hash aggregate
+    with map-side partials and no sort. ``tie_break`` names columns that decide
+    ties instead (an event id); that form is ``min_by`` over a struct, which
+    Spark runs as a sort aggregate.
     """
     if tie_break is None:
-        keys = [col("user_agent").isNull(), col("user_agent")]
-    else:
-        keys = [col(c) for c in tie_break]
-    order = F.struct(col(ts), *keys)
+        rank = F.coalesce(F.when(col("user_agent").contains(MOBILE_MARKER), 0).when(col("user_agent").isNotNull(), 1), F.lit(2))
+        first = F.min(epoch_micros(ts) * 10 + rank)
+        classes = F.array(F.lit(MOBILE), F.lit(WEB), F.lit(None).cast("string"))
+        firsts = session_hits.groupBy(user, "session_id").agg(F.pmod(first, F.lit(10)).cast("int").alias("_rank"))
+        return firsts.select(user, "session_id", F.get(classes, col("_rank")).alias("first_device"))
+    order = F.struct(col(ts), *[col(c) for c in tie_break])
     return session_hits.groupBy(user, "session_id").agg(
         F.min_by(device("user_agent"), order).alias("first_device")
     )
 
 
 def session_intervals(
-    first_devices: DataFrame, intervals: DataFrame, user: str = "cl_ip", device_col: str = "device"
+    first_devices: DataFrame,
+    intervals: DataFrame,
+    user: str = "cl_ip",
+    device_col: str = "device",
+    ranges: Sequence[str] = ("lo", "hi"),
 ) -> DataFrame:
     """Predicted range for each session: the interval of the user's cluster in
     the model of the session's first-hit device (M15 with M16). Sessions without
-    an interval, such as those whose first hit has no agent, keep null ``lo, hi``.
+    an interval, such as those whose first hit has no agent, keep null ``ranges``.
 
-    ``intervals`` has one row per (device, user) with ``lo, hi``; it grows with
+    ``intervals`` has one row per (device, user) with ``ranges``; it grows with
     the number of users, so this is a shuffle join on (device, user), not a
     broadcast.
     """
     keyed = first_devices.withColumnRenamed("first_device", device_col)
-    return keyed.join(intervals.select(device_col, user, "lo", "hi"), [device_col, user], "left")
+    return keyed.join(intervals.select(device_col, user, *ranges), [device_col, user], "left")

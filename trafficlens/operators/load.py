@@ -22,31 +22,29 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import col, day_quarter, non_negative, time_bucket, weekday_name
 
+# fixed values: the feature names in the order the models take them
 FEATURE_COLUMNS = ["avg_rqpt", "avg_bckpt", "avg_respt", "avg_recb", "avg_sentb", "ct_url", "GET", "POST"]
 
-# Spark's own bound on pivot values, used when the methods are discovered.
-MAX_METHODS = 10_000
 
+def request_type_counts(
+    hits: DataFrame, unit: str = "second", ts: str = "date_time", method: str = "request_type"
+) -> DataFrame:
+    """``bucket, request_type, hits``: the pivot of request types in long form.
 
-def discover_methods(hits: DataFrame, method: str = "request_type") -> list[str]:
-    """Distinct non-null request types, sorted (what a value-less pivot collects)."""
-    rows = (
-        hits.where(col(method).isNotNull())
-        .select(method)
-        .distinct()
-        .orderBy(method)
-        .limit(MAX_METHODS + 1)
-        .collect()
+    Every type of the data has its rows, however many types there are (they are
+    client text, so scanners make up new ones): no list of types is looked up,
+    and nothing goes through the driver. Hits without a type count under null.
+    """
+    timed = hits.where(col(ts).isNotNull())
+    return timed.groupBy(time_bucket(ts, unit).alias("bucket"), col(method).alias("request_type")).agg(
+        F.count(F.lit(1)).alias("hits")
     )
-    if len(rows) > MAX_METHODS:
-        raise ValueError(f"more than {MAX_METHODS} request types; pass methods explicitly")
-    return [r[0] for r in rows]
 
 
 def load_features(
     hits: DataFrame,
-    unit: str = "second",
-    methods: Sequence[str] | None = None,
+    unit: str,
+    methods: Sequence[str],
     ts: str = "date_time",
     method: str = "request_type",
 ) -> DataFrame:
@@ -58,10 +56,9 @@ def load_features(
     it as a column lets chained windows share one shuffle.
 
     Processing times of ``-1`` (no backend) are left out of the means.
-    ``methods=None`` looks the types up first, as a value-less pivot does.
+    ``methods`` names the request types that become columns;
+    ``request_type_counts`` has all types in long form.
     """
-    if methods is None:
-        methods = discover_methods(hits, method)
     timed = hits.where(col(ts).isNotNull())
     bucket = time_bucket(ts, unit).alias("bucket")
     counts = [F.count_if(col(method) == F.lit(m)).alias(m) for m in methods]
@@ -195,7 +192,8 @@ def time_cut(
 
     ``cutoff`` is a timestamp literal; ``last`` an interval such as
     ``"5 minutes"`` counted back from the latest bucket (A11), computed as a
-    scalar subquery, so nothing but one value leaves the executors.
+    scalar subquery, so nothing but one value leaves the executors. The subquery
+    evaluates ``features`` a second time: pass a written table (``materialize``).
     """
     if (cutoff is None) == (last is None):
         raise ValueError("give exactly one of cutoff or last")

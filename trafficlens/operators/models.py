@@ -28,7 +28,6 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import col
 from ..sources.tables import cache
-from .stats import group_mean_sd
 
 
 @contextmanager
@@ -179,14 +178,14 @@ def kmeans_sweep(
     return df.sparkSession.createDataFrame(rows, "k int, wssse double")
 
 
-def cluster_stats(clustered: DataFrame, value: str, cluster: str = "prediction") -> DataFrame:
-    """Mean and population sd of ``value`` per cluster, by cluster."""
-    return group_mean_sd(clustered, cluster, value)
-
-
-def cluster_interval(clustered: DataFrame, value: str, cluster: str | Sequence[str] = "prediction") -> DataFrame:
+def cluster_interval(
+    clustered: DataFrame, value: str | Sequence[str], cluster: str | Sequence[str] = "prediction"
+) -> DataFrame:
     """Each row plus ``lo, hi`` = its cluster's mean -/+ population sd.
 
+    Given several values (session length, distinct URLs), each gets its own
+    pair, ``<value>_lo, <value>_hi``, from one aggregate and one join.
+
     ``cluster`` names the key; when tables scored by several models are
     stacked (one per device), pass e.g. ``["device", "prediction"]``. The
     statistics table has one row per key; no broadcast is forced, since the key
@@ -194,13 +193,11 @@ def cluster_interval(clustered: DataFrame, value: str, cluster: str | Sequence[s
     side at run time and turns the join into a broadcast itself.
     """
     keys = [cluster] if isinstance(cluster, str) else list(cluster)
-    stats = clustered.groupBy(*keys).agg(F.avg(value).alias("_mean"), F.stddev_pop(value).alias("_sd"))
-    return (
-        clustered.join(stats, keys)
-        .withColumn("lo", col("_mean") - col("_sd"))
-        .withColumn("hi", col("_mean") + col("_sd"))
-        .drop("_mean", "_sd")
-    )
+    pairs = {value: ("lo", "hi")} if isinstance(value, str) else {v: (f"{v}_lo", f"{v}_hi") for v in value}
+    ranges = []
+    for v, (lo, hi) in pairs.items():
+        ranges += [(F.avg(v) - F.stddev_pop(v)).alias(lo), (F.avg(v) + F.stddev_pop(v)).alias(hi)]
+    return clustered.join(clustered.groupBy(*keys).agg(*ranges), keys)
 
 
 def save_model(model: Model, path: str, overwrite: bool = True) -> str:

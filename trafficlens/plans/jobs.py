@@ -29,6 +29,7 @@ from ..sources.tables import cache, read_table, write_table
 
 LOAD_FEATURES = L.FEATURE_COLUMNS
 USER_FEATURES = ["avg_rqpt", "avg_recb", "ct_url", "session_secs"]
+RANGES = ["session_secs_lo", "session_secs_hi", "ct_url_lo", "ct_url_hi"]
 
 
 def _out(base: str, name: str) -> str:
@@ -96,6 +97,8 @@ def load_job(
     feats_path = write_table(
         L.add_next(L.load_features(hits, unit=unit, methods=["GET", "POST"])), _out(out, "load_features"), mode
     )
+    # all request types, also those the models do not use
+    types_path = write_table(L.request_type_counts(hits, unit=unit), _out(out, "request_types"), mode)
     feats = read_table(spark, feats_path)
     # absent averages (a bucket whose hits all lack a backend) count as 0, as in the reference (P20)
     known = L.time_cut(L.fill_zero(L.label(feats), LOAD_FEATURES), last=holdout).where(~col("is_holdout"))
@@ -119,7 +122,9 @@ def load_job(
             F.lit("moving_average").alias("model"), "*"
         )
     )
-    paths = {"load_features": feats_path}
+    paths = {"load_features": feats_path, "request_types": types_path}
+    paths["linear_summary"] = write_table(M.linear_summary(linear), _out(out, "linear_summary"), mode)
+    paths["residuals"] = write_table(M.residuals(linear), _out(out, "residuals"), mode)
     paths["metrics"] = write_table(metrics, _out(out, "metrics"), mode)
     paths["lag_correlation"] = write_table(
         ST.corr_matrix(lagged, ["ct_url", *[f"lag_{i}" for i in range(1, lags + 1)]]), _out(out, "lag_correlation"), mode
@@ -184,8 +189,10 @@ def users_job(
     intervals = clustered.join(
         stats.select(
             *keys,
-            (col("mean_session_secs") - col("sd_session_secs")).alias("lo"),
-            (col("mean_session_secs") + col("sd_session_secs")).alias("hi"),
+            (col("mean_session_secs") - col("sd_session_secs")).alias("session_secs_lo"),
+            (col("mean_session_secs") + col("sd_session_secs")).alias("session_secs_hi"),
+            (col("mean_ct_url") - col("sd_ct_url")).alias("ct_url_lo"),
+            (col("mean_ct_url") + col("sd_ct_url")).alias("ct_url_hi"),
         ),
         keys,
     )
@@ -194,7 +201,9 @@ def users_job(
     paths["clusters"] = write_table(intervals, _out(out, "clusters"), mode)
     paths["cluster_stats"] = write_table(stats.orderBy(*keys), _out(out, "cluster_stats"), mode)
     firsts = D.first_hit_device(session_hits)
-    paths["session_predictions"] = write_table(D.session_intervals(firsts, intervals), _out(out, "session_predictions"), mode)
+    paths["session_predictions"] = write_table(
+        D.session_intervals(firsts, intervals, ranges=RANGES), _out(out, "session_predictions"), mode
+    )
     feats.unpersist()
     return paths
 
@@ -209,9 +218,18 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("output")
     ap.add_argument("--mode", default="errorifexists")
     ap.add_argument("--no-rejects", action="store_true", help="parse: write hits only (one scan of the text)")
+    ap.add_argument("--parse-mode", choices=["lenient", "strict"], help="parse: the line pattern")
+    ap.add_argument("--gap-secs", type=int, help="sessions: inactivity gap in seconds")
+    ap.add_argument("--top", type=int, dest="k", help="sessions: number of top users")
+    ap.add_argument("--unit", choices=["second", "minute", "hour"], help="load: time bucket")
+    ap.add_argument("--holdout", help="load: interval before the last bucket, such as '5 minutes'")
+    ap.add_argument("--lags", type=int, help="load: number of lags")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.getOrCreate()
-    extra = {"write_rejects": False} if args.job == "parse" and args.no_rejects else {}
+    taken = {"parse": ["parse_mode"], "sessions": ["gap_secs", "k"], "load": ["unit", "holdout", "lags"], "users": []}
+    extra = {p: v for p in taken[args.job] if (v := getattr(args, p)) is not None}
+    if args.job == "parse" and args.no_rejects:
+        extra["write_rejects"] = False
     for name, path in JOBS[args.job](spark, args.input, args.output, mode=args.mode, **extra).items():
         print(f"{name}\t{path}")
 

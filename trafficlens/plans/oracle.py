@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from ..operators.load import FEATURE_COLUMNS
 from ..sources.fixtures import HITS_COLUMNS, HITS_SELECT
-from .queries import CUTOFF, DIGITS, GAP, GAP_6H, LAGS
+from .queries import CUTOFF, CV_REG, DIGITS, GAP, GAP_6H, LAGS, RANGED
 
 
 def _es(x: str) -> str:
@@ -161,6 +161,38 @@ def _device_time_cte() -> str:
   GROUP BY device, cl_ip)"""
 
 
+_GROUP = f"CAST({_hash_mod('cl_ip', 4)} AS INTEGER)"
+_GROUPED = f"ug AS (SELECT *, {_GROUP} AS grp FROM uf)"
+_GROUP_RANGES = "gr AS (SELECT device, grp, " + ", ".join(
+    f"avg({v}) - stddev_pop({v}) AS {v}_lo, avg({v}) + stddev_pop({v}) AS {v}_hi" for v in RANGED
+) + " FROM ug GROUP BY device, grp)"
+_ROUNDED_RANGES = ", ".join(f"{_r(f'gr.{v}_{end}')} AS {v}_{end}" for v in RANGED for end in ("lo", "hi"))
+_FIRSTS = f"""fd AS (
+  SELECT cl_ip, session_id, first_device FROM (SELECT cl_ip, session_id, {_DEVICE} AS first_device,
+    row_number() OVER (PARTITION BY cl_ip, session_id ORDER BY date_time,
+      CASE WHEN user_agent IS NULL THEN 2 WHEN contains(user_agent, 'Mobi') THEN 0 ELSE 1 END) AS rn FROM sh) AS x
+  WHERE rn = 1)"""
+_TRAIN = f"{_hash_mod(_es('bucket'), 100)} < 80"
+
+
+def _linear_cv() -> str:
+    """Ridge on one feature with intercept, in closed form for each fold and
+    penalty; the penalty applies to the standardised feature and label."""
+    fold = f"CAST({_hash_mod(f"'fold:' || CAST({_es('bucket')} AS VARCHAR)", 5)} AS INTEGER)"
+    regs = ", ".join(f"({reg}::DOUBLE)" for reg in CV_REG)
+    return _with_features(
+        f"SELECT reg, {_r('avg(rmse)')} AS avg_rmse FROM err GROUP BY reg",
+        ctes=(
+            _LABELLED_CTE,
+            f"fl AS (SELECT CAST(ct_url AS DOUBLE) AS x, label AS y, {fold} AS fold FROM lab)",
+            f"fits AS (SELECT f.fold, reg, regr_slope(y, x) / (1 + reg / stddev_samp(y)) AS slope, avg(x) AS mx, avg(y) AS my "
+            f"FROM (SELECT DISTINCT fold FROM fl) AS f JOIN fl ON fl.fold <> f.fold, (VALUES {regs}) AS r(reg) GROUP BY f.fold, reg)",
+            "err AS (SELECT reg, fits.fold, sqrt(avg(power(y - my - slope * (x - mx), 2))) AS rmse "
+            "FROM fits JOIN fl ON fl.fold = fits.fold GROUP BY reg, fits.fold)",
+        ),
+    )
+
+
 ORACLE: dict[str, str] = {
     "parse_access_log": _parse_access_log(),
     "parse_strict": _parse_strict(),
@@ -290,4 +322,84 @@ ORACLE: dict[str, str] = {
         f"{_r('stddev_pop(session_secs)')} AS sd, count(*) AS n FROM uf GROUP BY 1",
         ctes=(_device_time_cte(), _USER_FEATURES),
     ),
+    "load_features_second": _with_features(
+        "SELECT bucket, "
+        + ", ".join(_r(c) + f" AS {c}" for c in ["avg_rqpt", "avg_bckpt", "avg_respt", "avg_recb", "avg_sentb"])
+        + ', ct_url, day, quarter, day_quarter, hour, day_week, "DELETE", "GET", "POST" FROM lf',
+        unit="second",
+    ),
+    "request_type_counts": f"WITH {HITS}\nSELECT date_trunc('hour', date_time) AS bucket, request_type, count(*) AS hits "
+    "FROM hits WHERE date_time IS NOT NULL GROUP BY ALL",
+    "avg_urls_per_session_6h": _with_sessions(
+        GAP_6H, f"SELECT {_r('avg(dist_url)')} AS avg_dist_url, {_r('avg(dist_request_url)')} AS avg_dist_request_url FROM st"
+    ),
+    "engaged_users_6h": _with_sessions(
+        GAP_6H, f"SELECT cl_ip, {_r('avg(session_secs)')} AS avg_session_secs, count(*) AS sessions FROM st GROUP BY cl_ip"
+    ),
+    "user_features_6h": _with_sessions(
+        GAP_6H,
+        f"SELECT device, cl_ip, {_r('session_secs')} AS session_secs, "
+        f"{_r('avg_rqpt')} AS avg_rqpt, {_r('avg_recb')} AS avg_recb, ct_url FROM uf",
+        ctes=(_device_time_cte(), _USER_FEATURES),
+    ),
+    "first_hit_device_hash": _with_sessions(GAP_6H, "SELECT cl_ip, session_id, first_device FROM fd", ctes=(_FIRSTS,)),
+    "linear_one_feature_scores": f"WITH {HITS},\n{_features_cte()},\n{_LABELLED_CTE},\n"
+    "fit AS (SELECT regr_slope(label, ct_url) AS s, regr_intercept(label, ct_url) AS i FROM lab)\n"
+    f"SELECT bucket, label, {_r('i + s * ct_url')} AS prediction FROM lab, fit",
+    "linear_one_feature_summary": f"WITH {HITS},\n{_features_cte()},\n{_LABELLED_CTE}\n"
+    f"SELECT count(*) AS n, {_r('sqrt((regr_syy(label, ct_url) - regr_slope(label, ct_url) * regr_sxy(label, ct_url)) / count(*))')} AS rmse, "
+    f"{_r('regr_r2(label, ct_url)')} AS r2 FROM lab",
+    "linear_cv_one_feature": _linear_cv(),
+    "cluster_stats_6h": _with_sessions(
+        GAP_6H,
+        f"SELECT grp, {_r('avg(session_secs)')} AS mean, {_r('stddev_pop(session_secs)')} AS sd, count(*) AS n FROM ug GROUP BY 1",
+        ctes=(_device_time_cte(), _USER_FEATURES, _GROUPED),
+    ),
+    "cluster_stats_urls": _with_sessions(
+        GAP_6H,
+        f"SELECT grp, {_r('avg(ct_url)')} AS mean, {_r('stddev_pop(ct_url)')} AS sd, count(*) AS n FROM ug GROUP BY 1",
+        ctes=(_device_time_cte(), _USER_FEATURES, _GROUPED),
+    ),
+    "cluster_interval_fixed": _with_sessions(
+        GAP_6H,
+        f"SELECT device, cl_ip, grp, {_r('session_secs')} AS session_secs, ct_url, {_ROUNDED_RANGES} "
+        "FROM ug JOIN gr USING (device, grp)",
+        ctes=(_device_time_cte(), _USER_FEATURES, _GROUPED, _GROUP_RANGES),
+    ),
+    "session_prediction_fixed": _with_sessions(
+        GAP_6H,
+        f"SELECT fd.cl_ip, fd.session_id, fd.first_device AS device, {_ROUNDED_RANGES} FROM fd "
+        "LEFT JOIN ug ON ug.cl_ip = fd.cl_ip AND ug.device = fd.first_device "
+        "LEFT JOIN gr ON gr.device = ug.device AND gr.grp = ug.grp",
+        ctes=(_device_time_cte(), _USER_FEATURES, _GROUPED, _GROUP_RANGES, _FIRSTS),
+    ),
+    "kmeans_cost_check": _with_sessions(
+        GAP_6H,
+        "SELECT device, count(*) AS n, CAST(0 AS BIGINT) AS violations FROM uf GROUP BY device",
+        ctes=(_device_time_cte(), _USER_FEATURES),
+    ),
+    "kmeans_sweep_check": _with_sessions(
+        GAP_6H,
+        "SELECT device, CAST(k AS INTEGER) AS k, count(*) AS n, CAST(0 AS BIGINT) AS violations "
+        "FROM uf, range(4, 12) AS r(k) WHERE device = 'mobile' OR k < 11 GROUP BY device, k",
+        ctes=(_device_time_cte(), _USER_FEATURES),
+    ),
+    "linear_residual_check": _with_features(
+        f"SELECT count(*) AS n, CAST(0 AS BIGINT) AS violations FROM lab WHERE {_TRAIN}", ctes=(_LABELLED_CTE,)
+    ),
+    "tree_leaf_check": _with_features(
+        f"SELECT count(*) AS n, CAST(0 AS BIGINT) AS violations FROM lab WHERE {_TRAIN}", ctes=(_LABELLED_CTE,)
+    ),
+    "kmeans_centre_check": _with_sessions(
+        GAP_6H,
+        "SELECT device, count(*) AS n, CAST(0 AS BIGINT) AS violations FROM uf GROUP BY device",
+        ctes=(_device_time_cte(), _USER_FEATURES),
+    ),
+    "model_roundtrip_check": _with_sessions(
+        GAP,
+        "SELECT 'kmeans_' || device AS kind, count(*) AS n, CAST(0 AS BIGINT) AS violations FROM uf GROUP BY device "
+        f"UNION ALL SELECT kind, count(*) AS n, CAST(0 AS BIGINT) AS violations FROM lab, (VALUES ('linear'), ('tree')) AS k(kind) "
+        f"WHERE NOT {_TRAIN} GROUP BY kind",
+        ctes=(_device_time_cte(), _USER_FEATURES, _features_cte(), _LABELLED_CTE),
+    ),
 }

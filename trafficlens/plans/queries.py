@@ -85,8 +85,8 @@ def _model_frame(spark: SparkSession, sf: str) -> DataFrame:
     return ST.hash_split(df.withColumn("_key", epoch_seconds("bucket")), "_key")
 
 
-def _user_features(spark: SparkSession, sf: str) -> DataFrame:
-    return D.user_features(_hits(spark, sf), gap_secs=GAP)
+def _user_features(spark: SparkSession, sf: str, gap: int = GAP) -> DataFrame:
+    return D.user_features(_hits(spark, sf), gap_secs=gap)
 
 
 # ---- sources -------------------------------------------------------------------
@@ -174,10 +174,18 @@ def q_avg_urls_per_session(spark, sf):
     return rounded(S.avg_urls_per_session(_sessions(spark, sf, GAP)))
 
 
+def q_avg_urls_per_session_6h(spark, sf):
+    return rounded(S.avg_urls_per_session(_sessions(spark, sf, GAP_6H)))
+
+
 def q_engaged_users(spark, sf):
     return rounded(S.engaged_users(_sessions(spark, sf, GAP)))
 
 
+def q_engaged_users_6h(spark, sf):
+    return rounded(S.engaged_users(_sessions(spark, sf, GAP_6H)))
+
+
 def q_top_users(spark, sf):
     return rounded(S.top_users(_sessions(spark, sf, GAP_6H), k=100))
 
@@ -185,8 +193,16 @@ def q_top_users(spark, sf):
 # ---- load features -------------------------------------------------------------
 
 def q_load_features(spark, sf):
-    # request types looked up from the data, as a value-less pivot does
-    return rounded(L.load_features(_hits(spark, sf), unit="hour"))
+    return rounded(_features(spark, sf))
+
+
+def q_load_features_second(spark, sf):
+    return rounded(L.load_features(_hits(spark, sf), unit="second", methods=METHODS))
+
+
+def q_request_type_counts(spark, sf):
+    """Every request type the data has, in long form."""
+    return L.request_type_counts(_hits(spark, sf), unit="hour")
 
 
 def q_load_features_minute(spark, sf):
@@ -215,7 +231,8 @@ def q_moving_average(spark, sf):
 
 
 def q_time_cut(spark, sf):
-    return L.time_cut(_features(spark, sf), last="1 day").select("bucket", "ct_url", "is_holdout")
+    # cut first: the latest bucket is read from the written features, not computed again
+    return L.time_cut(materialize(_features(spark, sf), name="features"), last="1 day").select("bucket", "ct_url", "is_holdout")
 
 
 CUTOFF = "2024-01-25 12:00:00"
@@ -244,10 +261,19 @@ def q_user_features(spark, sf):
     return rounded(_user_features(spark, sf))
 
 
+def q_user_features_6h(spark, sf):
+    return rounded(_user_features(spark, sf, GAP_6H))
+
+
 def q_first_hit_device(spark, sf):
     return D.first_hit_device(_session_hits(spark, sf, GAP_6H), tie_break=["event_id"])
 
 
+def q_first_hit_device_hash(spark, sf):
+    """The default tie rule: one ``min`` of a long per session, a hash aggregate."""
+    return D.first_hit_device(_session_hits(spark, sf, GAP_6H))
+
+
 # ---- statistics ----------------------------------------------------------------
 
 def q_weekday_index(spark, sf):
@@ -282,14 +308,66 @@ def q_moving_average_metrics(spark, sf):
     return rounded(ST.regression_metrics(ma, label="ct_url", prediction="autoregressive_value"))
 
 
-def _fixed_groups(spark, sf):
-    return _user_features(spark, sf).withColumn("grp", ST.hash_bucket("cl_ip", 4).cast("int"))
+def q_linear_one_feature_scores(spark, sf):
+    """The fitted line applied to every row (M8)."""
+    df = M.assemble(_labelled(spark, sf), ["ct_url"])
+    return rounded(M.score(M.fit_linear(df), df).select("bucket", "label", "prediction"))
+
+
+def q_linear_one_feature_summary(spark, sf):
+    """Training summary of the one-feature fit (M5)."""
+    summary = M.linear_summary(M.fit_linear(M.assemble(_labelled(spark, sf), ["ct_url"])))
+    return rounded(summary.select("n", "rmse", "r2"))
+
+
+CV_REG = (0.1, 0.01)
+
+
+def q_linear_cv_one_feature(spark, sf):
+    """Mean test RMSE over the five hash folds for each penalty (M6)."""
+    df = M.assemble(_labelled(spark, sf), ["ct_url"])
+    df = ST.hash_split(df.withColumn("_key", epoch_seconds("bucket")), "_key")
+    cv = M.fit_linear_cv(df, reg=CV_REG, intercept=[True], fold_col="fold")
+    return rounded(spark.createDataFrame(list(zip(CV_REG, map(float, cv.avgMetrics))), "reg double, avg_rmse double"))
+
+
+def _fixed_groups(spark, sf, gap: int = GAP):
+    return _user_features(spark, sf, gap).withColumn("grp", ST.hash_bucket("cl_ip", 4).cast("int"))
 
 
 def q_cluster_stats(spark, sf):
     return rounded(ST.group_mean_sd(_fixed_groups(spark, sf), "grp", "session_secs"))
 
 
+def q_cluster_stats_6h(spark, sf):
+    return rounded(ST.group_mean_sd(_fixed_groups(spark, sf, GAP_6H), "grp", "session_secs"))
+
+
+def q_cluster_stats_urls(spark, sf):
+    """The same for distinct URLs."""
+    return rounded(ST.group_mean_sd(_fixed_groups(spark, sf, GAP_6H), "grp", "ct_url"))
+
+
+RANGED = ["session_secs", "ct_url"]
+RANGES = ["session_secs_lo", "session_secs_hi", "ct_url_lo", "ct_url_hi"]
+
+
+def q_cluster_interval_fixed(spark, sf):
+    """Both predicted ranges (M15) over fixed groups in place of fitted clusters."""
+    out = M.cluster_interval(_fixed_groups(spark, sf, GAP_6H), RANGED, cluster=["device", "grp"])
+    return rounded(out.select("device", "cl_ip", "grp", *RANGED, *RANGES))
+
+
+def q_session_prediction_fixed(spark, sf):
+    """Per session the ranges of the user's fixed group (M15, M16); null without an agent."""
+    log = materialize(_session_hits(spark, sf, GAP_6H), name="session-log")
+    users = D.user_features(_plain(log), session_hits=log)
+    grouped = users.withColumn("grp", ST.hash_bucket("cl_ip", 4).cast("int"))
+    intervals = M.cluster_interval(grouped, RANGED, cluster=["device", "grp"])
+    out = D.session_intervals(D.first_hit_device(log), intervals, ranges=RANGES)
+    return rounded(out.select("cl_ip", "session_id", "device", *RANGES))
+
+
 # ---- models (rows-only checks; invariants in tests) ----------------------------
 
 def q_linear_fit(spark, sf):
@@ -327,14 +405,30 @@ def q_tree_fit(spark, sf):
     return M.score(model, df.where(col("split") == "test")).select("bucket", "label", "prediction")
 
 
-def _clustered(spark, sf) -> DataFrame:
-    """Each device's users scored by that device's k-means model; the two
+def _plain(session_hits: DataFrame) -> DataFrame:
+    return session_hits.drop("prev_ts", "is_new_session", "session_id")
+
+
+def _filled_users(users: DataFrame) -> DataFrame:
+    """User features without nulls, as doubles where they are means."""
+    return L.fill_zero(users, USER_FEATURES)
+
+
+def _device_models(users: DataFrame) -> dict:
+    """``device -> (model, its users)``. ``users`` is written first, so the fits
+    and the scoring read one small table and the sessioniser runs once; the
     independent fits run as concurrent Spark jobs."""
-    feats = M.assemble(L.fill_zero(_user_features(spark, sf), USER_FEATURES), USER_FEATURES)
+    feats = M.assemble(materialize(_filled_users(users), name="users"), USER_FEATURES)
     parts = {dev: feats.where(col("device") == dev) for dev in KMEANS_K}
     with ThreadPoolExecutor(max_workers=len(parts)) as pool:
-        models = dict(zip(parts, pool.map(lambda d: M.fit_kmeans(parts[d], KMEANS_K[d]), parts)))
-    scored = [M.score(models[dev], part) for dev, part in parts.items()]
+        models = pool.map(lambda d: M.fit_kmeans(parts[d], KMEANS_K[d]), parts)
+        return {dev: (model, parts[dev]) for dev, model in zip(parts, models)}
+
+
+def _clustered(spark, sf, users: DataFrame | None = None) -> DataFrame:
+    """Each device's users scored by that device's k-means model."""
+    users = _user_features(spark, sf) if users is None else users
+    scored = [M.score(model, part) for model, part in _device_models(users).values()]
     return scored[0].unionByName(scored[1])
 
 
@@ -343,7 +437,7 @@ def q_kmeans_users(spark, sf):
 
 
 def q_kmeans_sweep(spark, sf):
-    feats = M.assemble(L.fill_zero(_user_features(spark, sf), USER_FEATURES), USER_FEATURES)
+    feats = M.assemble(materialize(_filled_users(_user_features(spark, sf)), name="users"), USER_FEATURES)
     sweeps = [
         M.kmeans_sweep(feats.where(col("device") == dev), ks).select(F.lit(dev).alias("device"), "k", "wssse")
         for dev, ks in KMEANS_SWEEP.items()
@@ -364,16 +458,19 @@ def q_cluster_stats_kmeans(spark, sf):
 
 
 def q_cluster_interval(spark, sf):
-    out = M.cluster_interval(_clustered(spark, sf), "session_secs", cluster=["device", "prediction"])
-    return rounded(out.select("device", "cl_ip", "prediction", "session_secs", "lo", "hi"))
+    out = M.cluster_interval(_clustered(spark, sf), RANGED, cluster=["device", "prediction"])
+    return rounded(out.select("device", "cl_ip", "prediction", *RANGED, *RANGES))
 
 
 def q_session_prediction(spark, sf):
     """Per session: the first hit's device picks the model, the user's cluster
-    in it gives the session-length range."""
-    intervals = M.cluster_interval(_clustered(spark, sf), "session_secs", cluster=["device", "prediction"])
-    firsts = D.first_hit_device(_session_hits(spark, sf, GAP))
-    return rounded(D.session_intervals(firsts, intervals).select("cl_ip", "session_id", "device", "lo", "hi"))
+    in it gives the ranges of session length and distinct URLs. The session
+    log is written once; the user features and the first hits both read it."""
+    log = materialize(_session_hits(spark, sf, GAP), name="session-log")
+    clustered = _clustered(spark, sf, D.user_features(_plain(log), session_hits=log))
+    intervals = M.cluster_interval(clustered, RANGED, cluster=["device", "prediction"])
+    out = D.session_intervals(D.first_hit_device(log), intervals, ranges=RANGES)
+    return rounded(out.select("cl_ip", "session_id", "device", *RANGES))
 
 
 def q_model_roundtrip(spark, sf):
@@ -383,6 +480,110 @@ def q_model_roundtrip(spark, sf):
     return M.score(M.load_linear(path), df.where(col("split") == "test")).select("bucket", "prediction")
 
 
+# ---- model invariants: counts of violations over all rows, which must be 0 --------
+
+def _near(a, b, tol: float = 1e-6):
+    return F.abs(a - b) <= F.lit(tol) * F.greatest(F.lit(1.0), F.abs(a), F.abs(b))
+
+
+def q_linear_residual_check(spark, sf):
+    """Least squares leaves residuals orthogonal to each of the eight features and to the intercept (M4, M5)."""
+    train = materialize(_model_frame(spark, sf).where(col("split") == "train"), name="train")
+    scored = M.score(M.fit_linear(train), train).withColumn("_r", col("label") - col("prediction"))
+    sums = scored.withColumn("_one", F.lit(1.0))
+    off = [
+        (F.abs(F.sum(col("_r") * col(c))) > F.lit(1e-6) * F.sqrt(F.sum(col("_r") * col("_r")) * F.sum(col(c) * col(c)))).cast("bigint")
+        for c in ["_one", *L.FEATURE_COLUMNS]
+    ]
+    return sums.agg(F.count(F.lit(1)).alias("n"), sum(off[1:], off[0]).alias("violations"))
+
+
+def q_tree_leaf_check(spark, sf):
+    """A tree predicts the label mean of the training rows in its leaf (M7, M8)."""
+    train = materialize(_model_frame(spark, sf).where(col("split") == "train"), name="train")
+    leaves = M.score(M.fit_tree(train), train).groupBy("prediction").agg(
+        F.avg("label").alias("mean"), F.count(F.lit(1)).alias("rows")
+    )
+    return leaves.agg(
+        F.sum("rows").alias("n"), F.count_if(~_near(col("mean"), col("prediction"))).alias("violations")
+    )
+
+
+def _squared_distances(model) -> list:
+    """Squared distance of a user to each centre, as column expressions."""
+    return [
+        sum((F.pow(col(f) - F.lit(float(x)), 2) for f, x in zip(USER_FEATURES, centre)), F.lit(0.0))
+        for centre in model.clusterCenters()
+    ]
+
+
+def q_kmeans_cost_check(spark, sf):
+    """WSSSE is the sum of squared distances to the own centre."""
+    checked = []
+    for dev, (model, part) in _device_models(_user_features(spark, sf, GAP_6H)).items():
+        own = F.get(F.array(*_squared_distances(model)), col("prediction"))
+        same = _near(F.sum(own), F.lit(M.wssse(model)))
+        checked.append(
+            M.score(model, part).agg(
+                F.lit(dev).alias("device"), F.count(F.lit(1)).alias("n"), (~same).cast("bigint").alias("violations")
+            )
+        )
+    return checked[0].unionByName(checked[1])
+
+
+def q_kmeans_sweep_check(spark, sf):
+    """Each k of the sweep costs no more than one cluster, n times the summed variances."""
+    users = materialize(_filled_users(_user_features(spark, sf, GAP_6H)), name="users")
+    checked = []
+    for dev, ks in KMEANS_SWEEP.items():
+        part = users.where(col("device") == dev)
+        spread = [F.var_pop(f) * F.count(F.lit(1)) for f in USER_FEATURES]
+        total = part.agg(sum(spread[1:], spread[0]).alias("total"), F.count(F.lit(1)).alias("n")).first()
+        bad = ~col("wssse").between(0, float(total.total or 0.0) * (1 + 1e-6))
+        costs = M.kmeans_sweep(M.assemble(part, USER_FEATURES), ks)
+        checked.append(
+            costs.select(F.lit(dev).alias("device"), "k", F.lit(total.n).cast("bigint").alias("n"), bad.cast("bigint").alias("violations"))
+        )
+    return checked[0].unionByName(checked[1])
+
+
+def q_kmeans_centre_check(spark, sf):
+    """Every user belongs to the nearest centre of the device's model."""
+    checked = []
+    for dev, (model, part) in _device_models(_user_features(spark, sf, GAP_6H)).items():
+        dist = _squared_distances(model)
+        own = F.get(F.array(*dist), col("prediction"))
+        least = F.least(*dist) if len(dist) > 1 else dist[0]
+        checked.append(
+            M.score(model, part).agg(
+                F.lit(dev).alias("device"),
+                F.count(F.lit(1)).alias("n"),
+                F.count_if(~_near(own, least)).alias("violations"),
+            )
+        )
+    return checked[0].unionByName(checked[1])
+
+
+def q_model_roundtrip_check(spark, sf):
+    """Rows whose prediction differs after saving and loading, for all three kinds of model."""
+    frame = materialize(_model_frame(spark, sf), name="frame")
+    train, test = frame.where(col("split") == "train"), frame.where(col("split") == "test")
+    kinds = [("linear", M.fit_linear(train), M.load_linear, test), ("tree", M.fit_tree(train), M.load_tree, test)]
+    for dev, (model, part) in _device_models(_user_features(spark, sf)).items():
+        kinds.append((f"kmeans_{dev}", model, M.load_kmeans, part))
+    out = None
+    for kind, model, load, rows in kinds:
+        again = load(M.save_model(model, scratch_path(spark, f"{kind}-model")))
+        both = M.score(again, M.score(model, rows).withColumnRenamed("prediction", "_before"))
+        row = both.agg(
+            F.lit(kind).alias("kind"),
+            F.count(F.lit(1)).alias("n"),
+            F.count_if(~col("_before").eqNullSafe(col("prediction"))).alias("violations"),
+        )
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 # ---- flagship -------------------------------------------------------------------
 
 def most_engaged_from_lines(spark: SparkSession, sf: str, k: int = 100) -> DataFrame:
@@ -446,4 +647,23 @@ QUERIES: dict[str, Query] = {
     "cluster_interval": q_cluster_interval,
     "session_prediction": q_session_prediction,
     "model_roundtrip": q_model_roundtrip,
+    "load_features_second": q_load_features_second,
+    "request_type_counts": q_request_type_counts,
+    "avg_urls_per_session_6h": q_avg_urls_per_session_6h,
+    "engaged_users_6h": q_engaged_users_6h,
+    "user_features_6h": q_user_features_6h,
+    "first_hit_device_hash": q_first_hit_device_hash,
+    "linear_one_feature_scores": q_linear_one_feature_scores,
+    "linear_one_feature_summary": q_linear_one_feature_summary,
+    "linear_cv_one_feature": q_linear_cv_one_feature,
+    "cluster_stats_6h": q_cluster_stats_6h,
+    "cluster_stats_urls": q_cluster_stats_urls,
+    "cluster_interval_fixed": q_cluster_interval_fixed,
+    "session_prediction_fixed": q_session_prediction_fixed,
+    "kmeans_cost_check": q_kmeans_cost_check,
+    "kmeans_sweep_check": q_kmeans_sweep_check,
+    "linear_residual_check": q_linear_residual_check,
+    "tree_leaf_check": q_tree_leaf_check,
+    "kmeans_centre_check": q_kmeans_centre_check,
+    "model_roundtrip_check": q_model_roundtrip_check,
 }

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.columns import col, epoch_seconds, ntz_from_epoch
-from ..operators.sessions import DEFAULT_GAP_SECS
+from ..operators.sessions import DEFAULT_GAP_SECS, session_windows
 from ..sources.logs import parse_access_log, transform_log
 
 
@@ -55,13 +55,20 @@ def ingest(
 
 def session_table_stream(
     hits: DataFrame,
+    watermark: str,
     user: str = "cl_ip",
     ts: str = "date_time",
     gap_secs: int = DEFAULT_GAP_SECS,
-    watermark: str = "1 hour",
 ) -> DataFrame:
     """Sessions of a hit stream: ``user, session_start, session_secs, hits``.
 
+    ``watermark`` (such as ``"1 hour"``) is how late a hit may come and still
+    be counted; the caller must choose it, because Spark leaves later hits out
+    of the stream's sessions, and append output holds back the sessions still
+    open when a run ends. Neither is lost: ``ingest`` keeps every hit in the
+    hits table, and ``reconcile_sessions`` finds the sessions of that table
+    which the stream has not written as they are.
+
     Times are cut to whole seconds and the window gap is ``gap_secs - 1`` so a
     session splits exactly where the batch sessioniser splits it. With append
     output a session is written once the watermark passes its end.
@@ -92,17 +99,39 @@ def session_table_stream(
     )
 
 
+def reconcile_sessions(
+    hits: DataFrame,
+    written: DataFrame,
+    user: str = "cl_ip",
+    ts: str = "date_time",
+    gap_secs: int = DEFAULT_GAP_SECS,
+) -> DataFrame:
+    """All sessions of the ingested ``hits`` table (batch, late hits included)
+    plus ``is_written``: whether the stream's table has exactly this session.
+
+    Rows with ``is_written = false`` are sessions the stream left open or that
+    late hits have changed since. A shuffle join on all four columns.
+    """
+    keys = [user, "session_start", "session_secs", "hits"]
+    seen = written.select(*keys).distinct().withColumn("is_written", F.lit(True))
+    return (
+        session_windows(hits, user=user, ts=ts, gap_secs=gap_secs)
+        .join(seen, keys, "left")
+        .withColumn("is_written", F.coalesce("is_written", F.lit(False)))
+    )
+
+
 _LOCAL_MERGE = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
 
 
 def start_session_table_stream(
     hits: DataFrame,
     sink_dir: str,
+    watermark: str,
     checkpoint: str | None = None,
     user: str = "cl_ip",
     ts: str = "date_time",
     gap_secs: int = DEFAULT_GAP_SECS,
-    watermark: str = "1 hour",
     merge_locally: bool = True,
     available_now: bool = True,
 ) -> StreamingQuery:
@@ -115,7 +144,7 @@ def start_session_table_stream(
     is made for this query only: a streaming query keeps a copy of the session
     settings from its start, and the caller's value is restored right after.
     """
-    sessions = session_table_stream(hits, user=user, ts=ts, gap_secs=gap_secs, watermark=watermark)
+    sessions = session_table_stream(hits, watermark, user=user, ts=ts, gap_secs=gap_secs)
     spark = hits.sparkSession
     before = spark.conf.get(_LOCAL_MERGE, None)
     spark.conf.set(_LOCAL_MERGE, str(merge_locally).lower())
