@@ -13,4 +13,51 @@ ORACLE: dict[str, str] = {
                text_sha256
         FROM d
     """,
+    "op5_warc": """
+        WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages),
+        q AS (
+            SELECT *, max(page_id) OVER (PARTITION BY hex) AS first_id,
+                   [CAST('0x' || substr(hex, CAST(5 * g + 1 AS INTEGER), 5) AS BIGINT) for g in range(8)] AS parts
+            FROM p
+        )
+        SELECT page_id,
+               CAST(payload_bytes AS BIGINT) AS payload_bytes,
+               array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                   CAST(((parts[CAST(i // 4 + 1 AS INTEGER)] >> CAST(15 - 5 * (i % 4) AS INTEGER)) & 31) + 1 AS INTEGER), 1) for i in range(32)], '') AS payload_digest,
+               CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+        FROM q
+    """,
+    "op6_weighted_mix": """
+        WITH d AS (
+            SELECT row_number() OVER () AS r, doc_id, coalesce('=' || source, '') AS src,
+                   CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS size,
+                   md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS key
+            FROM documents
+        ),
+        s AS (SELECT src, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY src),
+        w AS (SELECT *, list_value(5.0, 2.0, 1.0)[CAST((row_number() OVER (ORDER BY src = '', src) - 1) % 3 + 1 AS INTEGER)]::DOUBLE AS weight FROM s),
+        c AS (SELECT *, CAST(3 * source_size AS DOUBLE) AS cap, CAST(3 * source_size AS DOUBLE) / weight AS full_at FROM w),
+        l AS (
+            SELECT *, (CAST(sum(source_size) OVER () AS DOUBLE)
+                       - coalesce(sum(cap) OVER (ORDER BY full_at, src ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+                      / sum(weight) OVER (ORDER BY full_at, src ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+            FROM c
+        ),
+        g AS (SELECT arg_min(level, full_at) FILTER (WHERE full_at > level) AS level FROM l),
+        t AS (
+            SELECT src, source_size, CASE WHEN g.level IS NULL OR full_at <= g.level THEN cap ELSE g.level * weight END AS target
+            FROM l, g
+        ),
+        o AS (
+            SELECT d.*, source_size, target,
+                   CAST(sum(size) OVER (PARTITION BY d.src ORDER BY key, doc_id, size ROWS UNBOUNDED PRECEDING) AS BIGINT) AS played
+            FROM d JOIN t ON d.src = t.src
+        ),
+        f AS (SELECT *, CAST(e * source_size + played AS DOUBLE) / target AS finish FROM o, range(3) AS k(e) WHERE target > 0),
+        m AS (SELECT r, sum(size) OVER (ORDER BY finish, src, key, e, doc_id, size ROWS UNBOUNDED PRECEDING) AS done FROM f),
+        n AS (SELECT r, count(*) AS times FROM m WHERE done <= (SELECT sum(size) FROM d) GROUP BY r)
+        SELECT doc_id, size, source_size, target, CAST(coalesce(times, 0) * size AS BIGINT) AS taken
+        FROM o LEFT JOIN n ON n.r = o.r
+    """,
 }
