@@ -1,6 +1,62 @@
 """DuckDB statements for the corpus queries whose answer SQL can state."""
 
+from .queries import URL_RULES
+
+
+def _shrink(name: str, rows: str, parent: str, on: str) -> str:
+    """The three steps of one level of the reputation: prior, strength, posterior."""
+    join = f"JOIN {parent} AS p USING ({on})" if on else f", {parent} AS p"
+    return f"""
+        {name}_prior AS (SELECT l.*, p.mean AS prior FROM {rows} AS l {join}),
+        {name}_strength AS (
+            SELECT coalesce(CASE WHEN chi > n1 THEN least(1000.0, greatest(1.0, n2 / (chi - n1) - 1.0)) END, 1000.0)::DOUBLE AS strength
+            FROM (SELECT sum((b - n * prior) * (b - n * prior) / (prior * (1 - prior))) AS chi, sum(n) AS n1, sum(n * (n - 1)) AS n2
+                  FROM {name}_prior WHERE n > 1)
+        ),
+        {name} AS (
+            SELECT *, alpha / (alpha + beta) AS mean
+            FROM (SELECT l.*, strength * prior + b AS alpha, strength * (1 - prior) + n - b AS beta FROM {name}_prior AS l, {name}_strength)
+        )"""
+
+
+def _rules(answer: str) -> str:
+    """CASE over the rules, longest first; ``answer`` picks the rule's text or its verdict."""
+    fits = "(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '/{p}')"
+    whens = ""
+    for verdict, text in sorted(URL_RULES, key=lambda r: -len(r[1])):
+        host, _, path = text.partition("/")
+        whens += f" WHEN {fits.format(h=host, p=path)} THEN '{text if answer == 'rule' else verdict}'"
+    return f"CASE{whens} END"
+
+
 ORACLE: dict[str, str] = {
+    "op3_url_reputation": f"""
+        WITH u AS (
+            SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                   regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
+            FROM pages
+        ),
+        seen AS (
+            SELECT host, count(*)::DOUBLE AS n, sum(1 - quality)::DOUBLE AS b
+            FROM u JOIN labels ON doc_id = page_id WHERE quality IS NOT NULL GROUP BY host
+        ),
+        hosts AS (
+            SELECT host, array_to_string(string_split(host, '.')[-2:], '.') AS domain, string_split(host, '.')[-1] AS suffix,
+                   coalesce(n, 0) AS n, coalesce(b, 0) AS b
+            FROM (SELECT DISTINCT host FROM u) LEFT JOIN seen USING (host)
+        ),
+        domains AS (SELECT suffix, domain, sum(n) AS n, sum(b) AS b FROM hosts GROUP BY ALL),
+        suffixes AS (SELECT suffix, sum(n) AS n, sum(b) AS b FROM domains GROUP BY ALL),
+        root AS (SELECT (sum(b) + 1) / (sum(n) + 2) AS mean FROM suffixes),{_shrink("suf", "suffixes", "root", "")},{_shrink("dom", "domains", "suf", "suffix")},{_shrink("top", "hosts", "dom", "suffix, domain")},
+        judged AS (
+            SELECT host, CASE WHEN mean - 1.645 * sqrt(alpha * beta / ((alpha + beta) * (alpha + beta) * (alpha + beta + 1))) > 0.15
+                         THEN 'block' ELSE 'allow' END AS said
+            FROM top
+        )
+        SELECT page_id, host, path, {_rules("rule")} AS rule, coalesce({_rules("verdict")}, said) AS verdict
+        FROM u JOIN judged USING (host)
+    """,
     "op10_exact_dedup": """
         WITH d AS (
             SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256
