@@ -30,22 +30,6 @@ def part(c: ColumnOrName, sep_regex: str, i: int) -> Column:
     return F.get(F.split(col(c), sep_regex), F.lit(i))
 
 
-def endpoint_ip(c: ColumnOrName) -> Column:
-    return part(c, ":", 0)
-
-
-def endpoint_port(c: ColumnOrName) -> Column:
-    return part(c, ":", 1)
-
-
-def request_method(c: ColumnOrName) -> Column:
-    return part(c, " ", 0)
-
-
-def request_target(c: ColumnOrName) -> Column:
-    return part(c, " ", 1)
-
-
 def url_path(c: ColumnOrName) -> Column:
     """URL without its query string."""
     return part(c, r"\?", 0)
