@@ -115,6 +115,25 @@ def test_secret_scan_many_matches_and_resumption(spark):
         assert [f"{s.kind}:{s.start}:{s.end}" for s in r.base] == base_spans(texts[r.doc_id])
 
 
+def test_secret_scan_long_runs(spark):
+    """Runs of tens of thousands of characters: no recursion, no work beyond one step a character."""
+    texts = ["ab-" * 20_000, "a-" * 25 + "b9", "AB/" * 9, "aB3xY7+qLm0Zt9Kw" * 3_000, ""]
+    rows = {r.doc_id: r for r in SEC.scan_secrets(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")).collect()}
+    assert all(not rows[i].base for i in rows)
+    assert [len(rows[i].added) for i in range(5)] == [0, 0, 0, 1, 0]
+    assert (rows[3].added[0].start, rows[3].added[0].end) == (0, 48_000)
+
+
+def test_slug_pattern(spark):
+    from pyspark.sql import functions as F
+
+    words = re.compile(r"([A-Za-z][a-z]*)?([_/+-]([A-Za-z][a-z]*)?)+")
+    rng = np.random.default_rng(3)
+    values = ["".join(rng.choice(list("abZQ-_/+9" if i % 3 else "ab-Z"), int(rng.integers(1, 9)))) for i in range(2_000)]
+    rows = spark.createDataFrame([(v,) for v in values], "v string").select("v", F.col("v").rlike(SEC.ALLOW[2]).alias("ok")).collect()
+    assert all(r.ok == bool(words.fullmatch(r.v)) for r in rows)
+
+
 def test_entropy_window_is_shannon_entropy(spark):
     from pyspark.sql import functions as F
 

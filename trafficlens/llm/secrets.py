@@ -35,7 +35,8 @@ CLASSES = (("hex", "^[0-9a-fA-F]+$", 2.9), ("alnum", "^[0-9a-zA-Z]+$", 3.6), ("t
 ALLOW = (
     r"^[0-9_/+-]+$",  # numbers, dates, rules of dashes
     r"^[A-Z]?[a-z]+$|^[A-Z]+$",  # one word
-    r"^(?:[A-Za-z]?[a-z]*[_/+-])+[A-Za-z]?[a-z]*$",  # words joined into a path or a slug
+    # words joined into a path or a slug; no repeated group, whose matching would recurse per word
+    r"^(?!.*[A-Za-z][A-Z])(?=[A-Za-z_/+-]*+$)[A-Za-z]*+[_/+-]",
     r"(?i)example|placeholder|xxxx",
 )
 CHUNK = 256
@@ -101,9 +102,8 @@ def hot_window(value: Column, bits: Column, window: int) -> Column:
     changes the counts of the entering and the leaving character only.
     """
     clog = F.array(*[F.lit(c * math.log2(c) if c else 0.0) for c in range(window + 2)])
-    code = lambda i: F.instr(F.lit(ALPHABET), F.substring(value, i, 1)) - 1
     zero = F.array_repeat(F.lit(0), len(ALPHABET))
-    start = F.struct(zero.alias("n"), F.lit(0.0).alias("s"), F.lit(0).alias("first"), F.lit(0).alias("last"))
+    start = F.struct(zero.alias("n"), F.lit(0.0).alias("s"), F.lit(0).alias("first"), F.lit(0).alias("last"), bits.alias("bits"))
 
     def step(st: Column, z: Column) -> Column:
         add, out = z["in"], z["out"]
@@ -113,19 +113,21 @@ def hot_window(value: Column, bits: Column, window: int) -> Column:
             st["s"] + plus + F.when(out < 0, F.lit(0.0)).otherwise(F.get(clog, cout - 1) - F.get(clog, cout))
         )
         counts = F.transform(st["n"], lambda c, j: c + F.when(j == add, 1).otherwise(0) - F.when(j == out, 1).otherwise(0))
-        hot = (z["i"] >= window) & (F.lit(math.log2(window)) - s / F.lit(float(window)) >= z["bits"] - 1e-9)
+        hot = (z["i"] >= window) & (F.lit(math.log2(window)) - s / F.lit(float(window)) >= st["bits"] - 1e-9)
         return F.struct(
             counts.alias("n"),
             s.alias("s"),
             F.when(hot & (st["first"] == 0), z["i"]).otherwise(st["first"]).alias("first"),
             F.when(hot, z["i"]).otherwise(st["last"]).alias("last"),
+            st["bits"].alias("bits"),
         )
 
+    # the character codes are made once per candidate, so a step costs the same however long the candidate is
+    codes = F.transform(F.split(value, ""), lambda c: F.instr(F.lit(ALPHABET), c) - 1)
+    before = F.concat(F.array_repeat(F.lit(-1), window), codes)
     steps = F.transform(
-        F.sequence(F.lit(1), F.length(value)),
-        lambda i: F.struct(
-            i.alias("i"), code(i).alias("in"), F.when(i > window, code(i - window)).otherwise(-1).alias("out"), bits.alias("bits")
-        ),
+        F.arrays_zip(codes.alias("in"), F.slice(before, 1, F.length(value)).alias("out")),
+        lambda z, i: F.struct((i + 1).alias("i"), z["in"].alias("in"), z["out"].alias("out")),
     )
     return F.aggregate(steps, start, step, lambda st: F.struct(st["first"].alias("first"), st["last"].alias("last")))
 
