@@ -235,6 +235,32 @@ def test_mix(docs, none):
     assert MX.mix(docs, carry=True).select("row.*").columns == docs.columns
 
 
+def test_mix_cut_at_every_depth(spark, monkeypatch):
+    """The cut by nested ranges equals a walk through all plays in order."""
+    rng = np.random.default_rng(6)
+    sources, sizes = rng.choice(list("aab"), 300), rng.integers(0, 9, 300)
+    docs = spark.createDataFrame([(i, "w " * int(n), str(s)) for i, (n, s) in enumerate(zip(sizes, sources))], "doc_id long, text string, source string")
+    whole = {r.doc_id: r for r in MX.mix(docs).collect()}
+    plays = []
+    for s in "ab":
+        shuffled = sorted((hashlib.md5(f"mix:{r.doc_id}".encode()).hexdigest(), r) for r in whole.values() if r.source == s)
+        played = 0
+        for key, r in shuffled:
+            played += r.size
+            plays += [((e * r.source_size + played) / r.target, s, key, e, r.doc_id, r.size) for e in range(3)]
+    times, words = Counter(), 0
+    for _, _, _, _, i, n in sorted(plays):
+        words += n
+        if words > sizes.sum():
+            break
+        times[i] += 1
+    assert {i: r.times for i, r in whole.items()} == {i: times[i] for i in whole}
+    monkeypatch.setattr(MX, "EDGE_ROWS", 1)
+    monkeypatch.setattr(MX, "RANGES", 3)
+    monkeypatch.setattr(MX, "SLICE_ROWS", 1e-3)
+    assert {r.doc_id: r for r in MX.mix(docs).collect()} == whole
+
+
 def test_byte_bpe(docs, none):
     import tiktoken
 

@@ -6,25 +6,29 @@ source's tokens played up to its end, divided by the source's target. All
 plays are put in the order of their finish times and cut where the total
 budget is reached; at time 1 every source has just played its target.
 
-The running token counts are sums in two levels: totals of 4096 slices of the
-shuffled order per source, then running sums inside a slice, so a source with
-a third of all rows is spread over 4096 window partitions. The cut is found
-the same way: totals of fixed time ranges, then the one range in which the
-budget runs out. Only SQL functions are used.
+The running token counts are sums in two levels: totals of the slices of the
+shuffled order per source, then running sums inside a slice. There are at
+least 4096 slices per source, and more where that would leave over
+``SLICE_ROWS`` rows in one, so a source with a third of all rows is spread
+over many window partitions. The cut is found the same way: totals of time
+ranges, then totals of ranges inside the one in which the budget runs out,
+until that one has at most ``EDGE_ROWS`` plays. Only SQL functions are used.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from ..sources.tables import materialize
 
 WORD = r"[^\x20\x09-\x0D]+"
-SLICE_DIGITS = 3  # hexadecimal digits of the shuffle key: 4096 slices per source
+SLICE_DIGITS, SLICE_ROWS = 3, 1_000_000  # least hexadecimal digits of the shuffle key that make a slice; rows per slice
 RANGES, LAST_RANGE = 4096, 16384  # time ranges per unit of virtual time; all later times share the last
+EDGE_ROWS = 100_000  # plays ordered one by one around the cut
 
 
 def word_count(text: str | Column) -> Column:
@@ -58,6 +62,19 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], max_repeats: int)
     return t.select("src", "source_size", "weight", target.alias("target"))
 
 
+def budget_range(plays: DataFrame, at: Column, before: int, total: int) -> Row | None:
+    """The range (numbered by ``at``, in the order of ``finish``) in which the
+    running sum of ``size`` passes ``total``, given ``before`` words ahead of
+    ``plays``: its words, plays, first and last finish and the words ahead of
+    it. None when the sum stays within the total."""
+    ends = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, Window.currentRow)  # at most LAST_RANGE + 1 rows
+    ranges = plays.groupBy(at.alias("range")).agg(
+        F.sum("size").alias("words"), F.count(F.lit(1)).alias("plays"), F.min("finish").alias("low"), F.max("finish").alias("high")
+    )
+    ends_at = ranges.withColumn("end", F.lit(before) + F.sum("words").over(ends))
+    return ends_at.where(F.col("end") > total).orderBy("range").withColumn("ahead", F.col("end") - F.col("words")).first()
+
+
 def mix(
     df: DataFrame,
     weights: Sequence[float] = (5.0, 2.0, 1.0),
@@ -91,8 +108,9 @@ def mix(
     )
     base = base.withColumn("src", F.coalesce(F.concat(F.lit("="), "source"), F.lit("")))
     base = base.withColumn("key", F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("id").cast("string"), F.lit("")))))
-    base = base.withColumn("slice", F.substring("key", 1, SLICE_DIGITS))
     small = materialize(base.drop("row"), name="mix-sizes")
+    digits = max(SLICE_DIGITS, math.ceil(math.log(max(1, small.count() / SLICE_ROWS), 16)))
+    base, small = (rows.withColumn("slice", F.substring("key", 1, digits)) for rows in (base, small))
 
     slices = small.groupBy("src", "slice").agg(F.sum("size").alias("words"))
     sizes = slices.groupBy("src").agg(F.sum("words").alias("source_size")).withColumn("last", F.col("src") == "")
@@ -109,35 +127,32 @@ def mix(
         return rows.join(starts, ["src", "slice"]).withColumn("played", F.col("start") + F.sum("size").over(inside))
 
     finish = lambda e: (e * F.col("source_size") + F.col("played")) / F.col("target")
-    span = lambda t: F.least(F.floor(t * RANGES), F.lit(LAST_RANGE))
     plays = (
         timed(small)
         .withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(max_repeats - 1))))
         .where("target > 0")
         .withColumn("finish", finish(F.col("epoch")))
-        .withColumn("range", span(F.col("finish")))
     )
-    plays = materialize(plays.select("finish", "src", "key", "epoch", "id", "size", "range"), name="mix-plays")
-    ranges = plays.groupBy("range").agg(F.sum("size").alias("words"))
-    ends = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, Window.currentRow)  # at most LAST_RANGE + 1 rows
+    plays = materialize(plays.select("finish", "src", "key", "epoch", "id", "size"), name="mix-plays")
     total = sizes.agg(F.sum("source_size")).first()[0] or 0
-    over = ranges.withColumn("end", F.sum("words").over(ends)).where(F.col("end") > total).orderBy("range").select("range", (F.col("end") - F.col("words")).alias("start")).first()
-
-    order = ["finish", "src", "key", "epoch", "id", "size"]
-    if over is None:  # nothing exceeds the budget
+    counted = plays.where("size > 0")  # plays without words do not move the sum
+    edge = budget_range(counted, F.least(F.floor(F.col("finish") * RANGES), F.lit(LAST_RANGE)), 0, total)
+    while edge is not None and edge["plays"] > EDGE_ROWS and edge["low"] < edge["high"]:
+        low, high = F.lit(edge["low"]), F.lit(edge["high"])
+        inner = counted.where(F.col("finish").between(low, high))
+        edge = budget_range(inner, F.floor((F.col("finish") - low) / (high - low) * RANGES), edge["ahead"], total)
+
+    if edge is None:  # nothing exceeds the budget
         times = F.lit(max_repeats) if total else F.lit(0)
         out = timed(base).withColumn("times", F.when(F.col("target") > 0, times).otherwise(0))
     else:
-        edge = plays.where(F.col("range") == over["range"])
-        running = F.lit(over["start"]) + F.sum("size").over(Window.partitionBy("range").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        cut = edge.withColumn("end", running).where(F.col("end") <= total).select(F.max(F.struct(*order)).alias("cut"))
-        played = lambda e: F.when(
-            (span(finish(e)) < over["range"])
-            | ((span(finish(e)) == over["range"]) & (F.struct(finish(e).alias("finish"), "src", "key", F.lit(e).alias("epoch"), "id", "size") <= F.col("cut"))),
-            1,
-        ).otherwise(0)
+        order = ["finish", "src", "key", "epoch", "id", "size"]
+        near = counted.where(F.col("finish").between(F.lit(edge["low"]), F.lit(edge["high"])))
+        running = F.lit(edge["ahead"]) + F.sum("size").over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        stop = near.withColumn("end", running).where(F.col("end") > total).select(F.min(F.struct(*order)).alias("stop"))
+        played = lambda e: F.when(F.struct(finish(e).alias("finish"), "src", "key", F.lit(e).alias("epoch"), "id", "size") < F.col("stop"), 1).otherwise(0)
         times = sum((played(e) for e in range(max_repeats)), F.lit(0))
-        out = timed(base).join(F.broadcast(cut)).withColumn("times", F.when(F.col("target") > 0, times).otherwise(0))  # cut is one row
+        out = timed(base).join(F.broadcast(stop)).withColumn("times", F.when(F.col("target") > 0, times).otherwise(0))  # stop is one row
     return out.select(
         *([F.col("row")] if carry else [F.col("id").alias(id_col), F.col("source")]),
         "size",
