@@ -67,6 +67,8 @@ def main() -> None:
         "user_features": lambda: D.user_features(data),
         "device_gap": lambda: D.device_gap(S.sessionize(data)),
         "first_hit_device": lambda: D.first_hit_device(S.sessionize(data)),
+        "sessionize_hot_second": lambda: S.sessionize(hot_second),
+        "sessionize_hot_second_tie_break": lambda: S.sessionize(hot_second, tie_break="event_id"),
         "load_features_hot_second": lambda: L.load_features(hot_second, "second", ["GET", "POST"]),
     }
     for name, build in runs.items():

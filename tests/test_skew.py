@@ -1,6 +1,7 @@
 """A third of all hits on one client (a proxy): the skew-safe plans give the exact answers."""
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tests.conftest import SF01
@@ -35,6 +36,34 @@ def test_compact_equals_window_on_skew(skewed, gap, chunk):
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
+@pytest.mark.parametrize("same_second", [False, True])
+def test_tie_break_equals_ordered_window(skewed, same_second):
+    """Hits of one time in the order of their id, also with a third of them in one second."""
+    hits = skewed
+    if same_second:
+        hits = hits.withColumn("date_time", F.when(F.col("cl_ip") == HOT_IP, F.expr("timestamp_ntz'2024-01-02 00:00:00'")).otherwise(F.col("date_time")))
+    got = S.sessionize(hits, gap_secs=3600, chunk_secs=3600, tie_break="event_id").select("event_id", "prev_ts", "is_new_session", "session_id")
+    w = Window.partitionBy("cl_ip").orderBy("date_time", "event_id")
+    want = hits.where("cl_ip is not null and date_time is not null").withColumn("prev_ts", F.lag("date_time").over(w))
+    gap = F.unix_seconds(F.col("date_time").cast("timestamp")) - F.unix_seconds(F.col("prev_ts").cast("timestamp"))
+    want = want.withColumn("is_new_session", F.when(gap < 3600, 0).otherwise(1))
+    want = want.withColumn("session_id", F.sum("is_new_session").over(w)).select("event_id", "prev_ts", "is_new_session", "session_id")
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def _window_outputs(node):
+    if node.nodeName() == "Window":
+        yield node.output().mkString(",")
+    for i in range(node.children().size()):
+        yield from _window_outputs(node.children().apply(i))
+
+
+def test_tie_break_runs_no_window_over_hits(skewed):
+    plans = [S.sessionize(skewed, tie_break=t)._jdf.queryExecution().optimizedPlan() for t in (None, "event_id")]
+    with_hits = [any("user_agent" in out for out in _window_outputs(p)) for p in plans]
+    assert with_hits == [True, False]
+
+
 def test_hot_sessions_cross_chunk_borders(skewed):
     """Some sessions of the hot client run over midnight, so stitching is exercised."""
     sh = S.sessionize(skewed, gap_secs=3600)

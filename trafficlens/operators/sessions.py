@@ -17,8 +17,12 @@ under ``gap_secs`` whole seconds. Two exact strategies:
               task whatever share of the traffic one user (a proxy, a NAT)
               holds. Hits get their ids back by an equi-join on
               (user, second), whose keys spread a hot user over all tasks.
+              ``prev_ts`` and the flag still order the hits of one user in one
+              second in one task; given a ``tie_break`` column they come from
+              a table of one row per (user, time) instead, and no window runs
+              over the hits.
 
-Both give the same ``session_id`` for every hit, ``prev_ts`` and
+All give the same ``session_id`` for every hit, ``prev_ts`` and
 ``is_new_session`` included (ties in ``ts`` aside, where the reference's flag
 is not deterministic either).
 """
@@ -121,6 +125,21 @@ def _sessionize_compact(df: DataFrame, user: str, ts: str, gap_secs: int, chunk_
     return out.select(*df.columns, "prev_ts", "is_new_session", "session_id")
 
 
+def _sessionize_ties(df: DataFrame, user: str, ts: str, gap_secs: int, chunk_secs: int, tie_break: str) -> DataFrame:
+    sec = F.coalesce(epoch_seconds(ts), F.lit(0))
+    times = df.groupBy(user, ts).agg(F.min(tie_break).alias("_first")).withColumn("_sec", sec)
+    secs = _number_seconds(session_seconds(times, user, ts), user, gap_secs, chunk_secs)
+    ws = Window.partitionBy(user, "_sec").orderBy(ts)  # rows per partition = distinct times in a second
+    times = times.join(secs.select(user, "_sec", "_prev_last", "session_id"), [user, "_sec"]).select(
+        user, ts, "_first", F.coalesce(F.lag(ts, 1).over(ws), col("_prev_last")).alias("_before"), "session_id"
+    )
+    # no window above this join, so adaptive execution can split a hot (user, time)
+    joined = df.join(times, [user, ts])
+    out = joined.withColumn("prev_ts", F.when(col(tie_break) == col("_first"), col("_before")).otherwise(col(ts)))
+    out = out.withColumn("is_new_session", _new_session_flag(col(ts), col("prev_ts"), gap_secs))
+    return out.select(*df.columns, "prev_ts", "is_new_session", "session_id")
+
+
 def sessionize(
     hits: DataFrame,
     user: str = "cl_ip",
@@ -128,12 +147,23 @@ def sessionize(
     gap_secs: int = DEFAULT_GAP_SECS,
     strategy: str = "compact",
     chunk_secs: int = DEFAULT_CHUNK_SECS,
+    tie_break: str | None = None,
 ) -> DataFrame:
     """Hits with non-null user and time, plus ``prev_ts``, ``is_new_session`` (int)
-    and ``session_id`` (bigint, from 1 per user)."""
+    and ``session_id`` (bigint, from 1 per user).
+
+    ``tie_break`` names a column that is not null and differs between hits of
+    one user at one time (a row id): of such hits that with the smallest value
+    comes first. Without it their order is left open and a user's hits within
+    one second meet in one task; with it any share of the hits may fall into
+    one second. It belongs to the compact strategy."""
     if gap_secs <= 0 or chunk_secs <= 0:
         raise ValueError("gap_secs and chunk_secs must be positive")
     df = _drop_unusable(hits, user, ts)
+    if tie_break is not None and strategy != "compact":
+        raise ValueError("tie_break belongs to strategy='compact'")
+    if tie_break is not None:
+        return _sessionize_ties(df, user, ts, gap_secs, chunk_secs, tie_break)
     if strategy == "window":
         return _sessionize_window(df, user, ts, gap_secs)
     if strategy == "compact":

@@ -206,6 +206,19 @@ ORACLE: dict[str, str] = {
     "sessionize_hits_6h": _with_sessions(
         GAP_6H, "SELECT event_id, cl_ip, date_time, prev_ts, is_new_session, session_id FROM sh"
     ),
+    "sessionize_hot_second": f"""WITH {HITS},
+moved AS (
+  SELECT event_id, CASE WHEN event_id % 3 = 0 THEN '10.0.0.0' ELSE cl_ip END AS cl_ip,
+         CASE WHEN event_id % 3 = 0 THEN TIMESTAMP '2024-01-01 00:00:00' ELSE date_time END AS date_time
+  FROM hits),
+before AS (
+  SELECT *, lag(date_time) OVER (PARTITION BY cl_ip ORDER BY date_time, event_id) AS prev_ts
+  FROM moved WHERE cl_ip IS NOT NULL AND date_time IS NOT NULL),
+flagged AS (
+  SELECT *, CASE WHEN {_es('date_time')} - {_es('prev_ts')} < {GAP_6H} THEN 0 ELSE 1 END AS is_new_session FROM before)
+SELECT event_id, cl_ip, date_time, prev_ts, is_new_session,
+       CAST(sum(is_new_session) OVER (PARTITION BY cl_ip ORDER BY date_time, event_id) AS BIGINT) AS session_id
+FROM flagged""",
     "sessionize_window": _with_sessions(
         GAP, "SELECT event_id, cl_ip, date_time, prev_ts, is_new_session, session_id FROM sh"
     ),

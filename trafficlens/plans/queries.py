@@ -135,6 +135,15 @@ def q_sessionize_hits_6h(spark, sf):
     return _session_cols(_session_hits(spark, sf, GAP_6H))
 
 
+def q_sessionize_hot_second(spark, sf):
+    """A third of all hits on one client in one second, ordered by their id."""
+    hot = F.col("event_id") % 3 == 0
+    hits = _hits(spark, sf)
+    hits = hits.withColumn("cl_ip", F.when(hot, F.lit("10.0.0.0")).otherwise(F.col("cl_ip")))
+    hits = hits.withColumn("date_time", F.when(hot, F.expr("timestamp_ntz'2024-01-01 00:00:00'")).otherwise(F.col("date_time")))
+    return _session_cols(S.sessionize(hits, gap_secs=GAP_6H, tie_break="event_id"))
+
+
 def q_sessionize_window(spark, sf):
     return _session_cols(_session_hits(spark, sf, GAP, strategy="window"))
 
@@ -604,6 +613,7 @@ QUERIES: dict[str, Query] = {
     "parquet_roundtrip": q_parquet_roundtrip,
     "sessionize_hits": q_sessionize_hits,
     "sessionize_hits_6h": q_sessionize_hits_6h,
+    "sessionize_hot_second": q_sessionize_hot_second,
     "sessionize_window": q_sessionize_window,
     "session_window_table": q_session_window_table,
     "session_spans": q_session_spans,
