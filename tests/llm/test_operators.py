@@ -124,6 +124,21 @@ def test_secret_scan_long_runs(spark):
     assert (rows[3].added[0].start, rows[3].added[0].end) == (0, 48_000)
 
 
+def test_secret_scan_prefixed_hex(spark):
+    """A prefix does not change the threshold of the hex digits behind it; numbers stay numbers."""
+    rng = np.random.default_rng(12)
+    upper = lambda n: "".join(rng.choice(list("0123456789ABCDEF"), n))
+    keys = [(p, upper(n), q) for p in ("key-", "sk_", "path/", "KEYS") for q in ("", "-x/y") for n in (32, 40, 64)]
+    texts = ["".join(k) for k in keys]
+    numbers = ["order_31415926535897932384626433", "a/2015-07-22/90817263544536271809", "zz12345678909876543210zz"]
+    rows = {r.doc_id: r for r in SEC.scan_secrets(spark.createDataFrame(list(enumerate(texts + numbers)), "doc_id int, text string")).collect()}
+    for i, (p, key, _) in enumerate(keys):
+        (s,) = rows[i].added  # may reach into the prefix where a window across it is hot too
+        assert min(s.end, len(p) + len(key)) - max(s.start, len(p)) >= 20
+    assert {s.kind for r in rows.values() for s in r.added} >= {"entropy-hex"}
+    assert not any(rows[i].added for i in range(len(texts), len(rows)))
+
+
 def test_slug_pattern(spark):
     from pyspark.sql import functions as F
 

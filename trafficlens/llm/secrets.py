@@ -1,13 +1,14 @@
 """Secret scan: fixed patterns plus sliding-window entropy (operator 2).
 
 Fixed patterns give the base spans. Beyond them, every long run of token
-characters is a candidate: its narrowest character class (digits, hex,
-alphanumeric, token) fixes an entropy threshold, and the Shannon entropy of
-each window of ``window`` characters is followed by incremental counts (one
-character enters, one leaves). The span from the first window at or above the
-threshold to the end of the last such window is reported unless the
-allow-list suppresses the candidate. Only SQL functions are used; the work on
-windows is done for candidates alone.
+characters is a candidate. Its maximal stretches of each character class (hex,
+alphanumeric, token) are judged on their own, each with the entropy threshold
+of its class, so a prefix or separator does not change the threshold of what
+follows it. The Shannon entropy of each window of ``window`` characters is
+followed by incremental counts (one character enters, one leaves). The span
+from the first window at or above its threshold to the end of the last such
+window of the run is reported; stretches on the allow-list have none. Only SQL
+functions are used; the work on windows is done for candidates alone.
 """
 
 from __future__ import annotations
@@ -134,39 +135,58 @@ def hot_window(value: Column, bits: Column, window: int) -> Column:
 
 def entropy_spans(text: Column, window: int, allow: Sequence[str], classes=CLASSES) -> Column:
     """Spans ``(start, end, kind, value)`` of the high-entropy parts of token
-    runs; kind is ``entropy-<class>``."""
+    runs, one per run; kind is ``entropy-<class>``, the narrowest class that
+    holds the whole span."""
     candidates = spans(text, TOKEN, "token")
     allowed = lambda v: F.lit(False) if not allow else _any(v, allow)
 
-    def bits(v: Column) -> Column:
-        out = F.lit(99.0)
-        for _, pattern, threshold in reversed(classes):
-            out = F.when(v.rlike(pattern), F.lit(threshold)).otherwise(out)
-        return out
-
     def name(v: Column) -> Column:
         out = F.lit("none")
         for label, pattern, _ in reversed(classes):
             out = F.when(v.rlike(pattern), F.lit("entropy-" + label)).otherwise(out)
         return out
 
+    def stretches(v: Column) -> Column:
+        """``(start, value, bits)`` of the maximal stretches of each class that
+        are not on the allow-list; a stretch counts for its narrowest class."""
+        patterns = [pattern for _, pattern, _ in classes]
+
+        def own(k: int) -> Column:
+            found = spans(v, patterns[k].strip("^$").removesuffix("+") + f"{{{window},}}", "stretch")
+            judged = F.filter(found, lambda z: ~allowed(z["value"]) & ~_any(z["value"], patterns[:k]))
+            return F.transform(judged, lambda z: F.struct(z["start"].alias("start"), z["value"].alias("value"), F.lit(classes[k][2]).alias("bits")))
+
+        return F.concat(*[own(k) for k in range(len(classes))])
+
     def judge(z: Column) -> Column:
-        h = hot_window(z["value"], bits(z["value"]), window)
-        return F.struct(z["start"].alias("start"), z["value"].alias("value"), h.alias("h"))
+        hot = F.transform(
+            stretches(z["value"]),
+            lambda p: _let(
+                hot_window(p["value"], p["bits"], window),
+                lambda h: F.when(h["first"] > 0, F.struct((p["start"] + h["first"] - window).alias("first"), (p["start"] + h["last"]).alias("last"))),
+            ),
+        )
+        both = lambda h: F.struct(F.array_min(h["first"]).alias("first"), F.array_max(h["last"]).alias("last"))
+        return F.struct(z["start"].alias("start"), z["value"].alias("value"), _let(F.filter(hot, lambda h: h.isNotNull()), both).alias("h"))
 
     judged = F.transform(F.filter(candidates, lambda z: ~allowed(z["value"])), judge)
     out = F.transform(
-        F.filter(judged, lambda z: z["h"]["first"] > 0),
+        F.filter(judged, lambda z: z["h"]["first"].isNotNull()),
         lambda z: F.struct(
-            (z["start"] + z["h"]["first"] - window).alias("start"),
+            (z["start"] + z["h"]["first"]).alias("start"),
             (z["start"] + z["h"]["last"]).alias("end"),
-            name(z["value"]).alias("kind"),
+            name(z["value"].substr((z["h"]["first"] + 1).cast("int"), (z["h"]["last"] - z["h"]["first"]).cast("int"))).alias("kind"),
             z["value"].alias("value"),
         ),
     )
     return F.when(F.size(candidates) > 0, out).otherwise(F.array().cast("array<struct<start:bigint,end:bigint,kind:string,value:string>>"))
 
 
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _any(v: Column, patterns: Sequence[str]) -> Column:
     out = F.lit(False)
     for p in patterns:
