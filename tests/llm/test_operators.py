@@ -139,6 +139,36 @@ def test_secret_scan_prefixed_hex(spark):
     assert not any(rows[i].added for i in range(len(texts), len(rows)))
 
 
+def test_secret_scan_keeps_the_rest_of_a_run(spark):
+    """Base spans and allow-listed words are cut out of a run; what remains is judged."""
+    rng = np.random.default_rng(13)
+    key = "".join(rng.choice(list("abcdefghijkmnpqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ23456789"), 36))
+    sha = hashlib.sha1(b"x").hexdigest()
+    letters = "qzjvkwxbyfhgmpdtnclsuroeai"
+    base64_run = "aB3xY7+qLm0Zt9Kw" * 1_000
+    near = [
+        f"commit/{sha}/ghp_{key}",
+        f"{key}/{sha}/{key}",
+        f"/example/{key}",
+        f"é {key}-PlaceHolder-{key}",
+        base64_run + "xXxX" + base64_run,
+        letters,
+        letters.upper(),
+        f"key-{letters}",
+    ]
+    far = [f"commit/{sha}/ghp_abc", "an-example-of-a-long-slug-of-words", "internationalization", "x" * 5_000, "XXXX-XXXX-1234-5678-9012-3456"]
+    rows = {r.doc_id: r for r in SEC.scan_secrets(spark.createDataFrame(list(enumerate(near + far)), "doc_id int, text string")).collect()}
+    parts = [[near[i][s.start : s.end] for s in rows[i].added] for i in range(len(near))]
+    assert [len(p) for p in parts] == [1, 2, 1, 2, 2, 1, 1, 1]
+    for i in range(4):
+        assert all(p.strip("/-").removeprefix("ghp_") in key or key in p for p in parts[i])
+        assert all(len(p) >= 20 for p in parts[i])
+    assert parts[4] == [base64_run, base64_run] and parts[5:] == [[letters], [letters.upper()], [letters]]
+    for i, r in rows.items():
+        assert not any(b.start < s.end and s.start < b.end for b in r.base for s in r.added)
+        assert i < len(near) or not r.added
+
+
 def test_slug_pattern(spark):
     from pyspark.sql import functions as F
 

@@ -1,13 +1,16 @@
 """Secret scan: fixed patterns plus sliding-window entropy (operator 2).
 
 Fixed patterns give the base spans. Beyond them, every long run of token
-characters is a candidate. Its maximal stretches of each character class (hex,
+characters is a candidate, but for the base spans and the words of the
+allow-list in it, which are cut out; what lies between them is judged as runs
+of their own. A run's maximal stretches of each character class (hex,
 alphanumeric, token) are judged on their own, each with the entropy threshold
 of its class, so a prefix or separator does not change the threshold of what
 follows it. The Shannon entropy of each window of ``window`` characters is
 followed by incremental counts (one character enters, one leaves). The span
 from the first window at or above its threshold to the end of the last such
-window of the run is reported; stretches on the allow-list have none. Only SQL
+window of the run is reported; stretches on the allow-list have none, and a
+single word only while its entropy is below a bound. Only SQL
 functions are used; the work on windows is done for candidates alone.
 """
 
@@ -33,9 +36,11 @@ TOKEN = r"[A-Za-z0-9+/_-]{20,}"
 ALPHABET = "0123456789abcdefABCDEFghijklmnopqrstuvwxyzGHIJKLMNOPQRSTUVWXYZ+/_-"
 # narrowest class first: (name, pattern of the whole candidate, bits per character of a window)
 CLASSES = (("hex", "^[0-9a-fA-F]+$", 2.9), ("alnum", "^[0-9a-zA-Z]+$", 3.6), ("token", "^[0-9a-zA-Z+/_-]+$", 3.7))
+# A pattern that starts with ^ allows a stretch as a whole, with bits only while no window reaches them; the
+# matches of any other pattern are cut out of the run.
 ALLOW = (
     r"^[0-9_/+-]+$",  # numbers, dates, rules of dashes
-    r"^[A-Z]?[a-z]+$|^[A-Z]+$",  # one word
+    (r"^[A-Z]?[a-z]+$|^[A-Z]+$", 3.6),  # one word; 32 random letters have such a window in 95 of 100 cases
     # words joined into a path or a slug; no repeated group, whose matching would recurse per word
     r"^(?!.*[A-Za-z][A-Z])(?=[A-Za-z_/+-]*+$)[A-Za-z]*+[_/+-]",
     r"(?i)example|placeholder|xxxx",
@@ -133,12 +138,62 @@ def hot_window(value: Column, bits: Column, window: int) -> Column:
     return F.aggregate(steps, start, step, lambda st: F.struct(st["first"].alias("first"), st["last"].alias("last")))
 
 
-def entropy_spans(text: Column, window: int, allow: Sequence[str], classes=CLASSES) -> Column:
+def _without(z: Column, holes: Column, window: int) -> Column:
+    """The parts ``(start, value)`` of a span that no hole touches, of at least
+    ``window`` characters."""
+    inside = F.filter(holes, lambda h: (h["start"] < z["end"]) & (z["start"] < h["end"]))
+
+    def part(a: Column, near: Column) -> Column:
+        after = F.array_min(F.transform(F.filter(near, lambda h: h["start"] >= a), lambda h: h["start"]))
+        return F.struct(a.alias("start"), F.least(z["end"], F.coalesce(after, z["end"])).alias("end"))
+
+    def parts(near: Column) -> Column:
+        begins = F.array_distinct(F.concat(F.array(z["start"]), F.transform(near, lambda h: h["end"])))
+        free = F.filter(begins, lambda a: ~F.exists(near, lambda h: (h["start"] <= a) & (a < h["end"])))
+        return F.filter(F.transform(free, lambda a: part(a, near)), lambda p: p["end"] - p["start"] >= window)
+
+    return F.transform(_let(inside, parts), lambda p: _piece(z, p["start"] - z["start"], p["end"] - z["start"]))
+
+
+def _without_words(z: Column, pattern: str, window: int) -> Column:
+    """The parts ``(start, value)`` of a span between the matches of a pattern."""
+
+    def parts(hits: Column) -> Column:
+        zero = F.array(F.lit(0).cast("long"))
+        begins, ends = F.concat(zero, F.transform(hits, lambda h: h["end"])), F.transform(hits, lambda h: h["start"])
+        pairs = F.arrays_zip(begins.alias("a"), F.concat(ends, F.array(F.length(z["value"]).cast("long"))).alias("b"))
+        return F.transform(F.filter(pairs, lambda p: p["b"] - p["a"] >= window), lambda p: _piece(z, p["a"], p["b"]))
+
+    whole = F.array(F.struct(z["start"].alias("start"), z["value"].alias("value")))
+    return F.when(z["value"].rlike(pattern), _let(spans(z["value"], pattern, "word"), parts)).otherwise(whole)
+
+
+def _piece(z: Column, a: Column, b: Column) -> Column:
+    value = z["value"].substr((a + 1).cast("int"), (b - a).cast("int"))
+    return F.struct((z["start"] + a).alias("start"), value.alias("value"))
+
+
+def entropy_spans(text: Column, window: int, allow: Sequence[str | tuple[str, float]], classes=CLASSES, holes: Column | None = None) -> Column:
     """Spans ``(start, end, kind, value)`` of the high-entropy parts of token
     runs, one per run; kind is ``entropy-<class>``, the narrowest class that
-    holds the whole span."""
+    holds the whole span. ``holes``: spans that are cut out of the runs."""
     candidates = spans(text, TOKEN, "token")
-    allowed = lambda v: F.lit(False) if not allow else _any(v, allow)
+    rules = [r if isinstance(r, tuple) else (r, None) for r in allow]
+    words = "|".join(f"(?:{p})" for p, _ in rules if not p.startswith("^"))
+    whole = [p for p, bound in rules if p.startswith("^") and bound is None]
+    bounded = [(p, bound) for p, bound in rules if p.startswith("^") and bound is not None]
+
+    runs = candidates
+    if holes is not None:
+        runs = F.flatten(F.transform(runs, lambda z: _without(z, holes, window)))
+    if words:
+        runs = F.flatten(F.transform(runs, lambda z: _without_words(z, words, window)))
+
+    def needed(v: Column, bits: float) -> Column:
+        out = F.lit(bits)
+        for p, bound in bounded:
+            out = F.when(v.rlike(p), F.greatest(out, F.lit(bound))).otherwise(out)
+        return out
 
     def name(v: Column) -> Column:
         out = F.lit("none")
@@ -153,8 +208,8 @@ def entropy_spans(text: Column, window: int, allow: Sequence[str], classes=CLASS
 
         def own(k: int) -> Column:
             found = spans(v, patterns[k].strip("^$").removesuffix("+") + f"{{{window},}}", "stretch")
-            judged = F.filter(found, lambda z: ~allowed(z["value"]) & ~_any(z["value"], patterns[:k]))
-            return F.transform(judged, lambda z: F.struct(z["start"].alias("start"), z["value"].alias("value"), F.lit(classes[k][2]).alias("bits")))
+            judged = F.filter(found, lambda z: ~_any(z["value"], [*whole, *patterns[:k]]))
+            return F.transform(judged, lambda z: F.struct(z["start"].alias("start"), z["value"].alias("value"), needed(z["value"], classes[k][2]).alias("bits")))
 
         return F.concat(*[own(k) for k in range(len(classes))])
 
@@ -169,7 +224,7 @@ def entropy_spans(text: Column, window: int, allow: Sequence[str], classes=CLASS
         both = lambda h: F.struct(F.array_min(h["first"]).alias("first"), F.array_max(h["last"]).alias("last"))
         return F.struct(z["start"].alias("start"), z["value"].alias("value"), _let(F.filter(hot, lambda h: h.isNotNull()), both).alias("h"))
 
-    judged = F.transform(F.filter(candidates, lambda z: ~allowed(z["value"])), judge)
+    judged = F.transform(runs, judge)
     out = F.transform(
         F.filter(judged, lambda z: z["h"]["first"].isNotNull()),
         lambda z: F.struct(
@@ -200,7 +255,7 @@ def scan_secrets(
     id_col: str = "doc_id",
     kinds: Mapping[str, tuple[str, int, int]] | None = None,
     window: int = 20,
-    allow: Sequence[str] = ALLOW,
+    allow: Sequence[str | tuple[str, float]] = ALLOW,
     classes=CLASSES,
 ) -> DataFrame:
     """One row per input row: ``<id_col>, base, added``: arrays of
@@ -208,7 +263,7 @@ def scan_secrets(
 
     ``base``: the leftmost non-overlapping matches of each kind whose group is
     long enough, in the order of start, then of kind. ``added``: entropy spans
-    that overlap no base span. Null and empty texts have no spans; ids may be
+    of what the base spans leave of each run. Null and empty texts have no spans; ids may be
     null or repeat; other columns of the input are ignored.
     """
     kinds = dict(kinds or BASE_KINDS)
@@ -217,14 +272,12 @@ def scan_secrets(
     for k, (kind, (pattern, group, least)) in enumerate(kinds.items()):
         run = RUN_PATTERNS.get(kind) if kinds[kind] == BASE_KINDS.get(kind) else None
         base = base.withColumn(f"_k{k}", spans(text, run or pattern, kind, group, 0 if run else least))
-    base = base.withColumn("_e", entropy_spans(text, window, allow, classes)).drop("_text")
     names = F.array(*[F.lit(k) for k in kinds])
     everything = F.concat(*[F.col(f"_k{k}") for k in range(len(kinds))])
     order = lambda s: F.struct(s["start"].alias("start"), F.array_position(names, s["kind"]).alias("k"), s["end"].alias("end"), s["kind"].alias("kind"), s["value"].alias("value"))
     plain = lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"), s["value"].alias("value"))
     base = base.withColumn("base", F.transform(F.array_sort(F.transform(everything, order)), plain))
-    added = F.filter("_e", lambda e: ~F.exists("base", lambda b: (b["start"] < e["end"]) & (e["start"] < b["end"])))
-    return base.select(id_col, "base", added.alias("added"))
+    return base.select(id_col, "base", entropy_spans(text, window, allow, classes, F.col("base")).alias("added"))
 
 
 def span_list(col: str | Column) -> Column:
