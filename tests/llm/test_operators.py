@@ -412,6 +412,23 @@ def test_posterior_pruning_table():
         assert less[s >= 0.8].sum() / less.sum() < 1e-4 * 1.01
 
 
+def test_pruning_loses_less_than_the_bands():
+    """Probability that any of the steps drops a pair, by the exact distribution of its matches."""
+    import inspect
+    from math import comb
+
+    for join in (NJ.ngram_join, NJ.keep_one):
+        need = NJ.least_matches(0.8, inspect.signature(join).parameters["tolerance"].default)
+        for s in (0.8, 0.81, 0.85, 0.9, 0.95):
+            step = [comb(NJ.STEP, k) * s**k * (1 - s) ** (NJ.STEP - k) for k in range(NJ.STEP + 1)]
+            state, lost = np.ones(1), 0.0
+            for least in need:
+                state = np.convolve(state, step)
+                lost += state[:least].sum()
+                state[:least] = 0
+            assert lost < (1 - 0.8**NJ.ROWS) ** NJ.BANDS
+
+
 def test_quality_classifier(spark, docs, none):
     rng = np.random.default_rng(2)
     rows, labels = [], []
