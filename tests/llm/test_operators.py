@@ -338,6 +338,22 @@ def test_token_files(docs, none):
     assert TF.token_files(none, path, 49_408, 1).count() == 0
 
 
+def test_op1_equals_plain_encode(spark, tmp_path):
+    """Also where a text holds the string of a special token."""
+    from tokenizers import Tokenizer
+
+    from trafficlens.llm.queries import op1_token_files
+
+    tk = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    texts = ["hello <|endoftext|> world", "a<|startoftext|>B's <|ENDOFTEXT|>", "plain text"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    start = 0
+    for r in sorted(op1_token_files(spark, str(tmp_path)).collect()):
+        ids = tk.encode(texts[r.doc_id], add_special_tokens=False).ids + [1]
+        assert (r.start, r.n_tokens, r.ids_crc32) == (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        start += len(ids)
+
+
 def test_huffman_code():
     rng = np.random.default_rng(3)
     counts = np.concatenate([1 << np.arange(30), np.zeros(3), rng.integers(1, 50, 400)]).astype(np.int64)

@@ -27,7 +27,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    back = TF.token_files(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), vocabulary_size=49_408, end_id=1)
+    path = public_tokenizers.path("word_bpe_49k.json")
+    back = TF.token_files(_table(spark, sf_dir, "documents"), path, vocabulary_size=49_408, end_id=1, special_as_text=False)
     return back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 

@@ -74,12 +74,12 @@ class WordMemory:
     library's model directly, other distinct words of a batch to the whole
     tokenizer in one call."""
 
-    def __init__(self, path: str, by_word: bool, kind: str):
+    def __init__(self, path: str, by_word: bool, kind: str, special_as_text: bool):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core per task
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = special_as_text
         self.by_word = by_word
         self.code = "H" if np.dtype(kind).itemsize == 2 else "I"
         self.letters = byte_letters()
@@ -132,8 +132,8 @@ class WordMemory:
 
 
 @lru_cache(maxsize=2)
-def _memory(path: str, by_word: bool, kind: str) -> WordMemory:
-    return WordMemory(path, by_word, kind)
+def _memory(path: str, by_word: bool, kind: str, special_as_text: bool) -> WordMemory:
+    return WordMemory(path, by_word, kind, special_as_text)
 
 
 def encode_documents(
@@ -145,16 +145,19 @@ def encode_documents(
     text_col: str = "text",
     by_word: bool = True,
     batch: int = 256,
+    special_as_text: bool = True,
 ) -> DataFrame:
     """``doc_id, n, ids`` for each row: the ids of the whole text (null: empty)
     with ``end_id`` appended, as bytes of ``id_type``, and their number. The
     tokenizer file must be readable on the executors. ``by_word=False`` encodes whole texts in
-    one call each, for vocabularies whose tokens may cross white space."""
+    one call each, for vocabularies whose tokens may cross white space. Strings of
+    special tokens in a text are ordinary text; with ``special_as_text=False``
+    they become the special ids, as in the library's plain ``encode``."""
     ship(df.sparkSession)
     kind = id_type(vocabulary_size)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory, end = _memory(tokenizer_path, by_word, kind.str), np.array([end_id], kind).tobytes()
+        memory, end = _memory(tokenizer_path, by_word, kind.str, special_as_text), np.array([end_id], kind).tobytes()
         for rows in batches:
             for i in range(0, rows.num_rows, batch):
                 part = rows.slice(i, batch)
@@ -425,7 +428,8 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def token_files(
-    df: DataFrame, tokenizer_path: str, vocabulary_size: int, end_id: int, folder: str | None = None, id_col: str = "doc_id", text_col: str = "text", by_word: bool = True
+    df: DataFrame, tokenizer_path: str, vocabulary_size: int, end_id: int, folder: str | None = None, id_col: str = "doc_id", text_col: str = "text", by_word: bool = True,
+    special_as_text: bool = True,
 ) -> DataFrame:
     """Encode, write and read back: ``doc_id, start, n_tokens, ids``.
 
@@ -435,6 +439,6 @@ def token_files(
     spark = df.sparkSession
     folder = folder or scratch_path(spark, "token-files")
     draft = f"{folder}/_ids"
-    encode_documents(df, tokenizer_path, vocabulary_size, end_id, id_col, text_col, by_word).write.option("compression", "zstd").parquet(draft)
+    encode_documents(df, tokenizer_path, vocabulary_size, end_id, id_col, text_col, by_word, special_as_text=special_as_text).write.option("compression", "zstd").parquet(draft)
     write_tokens(spark.read.parquet(draft), folder, vocabulary_size)
     return read_tokens(spark, folder)
