@@ -82,3 +82,13 @@ def test_first_hit_device_prefers_an_agent_at_a_tie(spark):
     )
     got = {r.session_id: r.first_device for r in D.first_hit_device(df).collect()}
     assert got == {1: "mobile", 2: "web"}
+
+
+def test_every_zone_becomes_utc(spark):
+    zones = {"+02": 7, "+2": 7, "+02:00": 7, "+0200": 7, "+02:00:00": 7, " Europe/Paris": 7, "[Europe/Paris]": None, " GMT+2": 7, "UTC+02:00": 7, " PST": 16, "Z": 9, " UTC": 9, "": 9, ".25": 9, ".25-03:30": 12}
+    rows = spark.createDataFrame([(z, "2015-07-22T09:00:28" + z) for z in zones], "z string, t string")
+    for r in rows.select("z", logs.utc_wall_clock(F.col("t")).cast("string").alias("u")).collect():
+        if zones[r.z] is None:
+            assert r.u is None
+        else:
+            assert r.u.startswith(f"2015-07-22 {zones[r.z]:02d}:{'30' if r.z == '.25-03:30' else '00'}:28"), r

@@ -133,13 +133,17 @@ def split_url(df: DataFrame, column: str = "request_url") -> DataFrame:
     ).drop("_u")
 
 
+# after date and time of day (hours and minutes at least): a signed offset, or a zone that starts with a letter
+ZONE = r"-\d{1,2}-\d{1,2}[T\x20]\d{1,2}:\d{1,2}(:\d{1,2}(\.\d*)?)?\s*([+-]\d|[A-Za-z])"
+
+
 def utc_wall_clock(text):
-    """Time text -> UTC wall clock (P5). A numeric offset is applied; ``Z`` and
-    no zone at all mean UTC. Null where the text is no time."""
+    """Time text -> UTC wall clock (P5). An offset or a zone name is applied;
+    ``Z`` and no zone at all mean UTC. Null where the text is no time."""
     moment = text.try_cast("timestamp")
     micros = F.unix_micros(moment).cast("decimal(20,0)") / F.lit(1_000_000)
     shifted = F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=micros.cast("decimal(18,6)"))
-    return F.when(text.rlike(r"\d[+-]\d{2}:?\d{2}$"), shifted).otherwise(text.try_cast("timestamp_ntz"))
+    return F.when(text.rlike(ZONE), shifted).otherwise(text.try_cast("timestamp_ntz"))
 
 
 def transform_log(raw: DataFrame, mode: str = "lenient") -> DataFrame:
