@@ -493,3 +493,56 @@ def test_pipeline_stages(spark):
             assert ids == sorted(i for i, _ in rows) and after.where("not round_trip").count() == 0
         assert name == "encode" or after.columns == columns
         before = after
+
+
+def test_pipeline_run_equals_chain(spark):
+    """run(), with its hand-over as Parquet, against a chain on plain lists (the classifier is nbsvm's)."""
+    import corpus_pipeline
+    import tiktoken
+
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    model = NB.fit(docs, spark.read.parquet(f"{sf}/labels.parquet"), held_out=NB.crc_fold("_id") == 0)
+    rows = [(r.doc_id, r.text, r.source) for r in docs.collect()]
+    rows = [r for r in rows if model.probability(model.margin(NB.features(r[1] or ""))) >= 0.3]
+    best = {}
+    for r in rows:
+        best[lower(r[1])] = max(best.get(lower(r[1]), r), r, key=lambda x: x[0])
+    rows = list(best.values())
+    firsts = {c for _, c, *_ in brute_links([r[:2] for r in rows])}
+    rows = [r for r in rows if r[0] in firsts]
+
+    words = {r[0]: len(re.findall(r"[^\x20\x09-\x0D]+", r[1] or "")) for r in rows}
+    by_source = {}
+    for r in rows:
+        by_source.setdefault(r[2], []).append(r[0])
+    size = {s: sum(words[i] for i in ids) for s, ids in by_source.items()}
+    weight = {s: (5, 2, 1)[k % 3] for k, s in enumerate(sorted(size))}
+    total, target, free = sum(size.values()), {}, set(size)
+    while True:
+        level = (total - sum(target.values())) / sum(weight[s] for s in free)
+        above = {s for s in free if level * weight[s] >= 3 * size[s]}
+        if not above:
+            break
+        target |= {s: 3 * size[s] for s in above}
+        free -= above
+    target |= {s: level * weight[s] for s in free}
+    plays = []
+    for s, ids in by_source.items():
+        played = 0
+        for key, i in sorted((hashlib.md5(f"mix:{i}".encode()).hexdigest(), i) for i in ids):
+            played += words[i]
+            plays += [((e * size[s] + played) / target[s], s, key, e, i) for e in range(3)]
+    times, taken = Counter(), 0
+    for *_, i in sorted(plays):
+        taken += words[i]
+        if taken > total:
+            break
+        times[i] += 1
+
+    ranks = BPE.load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    ref = tiktoken.Encoding("ref", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    want = Counter({(i, s, True, tuple(ref.encode_ordinary(t or ""))): times[i] for i, t, s in rows if times[i]})
+    got = corpus_pipeline.run(spark, sf).collect()
+    assert all(r.n_tokens == len(r.ids) for r in got)
+    assert Counter((r.doc_id, r.source, r.round_trip, tuple(r.ids)) for r in got) == want
