@@ -116,4 +116,31 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, size, source_size, target, CAST(coalesce(times, 0) * size AS BIGINT) AS taken
         FROM o LEFT JOIN n ON n.r = o.r
     """,
+    "op11_fill_middle": r"""
+        WITH t AS (
+            SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || doc_id) AS h,
+                   regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS units
+            FROM documents
+        ),
+        d AS (
+            SELECT *, len(units) AS n, CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2,
+                   CAST('0x' || substr(h, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4
+            FROM t
+        ),
+        p AS (
+            SELECT doc_id, text, n,
+                   CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 50
+                        THEN 'plain' WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form,
+                   array_to_string(units[:least(h1 % (n + 1), h2 % (n + 1))], '') AS prefix,
+                   array_to_string(units[least(h1 % (n + 1), h2 % (n + 1)) + 1:greatest(h1 % (n + 1), h2 % (n + 1))], '') AS middle,
+                   array_to_string(units[greatest(h1 % (n + 1), h2 % (n + 1)) + 1:], '') AS suffix
+            FROM d
+        )
+        SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+               CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+               sha256(CASE form WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                                WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle ELSE text END) AS output_sha256,
+               sha256(text) AS restored_sha256
+        FROM p
+    """,
 }

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from . import byte_bpe as BPE
 from . import exact_dedup as X
+from . import fill_middle as FM
 from . import kmeans_tree as KT
 from . import mixing as MX
 from . import nbsvm as NB
@@ -102,6 +103,19 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return X.exact_dedup(_table(spark, sf_dir, "documents"), keep="max")
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = FM.fill_in_middle(_table(spark, sf_dir, "documents"))
+    return out.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2("restored", 256).alias("restored_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_secret_scan": op2_secret_scan,
@@ -113,4 +127,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ngram_join": op8_ngram_join,
     "op9_quality_nbsvm": op9_quality_nbsvm,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_fill_middle": op11_fill_middle,
 }
