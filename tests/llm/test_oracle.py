@@ -11,7 +11,7 @@ from trafficlens.llm.queries import QUERIES
 @pytest.mark.parametrize("key", sorted(ORACLE))
 def test_query_matches_sql(spark, key):
     con = duckdb.connect()
-    for table in ("documents", "pages", "labels"):
+    for table in ("documents", "pages", "labels", "conversations", "benchmark"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF01}/{table}.parquet'")
     got, want = QUERIES[key](spark, SF01), con.sql(ORACLE[key])
     columns = sorted(got.columns)

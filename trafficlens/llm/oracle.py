@@ -143,4 +143,25 @@ ORACLE: dict[str, str] = {
                sha256(text) AS restored_sha256
         FROM p
     """,
+    "op12_chat_format": r"""
+        WITH turns AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+            UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+        ),
+        coded AS (
+            SELECT *, length(replace(replace(replace(replace(role, '\', '\\'), '<turn>', '\a'), '<say>', '\b'), '</turn>', '\c'))
+                    + length(replace(replace(replace(replace(text, '\', '\\'), '<turn>', '\a'), '<say>', '\b'), '</turn>', '\c'))
+                    + length('<turn><say></turn>') + 1 AS chars, sha256(text) AS tie
+            FROM turns
+        ),
+        joined AS (
+            SELECT conv_id, count(*) AS n_turns, CAST(sum(chars) AS BIGINT) AS formatted_chars,
+                   string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, tie) AS said,
+                   coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, tie) FILTER (role = 'assistant'), '') AS learnt
+            FROM coded GROUP BY conv_id
+        )
+        SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(learnt) AS loss_chars, sha256(learnt) AS loss_sha256, formatted_chars
+        FROM joined
+    """,
 }
