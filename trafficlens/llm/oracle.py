@@ -164,4 +164,25 @@ ORACLE: dict[str, str] = {
         SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(learnt) AS loss_chars, sha256(learnt) AS loss_sha256, formatted_chars
         FROM joined
     """,
+    "op13_lexical_search": r"""
+        WITH terms AS (
+            SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents
+        ),
+        tf AS (SELECT doc_id, term, count(*) AS tf FROM terms GROUP BY ALL),
+        lengths AS (SELECT doc_id, count(*) AS n FROM terms GROUP BY ALL),
+        totals AS (SELECT count(*) AS nd, CAST(sum(n) AS BIGINT) AS l FROM lengths),
+        w AS (SELECT term, CAST(floor(1000 * ln((2.0::DOUBLE * any_value(nd) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, totals GROUP BY term),
+        items AS (
+            SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+        ),
+        scored AS (
+            SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * nd) // l)))) AS BIGINT) AS score
+            FROM items JOIN w USING (term) JOIN tf USING (term) JOIN lengths USING (doc_id), totals GROUP BY ALL
+        )
+        SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+        FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+        WHERE rank <= 10
+    """,
 }

@@ -13,6 +13,7 @@ from . import chat_format as CF
 from . import exact_dedup as X
 from . import fill_middle as FM
 from . import kmeans_tree as KT
+from . import lexical_search as LS
 from . import mixing as MX
 from . import nbsvm as NB
 from . import ngram_join as NJ
@@ -128,6 +129,10 @@ def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return CF.read_chats(CF.format_chats(turns.unionByName(planted)))
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return LS.rank_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_secret_scan": op2_secret_scan,
@@ -141,4 +146,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_exact_dedup": op10_exact_dedup,
     "op11_fill_middle": op11_fill_middle,
     "op12_chat_format": op12_chat_format,
+    "op13_lexical_search": op13_lexical_search,
 }
