@@ -76,8 +76,8 @@ def types(spark_df, con, sql: str) -> tuple[dict, dict]:
 
 
 def compare(spark, con, key: str, sf_dir: str):
-    from trafficlens.plans.oracle import ORACLE
-    from trafficlens.plans.queries import QUERIES
+    from trafficlens.plans.registry import ORACLE
+    from trafficlens.plans.registry import QUERIES
 
     df = QUERIES[key](spark, sf_dir)
     s_cols = df.columns
@@ -90,7 +90,7 @@ def compare(spark, con, key: str, sf_dir: str):
 
 
 def main(argv: list[str]) -> int:
-    from trafficlens.plans.oracle import ORACLE
+    from trafficlens.plans.registry import ORACLE
     from trafficlens.runtime import local_session
 
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"

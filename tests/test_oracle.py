@@ -3,7 +3,7 @@
 import pytest
 
 from tests.oracle_compare import SF01_DEFAULT, compare, duck  # noqa: F401
-from trafficlens.plans.oracle import ORACLE
+from trafficlens.plans.registry import ORACLE
 
 
 @pytest.fixture(scope="module")

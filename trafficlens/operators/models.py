@@ -62,10 +62,15 @@ def assemble(df: DataFrame, features: Sequence[str], out: str = "features", hand
 
 
 def fit_linear(
-    train: DataFrame, features: str = "features", label: str = "label", max_iter: int = 10, reg: float = 0.0
+    train: DataFrame,
+    features: str = "features",
+    label: str = "label",
+    max_iter: int = 10,
+    reg: float = 0.0,
+    intercept: bool = True,
 ) -> LinearRegressionModel:
     """Linear regression, ``maxIter`` 10 as in the reference (M4)."""
-    lr = LinearRegression(featuresCol=features, labelCol=label, maxIter=max_iter, regParam=reg)
+    lr = LinearRegression(featuresCol=features, labelCol=label, maxIter=max_iter, regParam=reg, fitIntercept=intercept)
     with _persisted(train, [features, label]) as data:
         return lr.fit(data)
 

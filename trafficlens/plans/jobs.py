@@ -22,6 +22,7 @@ from ..functions.columns import MOBILE, WEB, col, epoch_seconds
 from ..operators import devices as D
 from ..operators import load as L
 from ..operators import models as M
+from ..operators import moments as MO
 from ..operators import sessions as S
 from ..operators import stats as ST
 from ..sources import logs
@@ -108,7 +109,9 @@ def load_job(
     train, test = data.where(col("split") == "train"), data.where(col("split") == "test")
 
     linear = M.fit_linear(train)
-    cv = M.fit_linear_cv(train)
+    # all settings and folds from one aggregate; only the best is fitted as a model to save
+    grid = MO.cross_validate_linear(train, LOAD_FEATURES)
+    cv = M.fit_linear(train, reg=grid.best.reg, intercept=grid.best.fit_intercept)
     tree = M.fit_tree(train)
     metrics = (
         _metrics_row("linear", M.score(linear, test))
@@ -124,6 +127,7 @@ def load_job(
     )
     paths = {"load_features": feats_path, "request_types": types_path}
     paths["linear_summary"] = write_table(M.linear_summary(linear), _out(out, "linear_summary"), mode)
+    paths["linear_cv_grid"] = write_table(grid.table(spark), _out(out, "linear_cv_grid"), mode)
     paths["residuals"] = write_table(M.residuals(linear), _out(out, "residuals"), mode)
     paths["metrics"] = write_table(metrics, _out(out, "metrics"), mode)
     paths["lag_correlation"] = write_table(

@@ -382,7 +382,7 @@ def q_session_prediction_fixed(spark, sf):
 def q_linear_fit(spark, sf):
     df = _model_frame(spark, sf)
     model = M.fit_linear(df.where(col("split") == "train"))
-    return M.score(model, df.where(col("split") == "test")).select("bucket", "label", "prediction")
+    return rounded(M.score(model, df.where(col("split") == "test")).select("bucket", "label", "prediction"))
 
 
 def q_linear_summary(spark, sf):
@@ -391,7 +391,9 @@ def q_linear_summary(spark, sf):
 
 
 def q_linear_metrics(spark, sf):
-    return rounded(ST.regression_metrics(q_linear_fit(spark, sf)))
+    df = _model_frame(spark, sf)
+    model = M.fit_linear(df.where(col("split") == "train"))
+    return rounded(ST.regression_metrics(M.score(model, df.where(col("split") == "test"))))
 
 
 def q_linear_cv(spark, sf):
@@ -486,7 +488,7 @@ def q_model_roundtrip(spark, sf):
     df = _model_frame(spark, sf)
     model = M.fit_linear(df.where(col("split") == "train"))
     path = M.save_model(model, scratch_path(spark, "linear-model"))
-    return M.score(M.load_linear(path), df.where(col("split") == "test")).select("bucket", "prediction")
+    return rounded(M.score(M.load_linear(path), df.where(col("split") == "test")).select("bucket", "prediction"))
 
 
 # ---- model invariants: counts of violations over all rows, which must be 0 --------
