@@ -24,13 +24,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
 
-from .common import ship, text_or_empty
+from .common import giving_back, ship, text_or_empty, text_slices
 
 # how the public rank files split text before merging
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-MEMORY = 250_000  # remembered pieces per worker
+MEMORY = 200_000  # remembered pieces per worker and generation
 LONGEST = 32  # characters of a remembered piece
-NONE = (1 << 32) - 1  # in place of an id: merged away, or past the end
+MARKS = frozenset(".,;:!?")
+NONE = -1  # in place of an id: merged away, or past the end
+_AFTER, _BEFORE = list(range(1, 1025)), list(range(-1, 1023))  # links of short pieces
 _M64 = (1 << 64) - 1
 
 
@@ -86,10 +88,22 @@ class Vocabulary:
         for k, i in ranks.items():
             self.tokens[i] = k
         self.bytes = [ranks[bytes([b])] for b in range(256)]
-        # rank (shifted) of the token that two adjacent tokens make, by their ids
-        self.pairs = {
-            ranks[k[:c]] << 32 | ranks[k[c:]]: i << 32 for k, i in ranks.items() for c in range(1, len(k)) if k[:c] in ranks and k[c:] in ranks
-        }
+        # for each token the tokens that it makes with those that may follow it, by id
+        joined: list[dict[int, int]] = [{} for _ in self.tokens] or [{}]
+        for k, i in ranks.items():
+            for c in range(1, len(k)):
+                if k[:c] in ranks and k[c:] in ranks:
+                    joined[ranks[k[:c]]][ranks[k[c:]]] = i
+        self.joined = joined
+        self.follow = [d.get for d in joined]
+        self.longest = max(map(len, self.keys), default=0)
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "follow"}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self.follow = [d.get for d in self.joined]
 
     def whole(self, piece: bytes) -> int | None:
         at = self.hash.find(piece)
@@ -98,42 +112,37 @@ class Vocabulary:
     def merge(self, piece: bytes) -> list[int]:
         """Merge the lowest-ranked adjacent pair (the leftmost of equals) until
         no pair is a token. A heap entry is rank and position in one number; it
-        counts only while it is the entry of its position in ``now``. One
-        position past the end, which no pair can use, closes the list both
-        ways."""
-        pair, n = self.pairs.get, len(piece)
-        ids = list(map(self.bytes.__getitem__, piece))
-        now = [pair(a << 32 | b, -1) for a, b in zip(ids, ids[1:])]
-        now = [r | i if r >= 0 else -1 for i, r in enumerate(now)]
-        heap = [x for x in now if x >= 0]
-        heapify(heap)
+        counts only while its rank is that of its position in ``now``. The
+        position past the end, which no pair can use, closes the list."""
+        follow, n = self.follow, len(piece)
+        ids = [self.bytes[b] for b in piece]
         ids.append(NONE)
-        now += (-1, -1)
-        after, before = list(range(1, n + 2)), list(range(-1, n))
+        now = [follow[a](b) for a, b in zip(ids, ids[1:])]
+        now.append(None)
+        heap = [r << 32 | i for i, r in enumerate(now) if r is not None]
+        heapify(heap)
+        after, before = (_AFTER[: n + 1], _BEFORE[: n + 1]) if n < len(_AFTER) else (list(range(1, n + 2)), list(range(-1, n)))
         while heap:
             top = heappop(heap)
-            i = top & 0xFFFFFFFF
-            if now[i] != top:
+            i, r = top & 0xFFFFFFFF, top >> 32
+            if now[i] != r:
                 continue
-            r = top >> 32
-            j, h = after[i], before[i]
+            j = after[i]
             k = after[j]
-            ids[i], ids[j], now[j] = r, NONE, -1
+            ids[i], ids[j], now[j] = r, NONE, None
             after[i], before[k] = k, i
-            q = pair(r << 32 | ids[k], -1)
-            if q >= 0:
-                q |= i
-                heappush(heap, q)
-            now[i] = q
-            q = pair(ids[h] << 32 | r, -1)
-            if q >= 0:
-                q |= h
-                heappush(heap, q)
-            now[h] = q
-        return [x for x in ids if x != NONE]
+            q = now[i] = follow[r](ids[k])
+            if q is not None:
+                heappush(heap, q << 32 | i)
+            if i:
+                h = before[i]
+                q = now[h] = follow[ids[h]](r)
+                if q is not None:
+                    heappush(heap, q << 32 | h)
+        return [x for x in ids if x >= 0]
 
     def encode_piece(self, piece: bytes) -> list[int]:
-        whole = self.whole(piece)
+        whole = self.whole(piece) if len(piece) <= self.longest else None
         return [whole] if whole is not None else self.merge(piece)
 
 
@@ -143,38 +152,57 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 
 class _Memory(dict):
-    """Ids (as bytes) of text between two single spaces, by that text; forgets
-    everything when full."""
+    """Ids (as bytes) by text, in two generations: what was used since the
+    present one began, and what the one before it still holds. When the present
+    one is full it becomes the former, whose unused entries are forgotten."""
 
     def __init__(self, encode, limit: int):
         super().__init__()
-        self.encode, self.limit = encode, limit
+        self.encode, self.limit, self.former = encode, limit, {}
 
     def __missing__(self, piece: str) -> bytes:
-        ids = self.encode(piece)
+        ids = self.former.get(piece)
+        if ids is None:
+            ids = self.encode(piece)
         if len(piece) <= LONGEST:
             if len(self) >= self.limit:
+                self.former = dict(self)
                 self.clear()
             self[piece] = ids
         return ids
 
 
 class Encoder:
-    """Encodes texts in one worker."""
+    """Encodes texts in one worker. ``words`` remembers what stands between two
+    single spaces, with the leading space; ``tokens`` other pre-tokens."""
 
     def __init__(self, vocabulary: Vocabulary):
         import regex
 
         self.split = regex.compile(vocabulary.pattern).findall
         self.vocabulary = vocabulary
-        self.by_token = _Memory(self._token, MEMORY)
-        self.after_space = _Memory(lambda piece: self._pieces(" " + piece), MEMORY)
+        self.plain = vocabulary.pattern == PATTERN
+        self.tokens = _Memory(self._token, MEMORY // 8)
+        self.words = _Memory(self._word, MEMORY)
 
-    def _token(self, token: str) -> bytes:
+    def _ids(self, token: str) -> bytes:
         return array("i", self.vocabulary.encode_piece(token.encode())).tobytes()
 
+    def _token(self, token: str) -> bytes:
+        if self.plain and token[0] == " " and token[1:].isalpha():
+            return self.words[token[1:]]
+        return self._ids(token)
+
+    def _word(self, word: str) -> bytes:
+        # letters alone are one pre-token with the space before them, a mark after them is another
+        if word.isalpha():
+            return self._ids(" " + word)
+        if word[-1:] in MARKS and word[:-1].isalpha():
+            return self.words[word[:-1]] + self.tokens[word[-1]]
+        return self._pieces(" " + word)
+
     def _pieces(self, text: str) -> bytes:
-        return b"".join([self.by_token[t] for t in self.split(text)])
+        return b"".join([self.tokens[t] for t in self.split(text)])
 
     def encode(self, text: str) -> bytes:
         """Ids as int32 bytes. Where no two spaces meet, every pre-token lies
@@ -183,11 +211,10 @@ class Encoder:
         whole text is split at once."""
         if not text:
             return b""
-        if "  " in text or self.vocabulary.pattern != PATTERN:
+        if "  " in text or not self.plain:
             return self._pieces(text)
         head, *rest = text.split(" ")
-        memory = self.after_space
-        return self._pieces(head) + b"".join([memory[p] for p in rest])
+        return self._pieces(head) + b"".join(map(self.words.__getitem__, rest))
 
 
 _encoders: dict[int, Encoder] = {}
@@ -204,7 +231,8 @@ def _encoder(shared) -> Encoder:
 class _Shared:
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
-        self.token = xxhash.xxh3_64_intdigest(repr((vocabulary.pattern, len(vocabulary.keys), vocabulary.keys[-3:])))
+        parts = [vocabulary.pattern.encode(), *vocabulary.keys, repr(vocabulary.ids).encode()]
+        self.token = xxhash.xxh3_128_intdigest(b"".join(len(p).to_bytes(8, "big") + p for p in parts))
 
 
 def int_lists(parts: list[bytes]) -> pa.Array:
@@ -213,6 +241,10 @@ def int_lists(parts: list[bytes]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(parts), np.int32), pa.int32()))
 
 
+def _whole(parts: list[pa.Array], kind: pa.DataType) -> pa.Array:
+    return pa.concat_arrays(parts) if parts else pa.array([], kind)
+
+
 def encoder(spark: SparkSession, vocabulary: Vocabulary):
     """A function from a text column to its ``array<int>`` of token ids; null
     text is empty."""
@@ -222,9 +254,9 @@ def encoder(spark: SparkSession, vocabulary: Vocabulary):
     def encode_column(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = _encoder(shared)
         for texts in batches:
-            yield int_lists([own.encode(t) for t in texts.to_pylist()])
+            yield _whole([int_lists([own.encode(t) for t in part.to_pylist()]) for part in text_slices(texts)], pa.list_(pa.int32()))
 
-    udf = F.arrow_udf(encode_column, ArrayType(IntegerType()))
+    udf = F.arrow_udf(giving_back(encode_column), ArrayType(IntegerType()))
     return lambda col: udf(text_or_empty(col))
 
 
@@ -260,10 +292,13 @@ def coder(spark: SparkSession, vocabulary: Vocabulary):
     def code_column(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = _encoder(shared)
         for texts in batches:
-            ids = int_lists([own.encode(t.as_py()) for t in texts])
-            yield pa.StructArray.from_arrays([ids, decode_lists(ids, own.vocabulary.tokens)], names=["ids", "decoded"])
+            parts = []
+            for part in text_slices(texts):
+                ids = int_lists([own.encode(t) for t in part.to_pylist()])
+                parts.append(pa.StructArray.from_arrays([ids, decode_lists(ids, own.vocabulary.tokens)], names=["ids", "decoded"]))
+            yield _whole(parts, pa.struct([("ids", pa.list_(pa.int32())), ("decoded", pa.binary())]))
 
-    udf = F.arrow_udf(code_column, StructType([StructField("ids", ArrayType(IntegerType())), StructField("decoded", BinaryType())]))
+    udf = F.arrow_udf(giving_back(code_column), StructType([StructField("ids", ArrayType(IntegerType())), StructField("decoded", BinaryType())]))
     return lambda col: udf(text_or_empty(col))
 
 

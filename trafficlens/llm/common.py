@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import zipfile
 from collections.abc import Iterator
+from functools import wraps
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +34,35 @@ def ship(spark: SparkSession) -> None:
     sc._trafficlens_shipped = True
 
 
+def giving_back(run):
+    """The task function ``run`` (batches to batches), after whose last batch
+    the worker gives freed memory back to the system. Workers outlive their
+    tasks, and what their allocators hold on to counts against later stages."""
+
+    @wraps(run)  # Spark reads the annotations
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (AttributeError, OSError):  # not glibc
+                pass
+
+    return wrapped
+
+
+def text_slices(texts: pa.Array, most: int = 4 << 20) -> Iterator[pa.Array]:
+    """Parts of a text column of at most ``most`` bytes, or of one text."""
+    ends = np.concatenate(([0], np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)))
+    start = 0
+    while start < len(texts):
+        stop = max(start + 1, int(np.searchsorted(ends, ends[start] + most, side="right")) - 1)
+        yield texts.slice(start, stop - start)
+        start = stop
+
+
 def text_or_empty(col: str | Column) -> Column:
     c = F.col(col) if isinstance(col, str) else col
     return F.coalesce(c.cast("string"), F.lit(""))
@@ -62,8 +95,6 @@ def sorted_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Ta
 
 
 def _ends(keys: pa.Array) -> list[int]:
-    import pyarrow.compute as pc
-
     n = len(keys)
     if n == 1:
         return [1]

@@ -15,6 +15,7 @@ without any shuffle.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from operator import eq
 
@@ -24,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, DoubleType
 
-from .common import ship, text_or_empty
+from .common import giving_back, ship, text_or_empty, text_slices
 
 HASH_BITS = 18
 REPEATS = (0.01, 0.03, 0.1, 0.2, 0.4)
@@ -215,11 +216,12 @@ def scorer(df: DataFrame, model: NBSVM):
     ship(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(model)  # DIMS floats, twice
 
-    def score_column(texts: pa.Array) -> pa.Array:
+    def score_column(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         m = shared.value
-        return pa.array([m.probability(m.margin(features(t))) for t in texts.to_pylist()], pa.float64())
+        for texts in batches:
+            yield pa.array([m.probability(m.margin(features(t))) for part in text_slices(texts) for t in part.to_pylist()], pa.float64())
 
-    udf = F.arrow_udf(score_column, returnType=DoubleType())
+    udf = F.arrow_udf(giving_back(score_column), returnType=DoubleType())
     return lambda col: udf(text_or_empty(col))
 
 

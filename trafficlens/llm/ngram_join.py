@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.tables import materialize
-from .common import chunk_units, ship, sorted_groups, text_or_empty
+from .common import chunk_units, giving_back, ship, sorted_groups, text_or_empty, text_slices
 from .components import connected_components
 
 HASHES, ROWS, STEP = 128, 4, 16
@@ -100,7 +100,7 @@ def _signature_batches(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, signs, bands = [], [], []
-            for text in batch.column(1).to_pylist():
+            for text in (t for part in text_slices(batch.column(1)) for t in part.to_pylist()):
                 grams = gram_hashes(words_of(text), n)
                 if not len(grams):
                     keys.append(None), signs.append(None), bands.append(None)
@@ -238,7 +238,7 @@ def _verify_unit(n: int, threshold: float, need: tuple[int, ...]):
 
 
 def _by_unit(rows: DataFrame, run, schema: str) -> DataFrame:
-    return rows.repartition("unit").sortWithinPartitions("unit").mapInArrow(run, schema)
+    return rows.repartition("unit").sortWithinPartitions("unit").mapInArrow(giving_back(run), schema)
 
 
 def ngram_join(
@@ -303,7 +303,7 @@ def _joined(df: DataFrame, id_col: str, text_col: str, n: int, threshold: float,
     base = df.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
     base = base.withColumn("h", F.xxhash64("text"))
 
-    rows = materialize(base.mapInArrow(_signature_batches(n), f"id {id_type}, h bigint, k binary, sig binary, bands array<bigint>"), name="minhash")
+    rows = materialize(base.mapInArrow(giving_back(_signature_batches(n)), f"id {id_type}, h bigint, k binary, sig binary, bands array<bigint>"), name="minhash")
     reps = materialize(
         rows.where("k is not null")
         .groupBy("k")
