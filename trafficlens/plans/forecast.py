@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from ..operators import load as L
 from ..operators import moments as MO
 from ..operators import stats as ST
+from ..operators import stepwise as SW
 from ..operators import timeseries as TS
 from ..functions.columns import col
-from .queries import LAGS, Query, _features, _model_frame, rounded
+from .queries import LAGS, Query, _features, _labelled, _model_frame, rounded
 
 
 def q_linear_fit_once(spark, sf):
@@ -90,10 +91,33 @@ def q_forecast_metrics(spark, sf):
     return rounded(out)
 
 
+HOLDOUT = "5 days"
+
+
+def q_stepwise_holdout(spark, sf):
+    """Each hour of the last days predicted from one feature by a line through all hours before it."""
+    out = SW.rolling_origin(_labelled(spark, sf), ["ct_url"], last=HOLDOUT, steps=50)
+    return rounded(out.select("bucket", "label", "prediction", "n_train"))
+
+
+def q_stepwise_holdout_features(spark, sf):
+    """The same from the eight load features."""
+    filled = L.fill_zero(_labelled(spark, sf), L.FEATURE_COLUMNS)
+    return rounded(SW.rolling_origin(filled, L.FEATURE_COLUMNS, last=HOLDOUT, steps=50).select("bucket", "label", "prediction", "n_train"))
+
+
+def q_stepwise_metrics(spark, sf):
+    filled = L.fill_zero(_labelled(spark, sf), L.FEATURE_COLUMNS)
+    return rounded(ST.regression_metrics(SW.rolling_origin(filled, L.FEATURE_COLUMNS, last=HOLDOUT)))
+
+
 QUERIES: dict[str, Query] = {
     "linear_fit_once": q_linear_fit_once,
     "linear_cv_grid": q_linear_cv_grid,
     "linear_cv_folds": q_linear_cv_folds,
+    "stepwise_holdout": q_stepwise_holdout,
+    "stepwise_holdout_features": q_stepwise_holdout_features,
+    "stepwise_metrics": q_stepwise_metrics,
     "lags_across_days": q_lags_across_days,
     "moving_average_across_days": q_moving_average_across_days,
     "autocorrelation": q_autocorrelation,
