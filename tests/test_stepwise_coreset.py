@@ -105,7 +105,7 @@ def test_rows_without_values_and_equal_rows(spark):
     few = CS.kmeans_coreset(df, XYZ, "id", 20)
     assert 5 < few.count() < 40
     sweep = CS.coreset_sweep(df, XYZ, "id", [1, 3], size=20)
-    assert sweep.costs == {1: 0.0, 3: 0.0}
+    assert max(sweep.costs.values()) < 1e-20
     assert CS.kmeans_coreset(df.limit(0), XYZ, "id").count() == 0
     with pytest.raises(ValueError):
         CS.coreset_sweep(df.limit(0), XYZ, "id", [2])
