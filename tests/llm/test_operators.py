@@ -12,6 +12,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 
@@ -82,9 +83,58 @@ def test_exact_dedup(docs, none):
     assert sum(r.kept for r in got) == len(groups)
     assert all(r.doc_id == r.keep_id for r in got if r.kept)
     assert {r.keep_id for r in X.exact_dedup(docs, runs=5, fan_in=2).collect()} == {min((x for x in g if x is not None), default=None) for g in groups.values()}
-    whole = X.exact_dedup(docs, carry=True).where("kept").select("row.*")
-    assert whole.columns == docs.columns and whole.count() == len(groups)
-    assert X.exact_dedup(none).count() == 0
+    whole = X.keep_one(docs, keep="max")
+    assert whole.columns == docs.columns and sorted(lower(r.text) for r in whole.collect()) == sorted(groups)
+    assert X.exact_dedup(none).count() == 0 and X.keep_one(none).count() == 0
+
+
+def test_exact_dedup_merges_sorted_runs(spark, docs):
+    """Each level holds sorted slices and merges them; nothing is a plain count by digest."""
+    rows = X._placed(docs, "doc_id", "text", X.ascii_lower, F.lit(0), 9).withColumn("_who", X._who("min"))
+    level = X.first_runs(rows, "min")
+    plan = X.merge_round(X.merge_round(level, 3, "min"), 3, "min")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("sort_array(flatten") == 2 and "sort_array(collect_list" in plan
+    for left in (9, 3, 1):
+        runs = level.collect()
+        assert len({r._run for r in runs}) <= left
+        for r in runs:
+            digests = [(e._sha, e._len, e._xx) for e in r.entries]
+            assert digests == sorted(set(digests))
+        assert sum(e.n for r in runs for e in r.entries) == len(DOCS)
+        level = X.merge_round(level, 3, "min")
+
+
+@pytest.mark.parametrize("keep", ["min", "max"])
+def test_exact_dedup_of_null_and_repeated_ids(spark, keep):
+    """Equal rows of one id or none, and rows of one id that differ in case or in other columns."""
+    rows = [(None, "same", "x")] * 400 + [(5, "Same", "x"), (5, "same", "y"), (5, "same", "x"), (5, "same", None), (9, "SAME", "x")] + [(7, "other", "z")] * 300
+    rows += [(None, "alone", "q")] * 20 + [(i, f"text {i % 40}", None) for i in range(100, 5000)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, keep string")
+    want, picked = {}, None
+    for i, t, _ in rows:
+        want.setdefault(t.lower(), []).append(i)
+    pick = min if keep == "min" else max
+    for parts in (1, 13):
+        got = X.exact_dedup(df.repartition(parts), keep=keep, runs=10, fan_in=3).collect()
+        assert len(got) == len(rows)
+        by_text = {}
+        for r in got:
+            by_text.setdefault(r.text_sha256, []).append(r)
+        for t, ids in want.items():
+            group = by_text[hashlib.sha256(t.encode()).hexdigest()]
+            best = pick((i for i in ids if i is not None), default=None)
+            assert len(group) == len(ids) == group[0].group_size and {r.keep_id for r in group} == {best}
+            assert [r.doc_id for r in group if r.kept] == [best]
+        whole = sorted(map(repr, X.keep_one(df.repartition(parts), keep=keep, runs=10, fan_in=3).collect()))
+        assert len(whole) == len(want) and picked in (None, whole)  # the same rows on any partitioning
+        picked = whole
+
+
+def test_exact_dedup_spreads_hot_ids(spark):
+    """Null ids and equal rows are dealt to all runs."""
+    df = spark.createDataFrame([(None, "same")] * 3000, "doc_id bigint, text string").repartition(4)
+    counts = X._placed(df, "doc_id", "text", X.ascii_lower, F.lit(0), 10).groupBy("_run").count().collect()
+    assert len(counts) == 10 and max(r["count"] for r in counts) < 600
 
 
 def base_spans(text):
@@ -276,34 +326,69 @@ def test_mix(docs, none):
         assert r.taken == r.times * r.size and 0 <= r.times <= 3
     assert sum(r.taken for r in got) <= total
     assert sorted(map(tuple, got), key=str) == sorted(map(tuple, MX.mix(docs.repartition(5)).collect()), key=str)
-    assert MX.mix(none).count() == 0
-    assert MX.mix(docs, carry=True).select("row.*").columns == docs.columns
+    assert MX.mix(none).count() == 0 and MX.mixed_rows(none).count() == 0
+    whole = MX.mixed_rows(docs)
+    assert whole.columns == docs.columns
+    texts, want = {i: t for i, t, _ in DOCS}, Counter()
+    for r in got:
+        want[(r.doc_id, r.source, texts[r.doc_id])] += r.times
+    assert Counter((r.doc_id, r.source, r.text) for r in whole.collect()) == +want
+
+
+def walk(rows, weights=(5, 2, 1), total=None):
+    """Plays in order, by a walk over all of them: (id, epoch), cut at the budget."""
+    plays = []
+    for r in rows:
+        plays += [((e * r["source_size"] + r["played"]) / r["target"], r["source"], r["key"], e, r["id"], r["size"]) for e in range(3)]
+    words, out = 0, []
+    for *_, e, i, n in sorted(plays):
+        words += n
+        if words > total:
+            break
+        out.append(i)
+    return out
 
 
-def test_mix_cut_at_every_depth(spark, monkeypatch):
-    """The cut by nested ranges equals a walk through all plays in order."""
+@pytest.mark.parametrize("partitions", [1, 7])
+def test_mix_order_and_cut(spark, partitions):
+    """Times and positions equal a walk through all plays in order."""
     rng = np.random.default_rng(6)
     sources, sizes = rng.choice(list("aab"), 300), rng.integers(0, 9, 300)
     docs = spark.createDataFrame([(i, "w " * int(n), str(s)) for i, (n, s) in enumerate(zip(sizes, sources))], "doc_id long, text string, source string")
-    whole = {r.doc_id: r for r in MX.mix(docs).collect()}
-    plays = []
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        whole = {r.doc_id: r for r in MX.mix(docs).collect()}
+        order = [r.doc_id for r in MX.mixed_rows(docs).collect()]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 8)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    rows = []
     for s in "ab":
-        shuffled = sorted((hashlib.md5(f"mix:{r.doc_id}".encode()).hexdigest(), r) for r in whole.values() if r.source == s)
         played = 0
-        for key, r in shuffled:
+        for key, r in sorted((hashlib.md5(f"mix:{r.doc_id}".encode()).hexdigest(), r) for r in whole.values() if r.source == s):
             played += r.size
-            plays += [((e * r.source_size + played) / r.target, s, key, e, r.doc_id, r.size) for e in range(3)]
-    times, words = Counter(), 0
-    for _, _, _, _, i, n in sorted(plays):
-        words += n
-        if words > sizes.sum():
-            break
-        times[i] += 1
-    assert {i: r.times for i, r in whole.items()} == {i: times[i] for i in whole}
-    monkeypatch.setattr(MX, "EDGE_ROWS", 1)
-    monkeypatch.setattr(MX, "RANGES", 3)
-    monkeypatch.setattr(MX, "SLICE_ROWS", 1e-3)
-    assert {r.doc_id: r for r in MX.mix(docs).collect()} == whole
+            rows.append({"id": r.doc_id, "source": s, "key": key, "played": played, **{c: r[c] for c in ("size", "source_size", "target")}})
+    want = walk(rows, total=sizes.sum())
+    assert {i: r.times for i, r in whole.items()} == {i: want.count(i) for i in whole}
+    assert {i: r.first_play for i, r in whole.items()} == {i: want.index(i) if i in want else None for i in whole}
+    assert order == want
+
+
+def test_mix_of_null_and_repeated_ids(spark):
+    """Rows of one id that differ in text only get the same plays on any
+    partitioning, and a source without ids is spread over many ranges."""
+    rows = [(7, f"w{i} v{i}", "a") for i in range(40)] + [(None, f"x{i % 3} y", "b") for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    once = Counter((r.doc_id, r.text) for r in MX.mixed_rows(df).collect())
+    assert once == Counter((r.doc_id, r.text) for r in MX.mixed_rows(df.repartition(9)).collect())
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sort = MX.range_sorted(df.withColumn("copy", F.monotonically_increasing_id()), ["source", "doc_id", "copy"], "test")
+        counts = [r["count"] for r in sort.where("doc_id IS NULL").groupBy("_range").count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(counts) > 4 and max(counts) < 120
 
 
 def test_byte_bpe(docs, none):

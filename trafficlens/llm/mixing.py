@@ -3,32 +3,30 @@
 Every source plays its documents in a shuffled order, over and over up to
 ``max_repeats`` times. A document's virtual finish time is the number of its
 source's tokens played up to its end, divided by the source's target. All
-plays are put in the order of their finish times and cut where the total
+plays are sorted globally by their finish times and truncated where the total
 budget is reached; at time 1 every source has just played its target.
 
-The running token counts are sums in two levels: totals of the slices of the
-shuffled order per source, then running sums inside a slice. There are at
-least 4096 slices per source, and more where that would leave over
-``SLICE_ROWS`` rows in one, so a source with a third of all rows is spread
-over many window partitions. The cut is found the same way: totals of time
-ranges, then totals of ranges inside the one in which the budget runs out,
-until that one has at most ``EDGE_ROWS`` plays. Only SQL functions are used.
+Both orders, the shuffle and the mix, are global range sorts: rows are range-
+partitioned and sorted, and a place is the number of rows in the ranges before
+it plus its row number in its own. Running token counts are sums in two levels
+in the same way: totals of the ranges, then a running sum inside one. The last
+sort keys tell equal rows apart, so a source, an id or a text of any frequency
+is split over many ranges. Only SQL functions are used; the totals of the
+ranges are all that goes through the driver.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Row, Window
+import numpy as np
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.tables import materialize
+from .exact_dedup import row_hash
 
 WORD = r"[^\x20\x09-\x0D]+"
-SLICE_DIGITS, SLICE_ROWS = 3, 1_000_000  # least hexadecimal digits of the shuffle key that make a slice; rows per slice
-RANGES, LAST_RANGE = 4096, 16384  # time ranges per unit of virtual time; all later times share the last
-EDGE_ROWS = 100_000  # plays ordered one by one around the cut
 
 
 def word_count(text: str | Column) -> Column:
@@ -62,17 +60,60 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], max_repeats: int)
     return t.select("src", "source_size", "weight", target.alias("target"))
 
 
-def budget_range(plays: DataFrame, at: Column, before: int, total: int) -> Row | None:
-    """The range (numbered by ``at``, in the order of ``finish``) in which the
-    running sum of ``size`` passes ``total``, given ``before`` words ahead of
-    ``plays``: its words, plays, first and last finish and the words ahead of
-    it. None when the sum stays within the total."""
-    ends = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, Window.currentRow)  # at most LAST_RANGE + 1 rows
-    ranges = plays.groupBy(at.alias("range")).agg(
-        F.sum("size").alias("words"), F.count(F.lit(1)).alias("plays"), F.min("finish").alias("low"), F.max("finish").alias("high")
+def range_sorted(rows: DataFrame, order: Sequence[str], name: str) -> DataFrame:
+    """The rows sorted globally, written, with ``_range`` and their row number
+    ``_at`` in it. Ranges follow one another in the given order."""
+    sort = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_place", F.monotonically_increasing_id())
+    table = materialize(sort, name=name)
+    return table.withColumns({"_range": F.shiftright("_place", 33), "_at": F.col("_place").bitwiseAND((1 << 33) - 1)}).drop("_place")
+
+
+def _shuffled(df: DataFrame, weights: Sequence[float], id_col: str, text_col: str, source_col: str, max_repeats: int, seed: str) -> DataFrame:
+    """Narrow rows in the shuffled order of their source, with ``played``, the
+    words of the source up to the end of the row, and the source's target."""
+    base = df.select(
+        F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), word_count(text_col).alias("size"), row_hash(df).alias("tie")
     )
-    ends_at = ranges.withColumn("end", F.lit(before) + F.sum("words").over(ends))
-    return ends_at.where(F.col("end") > total).orderBy("range").withColumn("ahead", F.col("end") - F.col("words")).first()
+    base = base.withColumn("src", F.coalesce(F.concat(F.lit("="), "source"), F.lit("")))
+    base = base.withColumn("key", F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("id").cast("string"), F.lit("")))))
+    # rows that are equal throughout may stand in any order, but must not all meet in one range
+    rows = range_sorted(base.withColumn("copy", F.monotonically_increasing_id()), ["src", "key", "id", "size", "tie", "copy"], "mix-shuffled")
+    ranges = rows.groupBy("src", "_range").agg(F.sum("size").alias("words"))
+    sizes = ranges.groupBy("src").agg(F.sum("words").alias("source_size")).withColumn("last", F.col("src") == "")
+    targets = source_targets(sizes, weights, max_repeats).drop("weight")
+    up_to = Window.partitionBy("src").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ranges.withColumn("start", F.coalesce(F.sum("words").over(up_to), F.lit(0))).join(targets, "src").drop("words")
+    inside = Window.partitionBy("src", "_range").orderBy("_at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    timed = rows.join(starts, ["src", "_range"]).withColumn("played", F.col("start") + F.sum("size").over(inside))
+    return timed.drop("start").withColumn("row", F.struct("_range", "_at")).drop("_range", "_at")
+
+
+def _plays(rows: DataFrame, max_repeats: int) -> DataFrame:
+    """The plays of the mix with their ``position`` 0, 1, 2, ...: all plays in
+    a global sort by finish time, cut before the first one at which the words
+    would exceed those of all rows once."""
+    epoch = F.explode(F.sequence(F.lit(0), F.lit(max_repeats - 1)))
+    plays = rows.where("target > 0").withColumn("epoch", epoch).withColumn("finish", (F.col("epoch") * F.col("source_size") + F.col("played")) / F.col("target"))
+    order = ["finish", "src", "key", "epoch", "id", "size", "tie", "copy"]
+    sort = range_sorted(plays.select(*order, "row"), order, "mix-plays")
+    total = rows.agg(F.sum("size")).first()[0] or 0
+    ranges = sorted(sort.groupBy("_range").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("words")).toLocalIterator())
+    words, counts = np.cumsum([0] + [r.words for r in ranges]), np.cumsum([0] + [r.n for r in ranges])
+    over = next((i for i in range(len(ranges)) if words[i + 1] > total), len(ranges))
+    cut, ahead = (ranges[over]._range, int(words[over])) if over < len(ranges) else (None, 0)
+    offsets = df_of(sort, [(r._range, int(c)) for r, c in zip(ranges, counts)], "_range bigint, _offset bigint")
+    placed = sort.join(offsets, "_range").withColumn("position", F.col("_offset") + F.col("_at")).drop("_offset")
+    if cut is None:
+        return placed
+    # the budget runs out in this range: a running sum over its rows alone
+    inside = Window.partitionBy("_range").orderBy("_at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    edge = sort.where(F.col("_range") == cut).withColumn("end", F.lit(ahead) + F.sum("size").over(inside))
+    stop = edge.where(F.col("end") > total).agg(F.min("_at")).first()[0]
+    return placed.where((F.col("_range") < cut) | ((F.col("_range") == cut) & (F.col("_at") < stop)))
+
+
+def df_of(like: DataFrame, rows: list[tuple], schema: str) -> DataFrame:
+    return like.sparkSession.createDataFrame(rows, schema)
 
 
 def mix(
@@ -83,81 +124,51 @@ def mix(
     source_col: str = "source",
     max_repeats: int = 3,
     seed: str = "mix",
-    carry: bool = False,
 ) -> DataFrame:
     """One row per input row: ``<id_col>, source, size, source_size, target,
-    times, taken``.
+    times, taken, first_play``.
 
     ``size`` is the number of words (runs of non-space; null text: 0). Sources
     sort by code point, null last; a null source is a source of its own.
     ``target`` is the source's, ``times`` how often the mix plays the row,
-    ``taken = times * size``. The budget is the sum of all sizes; plays stop
-    before the first one that would exceed it. The shuffle is an md5 of seed
-    and id, so reruns agree; rows that share an id are ordered by size. Rows
-    without words take nothing from the budget and are played ``times`` times
-    all the same. With ``carry=True`` the input row stands, whole, in a struct
-    ``row`` instead of id and source, so extra columns cannot clash. An empty
-    table gives an empty result.
+    ``taken = times * size``, ``first_play`` the position of its first play in
+    the mix (null if it has none). The budget is the sum of all sizes; plays
+    stop before the first one that would exceed it. The shuffle is an md5 of
+    seed and id, so reruns agree; rows that share an id are ordered by size
+    and by a hash of all their columns. Rows without words take nothing from
+    the budget and are played all the same. Other columns are ignored but for
+    that hash. An empty table gives an empty result.
     """
-    cols = [F.col(f"`{c}`") for c in df.columns]
-    base = df.select(
-        (F.struct(*cols) if carry else F.lit(None).cast("int")).alias("row"),
-        F.col(id_col).alias("id"),
-        F.col(source_col).cast("string").alias("source"),
-        word_count(text_col).alias("size"),
-    )
-    base = base.withColumn("src", F.coalesce(F.concat(F.lit("="), "source"), F.lit("")))
-    base = base.withColumn("key", F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("id").cast("string"), F.lit("")))))
-    small = materialize(base.drop("row"), name="mix-sizes")
-    digits = max(SLICE_DIGITS, math.ceil(math.log(max(1, small.count() / SLICE_ROWS), 16)))
-    base, small = (rows.withColumn("slice", F.substring("key", 1, digits)) for rows in (base, small))
-
-    slices = small.groupBy("src", "slice").agg(F.sum("size").alias("words"))
-    sizes = slices.groupBy("src").agg(F.sum("words").alias("source_size")).withColumn("last", F.col("src") == "")
-    targets = source_targets(sizes, weights, max_repeats)
-    up_to = Window.partitionBy("src").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    starts = materialize(
-        slices.withColumn("start", F.coalesce(F.sum("words").over(up_to), F.lit(0))).join(targets, "src").drop("words", "weight"),
-        name="mix-slices",
-    )
-
-    inside = Window.partitionBy("src", "slice").orderBy("key", "id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-
-    def timed(rows: DataFrame) -> DataFrame:
-        return rows.join(starts, ["src", "slice"]).withColumn("played", F.col("start") + F.sum("size").over(inside))
-
-    finish = lambda e: (e * F.col("source_size") + F.col("played")) / F.col("target")
-    plays = (
-        timed(small)
-        .withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(max_repeats - 1))))
-        .where("target > 0")
-        .withColumn("finish", finish(F.col("epoch")))
-    )
-    plays = materialize(plays.select("finish", "src", "key", "epoch", "id", "size"), name="mix-plays")
-    total = sizes.agg(F.sum("source_size")).first()[0] or 0
-    counted = plays.where("size > 0")  # plays without words do not move the sum
-    edge = budget_range(counted, F.least(F.floor(F.col("finish") * RANGES), F.lit(LAST_RANGE)), 0, total)
-    while edge is not None and edge["plays"] > EDGE_ROWS and edge["low"] < edge["high"]:
-        low, high = F.lit(edge["low"]), F.lit(edge["high"])
-        inner = counted.where(F.col("finish").between(low, high))
-        edge = budget_range(inner, F.floor((F.col("finish") - low) / (high - low) * RANGES), edge["ahead"], total)
-
-    if edge is None:  # nothing exceeds the budget
-        times = F.lit(max_repeats) if total else F.lit(0)
-        out = timed(base).withColumn("times", F.when(F.col("target") > 0, times).otherwise(0))
-    else:
-        order = ["finish", "src", "key", "epoch", "id", "size"]
-        near = counted.where(F.col("finish").between(F.lit(edge["low"]), F.lit(edge["high"])))
-        running = F.lit(edge["ahead"]) + F.sum("size").over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        stop = near.withColumn("end", running).where(F.col("end") > total).select(F.min(F.struct(*order)).alias("stop"))
-        played = lambda e: F.when(F.struct(finish(e).alias("finish"), "src", "key", F.lit(e).alias("epoch"), "id", "size") < F.col("stop"), 1).otherwise(0)
-        times = sum((played(e) for e in range(max_repeats)), F.lit(0))
-        out = timed(base).join(F.broadcast(stop)).withColumn("times", F.when(F.col("target") > 0, times).otherwise(0))  # stop is one row
-    return out.select(
-        *([F.col("row")] if carry else [F.col("id").alias(id_col), F.col("source")]),
+    rows = materialize(_shuffled(df, weights, id_col, text_col, source_col, max_repeats, seed), name="mix-rows")
+    played = _plays(rows, max_repeats).groupBy("row").agg(F.count(F.lit(1)).alias("times"), F.min("position").alias("first_play"))
+    return rows.join(played, "row", "left").select(
+        F.col("id").alias(id_col),
+        "source",
         "size",
         "source_size",
         "target",
-        F.col("times").cast("int").alias("times"),
-        (F.col("times") * F.col("size")).cast("long").alias("taken"),
+        F.coalesce("times", F.lit(0)).cast("int").alias("times"),
+        (F.coalesce("times", F.lit(0)) * F.col("size")).cast("long").alias("taken"),
+        "first_play",
     )
+
+
+def mixed_rows(
+    df: DataFrame,
+    weights: Sequence[float] = (5.0, 2.0, 1.0),
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    max_repeats: int = 3,
+    seed: str = "mix",
+) -> DataFrame:
+    """The mix itself: a whole row of ``df`` for each play, sorted globally in
+    the order of the mix. The plays are found on narrow rows; whole rows are
+    joined to them once, by id and a hash of all columns."""
+    rows = materialize(_shuffled(df, weights, id_col, text_col, source_col, max_repeats, seed), name="mix-rows")
+    plays = _plays(rows, max_repeats).select("id", "tie", "position")
+    whole = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), F.col(id_col).alias("_id"), row_hash(df).alias("_tie"))
+    # rows that are equal in every column are one here, combined before they move
+    whole = whole.groupBy("_id", "_tie").agg(F.first("_row").alias("_row"))
+    met = whole.join(plays, F.col("_id").eqNullSafe(F.col("id")) & (F.col("_tie") == F.col("tie")))
+    return met.repartitionByRange("position").sortWithinPartitions("position").select("_row.*")
