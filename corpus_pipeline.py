@@ -33,7 +33,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents with equal text (but for the case of A-Z) the one with the
     largest id."""
-    return exact_dedup.exact_dedup(docs, keep="max", carry=True).where("kept").select("row.*")
+    return exact_dedup.keep_one(docs, keep="max")
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,8 +43,8 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mix plays it (0 to 3 times)."""
-    return mixing.mix(docs, carry=True).where("times > 0").select(F.col("row"), F.explode(F.sequence(F.lit(1), "times"))).select("row.*")
+    """Every document as often as the mix plays it (0 to 3 times), in the order of the mix."""
+    return mixing.mixed_rows(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
