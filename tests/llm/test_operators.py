@@ -552,6 +552,61 @@ def test_quality_classifier(spark, docs, none):
     assert NB.classify(docs, lab.limit(0)).where("score = 0.5").count() == len(DOCS)
 
 
+def test_nbsvm_features_against_plain_sets(monkeypatch):
+    """N-grams by slices equal those of plain Python sets, hashed the same way."""
+
+    def brute(text):
+        raw, words, out = text.encode(), text.encode().split(), set()
+        top = lambda h: (h & 0xFFFFFFFF) >> (32 - NB.HASH_BITS)
+        out |= set(raw) | {NB.ORDER2 + (a << 8 | b) for a, b in zip(raw, raw[1:])}
+        out |= {NB.ORDER3 + top((a << 16 | b << 8 | c) * 0x9E3779B1) for a, b, c in zip(raw, raw[1:], raw[2:])}
+        crc = [zlib.crc32(w) for w in words]
+        out |= {NB.WORDS + top(w) for w in crc}
+        return out | {NB.PAIRS + top(((a * 0x9E3779B1 & 0xFFFFFFFF) ^ b) * 0x85EBCA6B) for a, b in zip(crc, crc[1:])}
+
+    texts = [t or "" for _, t, _ in DOCS] + [" ", "x", "ab", "word " * 50, "\n a \t b  c"]
+    for size in (1 << 20, 64, 7):
+        monkeypatch.setattr(NB, "SLICE", size)
+        for t in texts[:-1] if size < 64 else texts:
+            found = NB.features(t)
+            assert len(found) == len(set(found.tolist())) and set(found.tolist()) == brute(t)
+
+
+def test_nbsvm_fit_against_brute_force():
+    """Ratios by plain counts; the dual variables are feasible, make up the
+    weights, and the gap between primal and dual objective closes."""
+    rng = np.random.default_rng(3)
+    y = rng.integers(0, 2, 60)
+    rows = [np.flatnonzero(rng.random(40) < np.where(np.arange(40) < 20, 0.2 + 0.3 * label, 0.3)) for label in y]
+    ratio = NB.log_count_ratios(rows, y)
+    n1, n0 = y.sum(), (1 - y).sum()
+    for f in range(45):
+        p = (1 + sum(f in r for r, v in zip(rows, y) if v)) / (n1 + 2)
+        q = (1 + sum(f in r for r, v in zip(rows, y) if not v)) / (n0 + 2)
+        assert ratio[f] == pytest.approx(np.log(p / q))
+    w, bias, a = NB.dual_coordinate_descent(rows, y, ratio, c=0.7, epochs=4000, tolerance=1e-9)
+    x = np.zeros((60, 41))
+    for i, r in enumerate(rows):
+        x[i, r] = ratio[r] / np.linalg.norm(ratio[r])
+    x[:, 40] = 1.0
+    sign = 2 * y - 1
+    assert (a >= 0).all() and (a <= 0.7).all()
+    full = np.append(w[:40], bias)
+    assert np.allclose(full, (a * sign) @ x, atol=1e-9)
+    primal = full @ full / 2 + 0.7 * np.maximum(0, 1 - sign * (x @ full)).sum()
+    assert primal - (a.sum() - full @ full / 2) < 1e-6 * primal
+
+
+def test_quality_on_held_out_documents(spark):
+    """Area under the curve of the held-out fold of sf0.1's labels."""
+    sf = "/root/testdata/sf0.1"
+    scored = NB.classify(spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet"))
+    rows = scored.where("held_out").join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").where("quality is not null").collect()
+    good, bad = (np.array([r.score for r in rows if r.quality == q]) for q in (1, 0))
+    wins = (good[:, None] > bad[None]).mean() + (good[:, None] == bad[None]).mean() / 2
+    assert len(bad) > 50 and wins >= 0.99 and (good >= 0.3).mean() > 0.995
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
 

@@ -1,11 +1,10 @@
 """Quality classifier: Naive Bayes features under a linear SVM (operator 9).
 
 Features are indicators of byte n-grams (1, 2 and 3 bytes; 3-grams are hashed)
-and of how much of the text repeats a word back to back. Each indicator is
-scaled by its log-count ratio between the classes, a document's vector is
-scaled to length 1, and a hinge-loss linear model is fitted by dual coordinate
-descent. A logistic curve fitted on held-back margins turns a margin into a
-probability.
+and of hashed word n-grams (1 and 2 words). Each indicator is scaled by its
+log-count ratio between the classes, a document's vector is scaled to length 1,
+and a hinge-loss linear model is fitted by dual coordinate descent. A logistic
+curve fitted on held-back margins turns a margin into a probability.
 
 The fit uses at most ``max_train`` labelled rows (those with the smallest hash
 of their id), whose features reach the driver; the model has a fixed number of
@@ -15,9 +14,10 @@ without any shuffle.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from operator import eq
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -28,10 +28,14 @@ from pyspark.sql.types import BinaryType, DoubleType
 from .common import giving_back, ship, text_or_empty, text_slices
 
 HASH_BITS = 18
-REPEATS = (0.01, 0.03, 0.1, 0.2, 0.4)
+# where the indices of 2- and 3-byte grams, words and pairs of words begin
 ORDER2, ORDER3 = 256, 256 + 65536
-REPEAT0 = ORDER3 + (1 << HASH_BITS)
-DIMS = REPEAT0 + len(REPEATS)
+WORDS = ORDER3 + (1 << HASH_BITS)
+PAIRS = WORDS + (1 << HASH_BITS)
+DIMS = PAIRS + (1 << HASH_BITS)
+SLICE = 1 << 20  # bytes of a text that are looked at together
+_SHIFT = np.uint32(32 - HASH_BITS)
+_SPACE = re.compile(rb"\s")
 
 _stamp = None
 
@@ -46,23 +50,44 @@ def _distinct(codes: np.ndarray) -> np.ndarray:
     return codes[_stamp[codes] == at]
 
 
+def _byte_grams(raw: bytes) -> Iterator[np.ndarray]:
+    for start in range(0, len(raw), SLICE):
+        first = max(0, start - 2)  # grams across the border of two slices
+        b = np.frombuffer(raw, np.uint8, min(start + SLICE, len(raw)) - first, first).astype(np.uint32)
+        yield _distinct(b.astype(np.int64))
+        if len(b) > 1:
+            two = (b[:-1] << np.uint32(8)) | b[1:]
+            yield _distinct(two.astype(np.int64) + ORDER2)
+        if len(b) > 2:
+            three = ((two[:-1] << np.uint32(8)) | b[2:]) * np.uint32(0x9E3779B1)
+            yield _distinct((three >> _SHIFT).astype(np.int64) + ORDER3)
+
+
+def _word_grams(raw: bytes) -> Iterator[np.ndarray]:
+    start, before = 0, np.zeros(0, np.uint32)
+    while start < len(raw):
+        space = _SPACE.search(raw, start + SLICE) if start + SLICE < len(raw) else None
+        end = space.start() if space else len(raw)
+        words = raw[start:end].split()
+        start = end
+        if not words:
+            continue
+        word = np.fromiter(map(crc32, words), np.uint32, len(words))
+        yield _distinct((word >> _SHIFT).astype(np.int64) + WORDS)
+        chain = np.concatenate([before, word])  # with the last word of the slice before
+        pair = (chain[:-1] * np.uint32(0x9E3779B1) ^ chain[1:]) * np.uint32(0x85EBCA6B)
+        yield _distinct((pair >> _SHIFT).astype(np.int64) + PAIRS)
+        before = word[-1:]
+
+
 def features(text: str) -> np.ndarray:
-    """Distinct feature indices of a text, in no particular order."""
-    raw = np.frombuffer(text.encode("utf-8", "replace"), np.uint8)
-    if not len(raw):
-        return np.zeros(0, np.int64)
-    b = raw.astype(np.uint32)
-    parts = [_distinct(b.astype(np.int64))]
-    if len(b) > 1:
-        two = (b[:-1] << np.uint32(8)) | b[1:]
-        parts.append(_distinct(two.astype(np.int64) + ORDER2))
-    if len(b) > 2:
-        three = ((two[:-1] << np.uint32(8)) | b[2:]) * np.uint32(0x9E3779B1)
-        parts.append(_distinct((three >> np.uint32(32 - HASH_BITS)).astype(np.int64) + ORDER3))
-    words = text.split()
-    share = sum(map(eq, words, words[1:])) / len(words) if words else 0.0
-    parts.append(np.array([REPEAT0 + i for i, least in enumerate(REPEATS) if share >= least], np.int64))
-    return np.concatenate(parts)
+    """Distinct feature indices of a text, in no particular order. A text of
+    any length is read in slices; what is held grows with ``SLICE``, not with
+    the text, but for the bytes themselves."""
+    raw = text.encode("utf-8", "replace")
+    parts = [*_byte_grams(raw), *_word_grams(raw)]
+    found = np.concatenate(parts) if parts else np.zeros(0, np.int64)
+    return found if len(raw) <= SLICE else _distinct(found)
 
 
 @dataclass
@@ -94,10 +119,10 @@ def log_count_ratios(rows: list[np.ndarray], y: np.ndarray, alpha: float = 1.0)
 
 def dual_coordinate_descent(
     rows: list[np.ndarray], y: np.ndarray, ratio: np.ndarray, c: float = 1.0, epochs: int = 15, seed: int = 7, tolerance: float = 1e-3
-) -> tuple[np.ndarray, float]:
-    """Minimise ``|w|^2 / 2 + c * sum(hinge)`` one dual variable at a time.
-    Rows are the scaled indicators with a constant 1 for the bias, so each has
-    squared length 2."""
+) -> tuple[np.ndarray, float, np.ndarray]:
+    """Minimise ``(|w|^2 + bias^2) / 2 + c * sum(hinge)`` one dual variable at
+    a time; returns w, bias and the dual variables. Rows are the scaled
+    indicators with a constant 1 for the bias, so each has squared length 2."""
     w, bias, a = np.zeros(DIMS), 0.0, np.zeros(len(rows))
     values = []
     for found in rows:
@@ -120,7 +145,7 @@ def dual_coordinate_descent(
                 largest = max(largest, abs(step))
         if largest < tolerance:
             break
-    return w, bias
+    return w, bias, a
 
 
 def logistic_curve(margins: np.ndarray, y: np.ndarray, steps: int = 50) -> tuple[float, float]:
@@ -161,7 +186,7 @@ def fit_rows(rows: list[np.ndarray], y: np.ndarray, c: float = 1.0) -> NBSVM:
 
 def _fit_once(rows: list[np.ndarray], y: np.ndarray, c: float) -> NBSVM:
     ratio = log_count_ratios(rows, y)
-    w, bias = dual_coordinate_descent(rows, y, ratio, c)
+    w, bias, _ = dual_coordinate_descent(rows, y, ratio, c)
     return NBSVM((w * ratio).astype(np.float32), (ratio * ratio).astype(np.float32), bias, 1.0, 0.0)
 
 
@@ -237,8 +262,11 @@ def classify(
     """``<id_col>, held_out, score, predicted`` for every row of ``docs``.
 
     Rows of fold 0 of the id's crc32 are held out of the fit. Only the text is
-    scored; null and empty texts score by the bias. Other columns are ignored,
-    so they may have any name.
+    scored; null and empty texts score by the bias, texts of any length are
+    read whole in slices. Rows that repeat an id or a text are scored each,
+    alike. A score of exactly ``threshold`` predicts 1. Other columns are
+    ignored, so they may have any name. Without a usable label every score is
+    one half; an empty table gives no rows.
     """
     model = fit(docs, labels, label_col, id_col, text_col, crc_fold("_id") == 0, **fit_options)
     scored = docs.select(
