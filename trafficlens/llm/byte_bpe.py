@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
 
-from .common import giving_back, ship, text_or_empty, text_slices
+from .common import Memory, giving_back, ship, text_or_empty, text_slices
 
 # how the public rank files split text before merging
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -151,27 +151,6 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in f if line.strip())}
 
 
-class _Memory(dict):
-    """Ids (as bytes) by text, in two generations: what was used since the
-    present one began, and what the one before it still holds. When the present
-    one is full it becomes the former, whose unused entries are forgotten."""
-
-    def __init__(self, encode, limit: int):
-        super().__init__()
-        self.encode, self.limit, self.former = encode, limit, {}
-
-    def __missing__(self, piece: str) -> bytes:
-        ids = self.former.get(piece)
-        if ids is None:
-            ids = self.encode(piece)
-        if len(piece) <= LONGEST:
-            if len(self) >= self.limit:
-                self.former = dict(self)
-                self.clear()
-            self[piece] = ids
-        return ids
-
-
 class Encoder:
     """Encodes texts in one worker. ``words`` remembers what stands between two
     single spaces, with the leading space; ``tokens`` other pre-tokens."""
@@ -182,8 +161,8 @@ class Encoder:
         self.split = regex.compile(vocabulary.pattern).findall
         self.vocabulary = vocabulary
         self.plain = vocabulary.pattern == PATTERN
-        self.tokens = _Memory(self._token, MEMORY // 8)
-        self.words = _Memory(self._word, MEMORY)
+        self.tokens = Memory(self._token, MEMORY // 8, LONGEST)
+        self.words = Memory(self._word, MEMORY, LONGEST)
 
     def _ids(self, token: str) -> bytes:
         return array("i", self.vocabulary.encode_piece(token.encode())).tobytes()

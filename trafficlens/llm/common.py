@@ -53,6 +53,28 @@ def giving_back(run):
     return wrapped
 
 
+class Memory(dict):
+    """What ``make`` returned for short texts, in two generations: those used
+    since the present one began, and what the one before it still holds. When
+    the present one is full it becomes the former, whose unused entries are
+    forgotten. Texts over ``longest`` characters are made anew each time."""
+
+    def __init__(self, make, limit: int, longest: int):
+        super().__init__()
+        self.make, self.limit, self.longest, self.former = make, limit, longest, {}
+
+    def __missing__(self, text: str) -> bytes:
+        made = self.former.get(text)
+        if made is None:
+            made = self.make(text)
+        if len(text) <= self.longest:
+            if len(self) >= self.limit:
+                self.former = dict(self)
+                self.clear()
+            self[text] = made
+        return made
+
+
 def text_slices(texts: pa.Array, most: int = 4 << 20) -> Iterator[pa.Array]:
     """Parts of a text column of at most ``most`` bytes, or of one text."""
     ends = np.concatenate(([0], np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)))

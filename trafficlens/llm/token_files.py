@@ -22,7 +22,6 @@ Numbers are little-endian; codes are written from the highest bit down.
 from __future__ import annotations
 
 import os
-import re
 import struct
 from array import array
 from collections.abc import Iterator
@@ -30,24 +29,25 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..runtime import scratch_path
-from .common import ship, text_or_empty
+from .common import Memory, giving_back, ship, text_or_empty, text_slices
 from .files import reading, this_task, writing
 
 BLOCK, STRIDE, GROUP = 1 << 16, 256, 8  # ids per block, ids per checkpoint, blocks decoded together
 MAX_LENGTH = 18  # bits of the longest code; the lookup table has 2 ** MAX_LENGTH entries
 MAGIC = b"TLHUFF01"
-MEMORY = 400_000  # remembered words per worker
+MEMORY = 200_000  # remembered words, and letter runs, per worker and generation
 LONGEST = 64
-ODD_SPACE = ("\x1c", "\x1d", "\x1e", "\x1f")  # split() takes them for white space, the library does not
+ODD_SPACE = "[\x1c-\x1f]"  # split off as white space here, but not by the library
 
 
 # Latin letters whose lower case is one letter and which no normal form changes, then punctuation without
 # the apostrophe (which starts contractions)
-LATIN_WORD = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([!-&(-/:-@[-`{-~]*)").fullmatch
+LATIN_WORD = "^(?P<run>[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)(?P<tail>[!-&(-/:-@\\[-`{-~]*)$"
 
 
 def id_type(vocabulary_size: int) -> np.dtype:
@@ -70,9 +70,10 @@ class WordMemory:
     """Ids of texts by the library, word by word. For vocabularies that drop
     white space and case and never merge across a change between letters and
     punctuation, a text's ids are those of its words in turn, and those of a
-    word are its letters' and its punctuation's. Distinct letter runs go to the
-    library's model directly, other distinct words of a batch to the whole
-    tokenizer in one call."""
+    word are its letters' and its punctuation's. The distinct words of a batch
+    are taken apart together; of their distinct letter runs, those not
+    remembered go to the library's model, other words to the whole tokenizer;
+    the ids are then laid out in the order of the words."""
 
     def __init__(self, path: str, by_word: bool, kind: str, special_as_text: bool):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core per task
@@ -83,51 +84,53 @@ class WordMemory:
         self.by_word = by_word
         self.code = "H" if np.dtype(kind).itemsize == 2 else "I"
         self.letters = byte_letters()
-        self.model = self.tokenizer.model
-        self.known: dict[str, bytes] = {}
-        self.runs: dict[str, bytes] = {}
+        self.tokenize = self.tokenizer.model.tokenize
+        self.runs = Memory(self._run, MEMORY, LONGEST)
+        self.others = Memory(self._whole, MEMORY // 8, LONGEST)
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [array(self.code, c.ids).tobytes() for c in coded]
+    def _whole(self, text: str) -> bytes:
+        (coded,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
+        return array(self.code, coded.ids).tobytes()
 
     def _run(self, run: str) -> bytes:
         """Ids of one lower-case run of letters or of punctuation."""
-        ids = self.runs.get(run)
-        if ids is None:
-            written = run if run.isascii() else run.encode().decode("latin-1").translate(self.letters)
-            ids = array(self.code, [t.id for t in self.model.tokenize(written)]).tobytes()
-            if len(run) <= LONGEST:
-                self.runs[run] = ids
-        return ids
-
-    def _learn(self, fresh: list[str]) -> None:
-        known, other = self.known, []
-        for word in fresh:
-            found = LATIN_WORD(word)
-            if found is None:
-                other.append(word)
-                continue
-            run, tail = found.groups()
-            known[word] = self._run(run.lower()) + self._run(tail) if tail else self._run(run.lower())
-        known.update(zip(other, self._encode(other)))
-
-    def encode_batch(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian bytes."""
+        if not run:
+            return b""
+        written = run if run.isascii() else run.encode().decode("latin-1").translate(self.letters)
+        return array(self.code, [t.id for t in self.tokenize(written)]).tobytes()
+
+    def _run_ids(self, runs: pa.Array) -> pa.Array:
+        coded = runs.dictionary_encode()
+        return pa.array([self.runs[r] for r in coded.dictionary.to_pylist()], pa.binary()).take(coded.indices)
+
+    def _word_ids(self, words: pa.Array) -> pa.Array:
+        parts = pc.extract_regex(words, LATIN_WORD)
+        plain = parts.is_valid()
+        runs, tails = (pc.struct_field(parts, i).filter(plain) for i in (0, 1))
+        ids = pc.binary_join_element_wise(self._run_ids(pc.utf8_lower(runs)), self._run_ids(tails), pa.scalar(b"", pa.binary()))
+        rest = [self.others[w] for w in words.filter(pc.invert(plain)).to_pylist()]
+        place = np.empty(len(words), np.int64)
+        is_plain = plain.to_numpy(zero_copy_only=False)
+        place[is_plain] = np.arange(len(ids))
+        place[~is_plain] = np.arange(len(ids), len(words))
+        return pa.concat_arrays([ids, pa.array(rest, pa.binary())]).take(pa.array(place))
+
+    def encode(self, texts: pa.Array) -> pa.Array:
+        """Ids of each whole text as little-endian bytes."""
         if not self.by_word:
-            return self._encode(texts)
-        if len(self.known) > MEMORY:
-            self.known = {}
-        if len(self.runs) > MEMORY:
-            self.runs = {}
-        lists = [None if any(c in t for c in ODD_SPACE) else t.split() for t in texts]
-        known = self.known
-        fresh = list(set().union(*[w for w in lists if w]) - known.keys())
-        self._learn(fresh)
-        out = [self._encode([t])[0] if w is None else b"".join(map(known.__getitem__, w)) for t, w in zip(texts, lists)]
-        for word in fresh:
-            if len(word) > LONGEST:
-                del known[word]
+            return pa.array([self._whole(t) for t in texts.to_pylist()], pa.binary())
+        lists = pc.utf8_split_whitespace(texts)
+        words = lists.flatten().dictionary_encode()
+        ids = self._word_ids(words.dictionary).take(words.indices)
+        borders = np.concatenate(([0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))))
+        ends = np.concatenate(([0], np.cumsum(pc.binary_length(ids).to_numpy(zero_copy_only=False), dtype=np.int64)))
+        raw = b"".join(ids.to_pylist()) if ids.offset else ids.buffers()[2]
+        joined = pa.Array.from_buffers(pa.large_binary(), len(texts), [None, pa.py_buffer(ends[borders].astype(np.int64)), raw if raw is not None else pa.py_buffer(b"")])
+        odd = pc.match_substring_regex(texts, ODD_SPACE)
+        out = joined.cast(pa.binary())
+        if pc.any(odd).as_py():
+            whole = [self._whole(t) if o else None for t, o in zip(texts.to_pylist(), odd.to_pylist())]
+            out = pc.coalesce(pa.array(whole, pa.binary()), out)
         return out
 
 
@@ -144,7 +147,6 @@ def encode_documents(
     id_col: str = "doc_id",
     text_col: str = "text",
     by_word: bool = True,
-    batch: int = 256,
     special_as_text: bool = True,
 ) -> DataFrame:
     """``doc_id, n, ids`` for each row: the ids of the whole text (null: empty)
@@ -157,16 +159,16 @@ def encode_documents(
     kind = id_type(vocabulary_size)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory, end = _memory(tokenizer_path, by_word, kind.str, special_as_text), np.array([end_id], kind).tobytes()
+        memory, end = _memory(tokenizer_path, by_word, kind.str, special_as_text), pa.scalar(np.array([end_id], kind).tobytes(), pa.binary())
         for rows in batches:
-            for i in range(0, rows.num_rows, batch):
-                part = rows.slice(i, batch)
-                ids = [x + end for x in memory.encode_batch(part.column(1).to_pylist())]
-                yield pa.record_batch(
-                    [part.column(0), pa.array([len(x) // kind.itemsize for x in ids], pa.int64()), pa.array(ids, pa.binary())], names=["doc_id", "n", "ids"]
-                )
-
-    return df.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text")).mapInArrow(run, "doc_id bigint, n bigint, ids binary")
+            start = 0
+            for part in text_slices(rows.column(1)):
+                ids = pc.binary_join_element_wise(memory.encode(part), end, pa.scalar(b"", pa.binary()))
+                n = pc.divide(pc.binary_length(ids).cast(pa.int64()), kind.itemsize)
+                yield pa.record_batch([rows.column(0).slice(start, len(ids)), n, ids], names=["doc_id", "n", "ids"])
+                start += len(ids)
+
+    return df.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text")).mapInArrow(giving_back(run), "doc_id bigint, n bigint, ids binary")
 
 
 # ---- the code -------------------------------------------------------------
