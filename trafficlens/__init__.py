@@ -55,7 +55,6 @@ from .operators.stats import (  # noqa: F401
     group_mean_sd,
     hash_bucket,
     hash_split,
-    random_split,
     regression_metrics,
 )
 from .sources.logs import (  # noqa: F401

@@ -94,10 +94,3 @@ def hash_split(df: DataFrame, key: str, train_percent: int = 80, folds: int = 5)
         }
     )
 
-
-def random_split(df: DataFrame, weights: Sequence[float] = (0.8, 0.2), seed: int = 1) -> list[DataFrame]:
-    """Seeded ``randomSplit`` (M3 as the reference wrote it, with a seed added).
-
-    The rows drawn depend on the partitioning of ``df``; ``hash_split`` does not.
-    """
-    return df.randomSplit(list(weights), seed=seed)

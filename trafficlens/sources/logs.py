@@ -26,10 +26,7 @@ RAW_FIELDS = [
 ]
 
 # strict: the reference's own pattern, matched anywhere in the line (its first match wins).
-STRICT_PATTERN = (
-    r'(\d{4}-\d{2}-\d{2}\w\d{2}:+\d.+\d\w) (\w\S+) (\S+) (\S+) (\S+) ([\d.]+[:\d]) ([\d.]+[:\d]) '
-    r'(\d{3}) (\d{3}) (\d+) (\d+) "(.+?)" "(.+?)" ([\w-]+) ([\w+\d.]+)'
-)
+STRICT_PATTERN = r'(\d{4}-\d{2}-\d{2}\w\d{2}:+\d.+\d\w) (\w\S+) (\S+) (\S+) (\S+) ([\d.]+[:\d]) ([\d.]+[:\d]) (\d{3}) (\d{3}) (\d+) (\d+) "(.+?)" "(.+?)" ([\w-]+) ([\w+\d.]+)'
 # lenient: the documented field list, anchored at the start; -1 times, '-' codes
 # and an empty agent are kept; trailing fields are ignored.
 LENIENT_PATTERN = (
@@ -143,7 +140,10 @@ def utc_wall_clock(text):
     moment = text.try_cast("timestamp")
     micros = F.unix_micros(moment).cast("decimal(20,0)") / F.lit(1_000_000)
     shifted = F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=micros.cast("decimal(18,6)"))
-    return F.when(text.rlike(ZONE), shifted).otherwise(text.try_cast("timestamp_ntz"))
+    wall = text.try_cast("timestamp_ntz")
+    # the usual form, a digit and Z at the end, needs no search for a zone and no second cast
+    usual = text.endswith("Z") & F.substring(text, -2, 1).between("0", "9")
+    return F.when(usual, wall).when(text.rlike(ZONE), shifted).otherwise(wall)
 
 
 def transform_log(raw: DataFrame, mode: str = "lenient") -> DataFrame:
