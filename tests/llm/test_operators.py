@@ -298,11 +298,28 @@ def test_warc_round_trip(spark):
 def test_warc_reader_verifies():
     record = W.record_bytes(1, "u", b"payload", None, "2024-01-01T00:00:00Z")
     assert W.parse_record(record)["payload"] == b"payload"
-    for broken in (record.replace(b"payload", b"payl0ad"), record[:-1], b"x" + record):
+    for broken in (record.replace(b"payload", b"payl0ad"), record[:-1], b"x" + record, record.replace(b"X-Payload-Length: 7", b"X-Payload-Length: 9")):
+        assert broken != record
         with pytest.raises(ValueError):
             W.parse_record(broken)
 
 
+def test_warc_revisits_are_checked(spark):
+    schema = "page_id bigint, url string, record_type string, payload_bytes bigint, payload_digest string, refers_to bigint, payload binary"
+    rows = [(9, "u", "response", 4, "A", None, b"abcd"), (1, "u", "revisit", 4, "A", 9, None), (2, "u", "revisit", 5, "A", 9, None), (3, "u", "revisit", 4, "B", 9, None), (4, "u", "revisit", 4, "A", 8, None)]
+    assert sorted(r.page_id for r in W.broken_revisits(spark.createDataFrame(rows, schema)).collect()) == [2, 3, 4]
+
+
+def test_cosines_of_extreme_vectors():
+    x = np.array([[1e200, 0.0, 1e200], [3e-200, 4e-200, 0.0], [1.0, 2.0, 2.0], [1e308, 1e308, 1e308]])
+    for q in x:
+        want = [float(np.dot(a / np.linalg.norm(a / np.abs(a).max()) / np.abs(a).max(), q / np.linalg.norm(q / np.abs(q).max()) / np.abs(q).max())) for a in x]
+        assert KT.cosines(q, x) == pytest.approx(want, abs=1e-15)
+    plain = np.random.default_rng(1).normal(size=(50, 8))
+    dot = (plain * plain[0]).sum(axis=1)
+    assert (KT.cosines(plain[0], plain) == dot / (np.sqrt((plain * plain).sum(axis=1)) * np.sqrt((plain[0] * plain[0]).sum()))).all()
+
+
 def test_mix(docs, none):
     got = MX.mix(docs).collect()
     assert Counter((r.doc_id, r.source) for r in got) == Counter((i, s) for i, _, s in DOCS)

@@ -30,7 +30,8 @@ from .common import ship, shuffle_partitions, sorted_groups
 def usable_vectors(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """``id, v``: the rows that take part, with the vector as float64 bytes.
     Null vectors, zero vectors and those holding null, NaN or infinity do not;
-    nor do null ids, or vectors of another length than most rows have."""
+    nor do null ids, or vectors of another length than most rows have: there is
+    no cosine between vectors of different length."""
     v = F.col(vector_col).cast("array<double>")
     bad = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     zero = F.forall(v, lambda x: x == 0.0)
@@ -145,7 +146,11 @@ def build_tree(x: np.ndarray, leaf_size: int, branching: int = 8, rounds: int =
 
 def cosines(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     """Cosine of one vector to each row, in double precision, the same way for
-    every row wherever it stands."""
+    every row wherever it stands. Vectors are brought to a like size by powers
+    of two first, which rounds nothing and keeps squares of very large or
+    small components within the range of doubles."""
+    q = np.ldexp(q, -np.frexp(np.abs(q).max())[1])
+    x = np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
     dot = (x * q).sum(axis=1)
     return dot / (np.sqrt((x * x).sum(axis=1)) * np.sqrt((q * q).sum()))
 

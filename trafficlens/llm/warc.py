@@ -107,8 +107,11 @@ def parse_record(data: bytes) -> dict:
     if fields["warc-block-digest"] != "sha1:" + sha1_base32(block):
         raise ValueError("block digest differs")
     payload = block[block.find(b"\r\n\r\n") + 4 :]
-    if fields["warc-type"] == "response" and fields["warc-payload-digest"] != "sha1:" + sha1_base32(payload):
-        raise ValueError("payload digest differs")
+    if fields["warc-type"] == "response":
+        if fields["warc-payload-digest"] != "sha1:" + sha1_base32(payload):
+            raise ValueError("payload digest differs")
+        if int(fields["x-payload-length"]) != len(payload):
+            raise ValueError("X-Payload-Length differs")
     return {"fields": fields, "payload": payload}
 
 
@@ -182,6 +185,18 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
     return files.repartition(count, "file").mapInArrow(run, SCHEMA)
 
 
+def broken_revisits(records: DataFrame) -> DataFrame:
+    """Of the records of ``read_archives`` the revisits whose response is not
+    among them, or has another length or digest than they state."""
+    own = records.where("record_type = 'revisit'")
+    there = records.where("record_type = 'response' and page_id is not null")
+    there = there.select(F.col("page_id").alias("refers_to"), F.col("payload_bytes").alias("_bytes"), F.col("payload_digest").alias("_digest"))
+    met = own.join(there.dropDuplicates(["refers_to", "_bytes", "_digest"]), "refers_to", "left")
+    good = (F.col("payload_bytes") == F.col("_bytes")) & (F.col("payload_digest") == F.col("_digest"))
+    found = met.groupBy("page_id", "refers_to", "payload_bytes", "payload_digest").agg(F.max(F.coalesce(good, F.lit(False))).alias("_good"))
+    return found.where(~F.col("_good")).drop("_good")
+
+
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
     kinds = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.binary()]
     names = ["page_id", "url", "record_type", "payload_bytes", "payload_digest", "refers_to", "payload"]
