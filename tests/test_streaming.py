@@ -86,3 +86,9 @@ def test_session_table_stream_to_parquet_emits_closed_sessions(spark):
     both = SL.reconcile_sessions(hits, got, gap_secs=21_600)
     assert key(both) == key(batch)
     assert key(both.where("is_written")) == emitted and key(both.where("NOT is_written"))
+    assert both.where("NOT is_current").count() == 0
+    # a late hit changes a written session: its former state is named too
+    first = got.orderBy("session_start").first()
+    late = hits.where(F.col("cl_ip") == first.cl_ip).limit(1).withColumn("date_time", F.lit(first.session_start) - F.expr("INTERVAL 5 MINUTES"))
+    stale = SL.reconcile_sessions(hits.unionByName(late), got, gap_secs=21_600).where("NOT is_current").collect()
+    assert [(r.cl_ip, r.session_start, r.hits, r.is_written) for r in stale] == [(first.cl_ip, first.session_start, first.hits, True)]

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from .cluster_queries import CORESET
-from .oracle import _USER_FEATURES, _device_time_cte, _r, _with_sessions
+from .oracle import _GROUPED, _USER_FEATURES, _device_time_cte, _r, _with_sessions
 from .queries import GAP_6H, USER_FEATURES
 
 _FILLED = "us AS MATERIALIZED (SELECT device, cl_ip, " + ", ".join(f"coalesce(CAST({f} AS DOUBLE), 0) AS {f}" for f in USER_FEATURES) + " FROM uf)"
@@ -25,6 +25,11 @@ ORACLE: dict[str, str] = {
             f"{', '.join(f'avg({f}) AS m_{f}' for f in USER_FEATURES)} FROM us GROUP BY device)",
         ),
     ),
+    "quantile_ranges": _with_sessions(
+        GAP_6H,
+        "SELECT device, grp, count(*) AS n, CAST(0 AS BIGINT) AS violations FROM ug GROUP BY device, grp",
+        ctes=(_device_time_cte(), _USER_FEATURES, _GROUPED),
+    ),
     "kmeans_mean_check": _with_sessions(GAP_6H, _NONE, ctes=(_device_time_cte(), _USER_FEATURES)),
     "kmeans_cost_recomputed": _with_sessions(GAP_6H, _NONE, ctes=(_device_time_cte(), _USER_FEATURES)),
 }

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from ..functions.columns import col
 from ..operators import coreset as CS
 from ..operators import models as M
+from ..operators import quantile_ranges as QR
 from ..sources.tables import materialize
-from .queries import GAP_6H, KMEANS_K, KMEANS_SWEEP, USER_FEATURES, Query, _filled_users, _user_features, rounded
+from .queries import GAP_6H, KMEANS_K, KMEANS_SWEEP, RANGED, USER_FEATURES, Query, _filled_users, _fixed_groups, _user_features, rounded
 
 CORESET = 60  # expected users of a coreset, fewer than there are
 
@@ -85,7 +86,24 @@ def q_kmeans_cost_recomputed(spark, sf):
     return checked[0].unionByName(checked[1])
 
 
+def q_quantile_ranges(spark, sf):
+    """Users of each fixed group, and how many of its four range ends have a
+    rank more than three points and one user from 10 or 90 per cent (M15)."""
+    users = materialize(_fixed_groups(spark, sf, GAP_6H), name="grouped-users")
+    keys = ["device", "grp"]
+    both = QR.quantile_interval(users, RANGED, keys, 0.1, 0.9)
+    off = F.lit(0)
+    for v in RANGED:
+        n = F.count(F.lit(1))
+        # the rank of an end lies between the shares of users below it and up to it
+        for end, rank in (("lo", 0.1), ("hi", 0.9)):
+            under, up_to = (F.avg(c.cast("double")) for c in (col(v) < col(f"{v}_{end}"), col(v) <= col(f"{v}_{end}")))
+            off = off + F.when((under > rank + 0.03 + 1 / n) | (up_to < rank - 0.03 - 1 / n), 1).otherwise(0)
+    return both.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), off.cast("bigint").alias("violations"))
+
+
 QUERIES: dict[str, Query] = {
+    "quantile_ranges": q_quantile_ranges,
     "kmeans_coreset": q_kmeans_coreset,
     "kmeans_coreset_sweep": q_kmeans_coreset_sweep,
     "kmeans_mean_check": q_kmeans_mean_check,

@@ -106,18 +106,19 @@ def reconcile_sessions(
     ts: str = "date_time",
     gap_secs: int = DEFAULT_GAP_SECS,
 ) -> DataFrame:
-    """All sessions of the ingested ``hits`` table (batch, late hits included)
-    plus ``is_written``: whether the stream's table has exactly this session.
+    """Sessions of the ingested ``hits`` table (batch, late hits included) and
+    of the stream's table, side by side: ``is_current`` says whether the batch
+    has exactly this session, ``is_written`` whether the stream's table has.
 
-    Rows with ``is_written = false`` are sessions the stream left open or that
-    late hits have changed since. A shuffle join on all four columns.
+    Current rows that are not written are sessions the stream left open or that
+    late hits have changed; written rows that are not current are the former
+    state of the latter, wrong by now. A shuffle join on all four columns.
     """
     keys = [user, "session_start", "session_secs", "hits"]
     seen = written.select(*keys).distinct().withColumn("is_written", F.lit(True))
-    return (
-        session_windows(hits, user=user, ts=ts, gap_secs=gap_secs)
-        .join(seen, keys, "left")
-        .withColumn("is_written", F.coalesce("is_written", F.lit(False)))
+    batch = session_windows(hits, user=user, ts=ts, gap_secs=gap_secs).select(*keys).withColumn("is_current", F.lit(True))
+    return batch.join(seen, keys, "full").withColumns(
+        {"is_current": F.coalesce("is_current", F.lit(False)), "is_written": F.coalesce("is_written", F.lit(False))}
     )
 
 
