@@ -124,17 +124,15 @@ def dual_coordinate_descent(
     a time; returns w, bias and the dual variables. Rows are the scaled
     indicators with a constant 1 for the bias, so each has squared length 2."""
     w, bias, a = np.zeros(DIMS), 0.0, np.zeros(len(rows))
-    values = []
-    for found in rows:
-        v = ratio[found]
-        norm = float(np.sqrt(v @ v))
-        values.append(v / norm if norm > 0 else v)
+    # a row's values are its ratios over their length; only the lengths are kept
+    norms = np.array([float(np.sqrt((ratio[found] ** 2).sum())) or 1.0 for found in rows])
     order = np.random.default_rng(seed)
     for _ in range(epochs):
         largest = 0.0
         for i in order.permutation(len(rows)):
             sign = 1.0 if y[i] else -1.0
-            found, v = rows[i], values[i]
+            found = rows[i]
+            v = ratio[found] / norms[i]
             gradient = sign * (w[found] @ v + bias) - 1.0
             new = min(max(a[i] - gradient / 2.0, 0.0), c)
             step = new - a[i]
@@ -233,7 +231,7 @@ def fit(
     usable = ~held_out if held_out is not None else F.lit(True)
     rows = training_rows(docs, labels, usable, max_train, id_col, text_col, label_col)
     rows = rows.orderBy(F.xxhash64("_id", "_f"), "_id").limit(2 * max_train).collect()
-    return fit_rows([np.frombuffer(r["_f"], np.int32).astype(np.int64) for r in rows], np.array([r["_y"] for r in rows]), c)
+    return fit_rows([np.frombuffer(r["_f"], np.int32) for r in rows], np.array([r["_y"] for r in rows]), c)
 
 
 def scorer(df: DataFrame, model: NBSVM):
