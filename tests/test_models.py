@@ -73,6 +73,18 @@ def test_corr_matrix_symmetric_unit_diagonal(spark):
     assert m[("ct_url", "lag_2")] == pytest.approx(pdf["ct_url"].corr(pdf["lag_2"]))
 
 
+def test_correlations_of_constant_columns_are_null(spark):
+    """A column without variance has no correlation; pairs count the rows that have both values."""
+    rows = [(1.0, 35.0, 2.0, 9.0), (2.0, 35.0, None, 9.0), (4.0, 35.0, 1.0, None), (3.0, 35.0, 5.0, 8.0)]
+    df = spark.createDataFrame(rows, "a double, k double, b double, c double")
+    m = {(r.row_var, r.col_var): r.corr for r in ST.corr_matrix(df, ["a", "k", "b", "c"]).collect()}
+    assert len(m) == 16 and m["k", "k"] == 1.0
+    assert all(m["k", c] is None and m[c, "k"] is None for c in "abc")
+    pdf = df.toPandas()
+    for a, b in (("a", "b"), ("a", "c"), ("b", "c")):
+        assert m[a, b] == pytest.approx(pdf[a].corr(pdf[b]))
+
+
 def test_kmeans_cost_and_assignment(spark):
     feats = M.assemble(Q._user_features(spark, SF01), Q.USER_FEATURES).where(F.col("device") == "web").cache()
     model = M.fit_kmeans(feats, 4)

@@ -36,15 +36,22 @@ def regression_metrics(df: DataFrame, label: str = "label", prediction: str = "p
     )
 
 
+def _corr(a: str, b: str) -> Column:
+    """Pearson correlation of the rows that have both values; null when one of
+    them is constant there (``corr`` fails on that division in ANSI mode)."""
+    x, y = F.when(col(b).isNotNull(), col(a)), F.when(col(a).isNotNull(), col(b))
+    return F.try_divide(F.try_divide(F.covar_pop(a, b), F.stddev_pop(x)), F.stddev_pop(y))
+
+
 def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlation of every pair, long form ``row_var, col_var, corr``.
 
     One aggregate computes the upper triangle; the matrix is unfolded by
-    ``stack`` on that one row.
+    ``stack`` on that one row. A pair with a constant column has null.
     """
     columns = list(columns)
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    agg = df.agg(*[F.corr(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
+    agg = df.agg(*[_corr(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
     cells: list[Column] = []
     for i, (a, b) in enumerate(pairs):
         value = F.lit(1.0) if a == b else col(f"c{i}")
