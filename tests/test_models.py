@@ -85,6 +85,12 @@ def test_correlations_of_constant_columns_are_null(spark):
         assert m[a, b] == pytest.approx(pdf[a].corr(pdf[b]))
 
 
+def test_correlations_with_a_constant_label_are_null(spark):
+    df = spark.createDataFrame([(1.0, 5.0, 35.0), (2.0, 3.0, 35.0)], "a double, b double, label double")
+    assert [tuple(r) for r in ST.corr_with(df, ["a", "b"], "label").collect()] == [("a", None), ("b", None)]
+    assert [tuple(r) for r in ST.corr_with(df, ["b", "label"], "a").collect()] == [("b", pytest.approx(-1.0)), ("label", None)]
+
+
 def test_kmeans_cost_and_assignment(spark):
     feats = M.assemble(Q._user_features(spark, SF01), Q.USER_FEATURES).where(F.col("device") == "web").cache()
     model = M.fit_kmeans(feats, 4)

@@ -62,8 +62,9 @@ def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def corr_with(df: DataFrame, columns: Sequence[str], target: str) -> DataFrame:
-    """Correlation of each column with ``target``: ``feature, corr``."""
-    agg = df.agg(*[F.corr(c, target).alias(f"c{i}") for i, c in enumerate(columns)])
+    """Correlation of each column with ``target``: ``feature, corr`` (M11);
+    null when one of the two is constant."""
+    agg = df.agg(*[_corr(c, target).alias(f"c{i}") for i, c in enumerate(columns)])
     cells = [F.struct(F.lit(c).alias("feature"), col(f"c{i}").alias("corr")) for i, c in enumerate(columns)]
     return agg.select(F.inline(F.array(*cells)))
 
