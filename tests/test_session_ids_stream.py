@@ -100,3 +100,25 @@ def test_stream_ids_equal_batch_ids(spark):
     want = sorted((r.event_id, r.cl_ip, r.date_time, r.session_id) for r in batch.select("event_id", "cl_ip", "date_time", "session_id").collect())
     assert got == want
     assert SI.read_session_ids(spark, f"{root}/out", late=True).count() == 0
+
+
+def test_python_is_called_by_slot_not_by_client(spark):
+    """Many clients share a call and a row of state, and every slot keeps its own numbers."""
+    root = tempfile.mkdtemp(prefix="tl-ids-")
+    schema = "cl_ip string, date_time timestamp_ntz, hit long"
+    times = [[0, 10, 70], [200], [9000], [9001]]
+    for i, seconds in enumerate(times):
+        clients = [f"c{n}" for n in range(50)] if i < 2 else ["clock"]
+        rows = [(c, START + dt.timedelta(seconds=s), None if s == 10 else 2**53 + 1 + s) for c in clients for s in seconds]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{root}/in")
+        stream = spark.readStream.schema(schema).parquet(f"{root}/in")
+        SI.start_session_ids(stream, f"{root}/out", "10 seconds", gap_secs=60, keep=["hit"], slots=4).awaitTermination(300)
+    out = SI.read_session_ids(spark, f"{root}/out").where("cl_ip <> 'clock'")
+    got = {}
+    for r in out.collect():
+        got.setdefault(r.cl_ip, set()).add(((r.date_time - START).seconds, r.hit, r.session_id))
+    big = 2**53 + 1
+    assert len(got) == 50
+    assert all(g == {(0, big, 1), (10, None, 1), (70, big + 70, 2), (200, big + 200, 3)} for g in got.values())
+    state = spark.read.format("statestore").option("stateVarName", "done").load(f"{root}/out_checkpoint")
+    assert state.count() <= 4

@@ -6,15 +6,19 @@ order of time, numbered as the batch ``sessionize`` numbers them. Hits that come
 after the watermark has passed them cannot be numbered any more; they leave at
 once, marked, into a side table (``is_late=true`` of the sink), so none is lost.
 
-State per client: the hits younger than the watermark, the time of the last
-numbered hit and the session count. With ``expire_secs`` a timer clears the
-last two once the client has been silent that long; its next session is 1 again.
+State holds the hits younger than the watermark and, of each client, the time of
+the last numbered hit and the session count. With ``expire_secs`` the last two
+are cleared once the client has been silent that long; its next session is 1
+again. Clients are dealt into slots by their hash, and a slot is the key of the
+state: Python is called, and its hits numbered in one go, once per slot and
+micro-batch, not once or more for every client.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,70 +29,112 @@ from ..functions.columns import col, epoch_micros
 from ..operators.sessions import DEFAULT_GAP_SECS
 
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+# whole numbers travel as text, as pandas makes floats of those beside a null
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 class _Sessions(StatefulProcessor):
-    """One client's hits. ``columns`` are those kept beside ``_us``, the time
-    in microseconds."""
+    """The hits of the clients of one slot. ``columns`` are those of a hit: the
+    client, ``_us`` (the time in microseconds) and the kept ones. State holds
+    them as arrays, a row for each part that came in. One timer is set per slot,
+    for the first time at which something is due."""
 
-    def __init__(self, user: str, held: T.StructType, gap_secs: int, expire_secs: int | None):
-        self.user, self.held, self.gap, self.expire = user, held, gap_secs, expire_secs
-        self.names = held.fieldNames()
+    def __init__(self, columns: T.StructType, gap_secs: int, expire_secs: int | None):
+        self.columns, self.gap, self.expire = columns, gap_secs, expire_secs
+        self.names = columns.fieldNames()
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", self.held)
-        self.done = handle.getValueState("done", T.StructType([T.StructField("last_us", T.LongType()), T.StructField("sessions", T.LongType())]))
-
-    def _rows(self, key: tuple, hits: list[tuple], numbers: list[tuple]) -> pd.DataFrame:
-        out = pd.DataFrame(hits, columns=self.names)
-        out.insert(0, self.user, key[0])
-        for i, name in enumerate(("is_late", "is_new_session", "session_id")):
-            out[name] = [n[i] for n in numbers]
-        out["session_id"] = out["session_id"].astype("Int64")
-        out["is_new_session"] = out["is_new_session"].astype("Int32")
-        return out
+        kinds = [f.dataType for f in self.columns]
+        arrays = lambda *kinds: T.StructType([T.StructField(f"c{i}", T.ArrayType(k)) for i, k in enumerate(kinds)])
+        self.waiting = handle.getListState("waiting", arrays(*kinds))
+        # client, time of its last numbered hit, its sessions
+        self.done = handle.getValueState("done", arrays(kinds[0], T.LongType(), T.LongType()))
+        self.due = handle.getValueState("due", T.StructType([T.StructField("ms", T.LongType())]))
+
+    def _hold(self, part: pd.DataFrame) -> None:
+        """Add hits to the state."""
+        values = [part[c].astype(object).where(part[c].notna(), None).tolist() for c in self.names]
+        self.waiting.appendValue(tuple(values))
+
+    def _held(self) -> pd.DataFrame:
+        whole: list[list] = [[] for _ in self.names]
+        for part in self.waiting.get() if self.waiting.exists() else ():
+            for values, more in zip(whole, part):
+                values.extend(more)
+        return pd.DataFrame({c: pd.Series(v, dtype="int64" if c == "_us" else None) for c, v in zip(self.names, whole)})
+
+    def _wake(self, ms: int) -> None:
+        """See that a timer runs out at ``ms`` or before."""
+        set_for = self.due.get()[0] if self.due.exists() else None
+        if set_for is not None and set_for <= ms:
+            return
+        if set_for is not None:
+            self.handle.deleteTimer(set_for)
+        self.handle.registerTimer(ms)
+        self.due.update((ms,))
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         passed = timerValues.getCurrentWatermarkInMs()
         first = None
         for part in rows:
-            # by place: the optimizer may rename the computed column
-            hits = [tuple(None if pd.isna(v) else v for v in r) for r in part.iloc[:, 1:].itertuples(index=False, name=None)]
-            late = [h for h in hits if h[0] < passed * 1000]
-            fresh = [h for h in hits if h[0] >= passed * 1000]
-            if fresh:
-                self.waiting.appendList(fresh)
-                first = min([h[0] for h in fresh] + ([] if first is None else [first]))
-            if late:
-                yield self._rows(key, late, [(True, None, None)] * len(late))
+            # by place: the optimizer may rename the computed columns
+            part = part.iloc[:, 1:].set_axis(self.names, axis=1)
+            is_late = part["_us"] < passed * 1000
+            fresh, late = part[~is_late], part[is_late]
+            if len(fresh):
+                self._hold(fresh)
+                first = min([int(fresh["_us"].min())] + ([] if first is None else [first]))
+            if len(late):
+                none = [None] * len(late)
+                yield late.assign(is_late=True, is_new_session=pd.array(none, "Int32"), session_id=pd.array(none, "Int64"))
         if first is not None:
-            self.handle.registerTimer(first // 1000 + 1)
+            self._wake(first // 1000 + 1)
 
     def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         passed = timerValues.getCurrentWatermarkInMs()
-        held = sorted(self.waiting.get(), key=lambda h: h[0]) if self.waiting.exists() else []
-        ready = [tuple(h) for h in held if h[0] < passed * 1000]
-        left = [tuple(h) for h in held[len(ready) :]]
-        last, sessions = self.done.get() if self.done.exists() else (None, 0)
-        numbers = []
-        for h in ready:
-            new = last is None or h[0] // 1_000_000 - last // 1_000_000 >= self.gap
-            sessions, last = sessions + new, h[0]
-            numbers.append((False, int(new), sessions))
-        if ready:
-            self.done.update((last, sessions))
-            if left:
-                self.waiting.put(left)
-                self.handle.registerTimer(left[0][0] // 1000 + 1)
-            else:
-                self.waiting.clear()
-            if self.expire is not None:
-                self.handle.registerTimer(last // 1000 + self.expire * 1000 + 1)
-            yield self._rows(key, ready, numbers)
-        elif self.expire is not None and last is not None and not held and last // 1000 + self.expire * 1000 < passed:
+        held = self._held()
+        is_ready = held["_us"] < passed * 1000
+        ready, left = held[is_ready], held[~is_ready]
+        seen = {c: (last, n) for c, last, n in zip(*self.done.get())} if self.done.exists() else {}
+        if len(ready):
+            yield self._number(ready, seen)
+            self.waiting.clear()
+            if len(left):
+                self._hold(left)
+        due = [int(left["_us"].min()) // 1000 + 1] if len(left) else []
+        if self.expire is not None:
+            still = set(left[self.names[0]])
+            ends = {c: last // 1000 + self.expire * 1000 for c, (last, _) in seen.items() if c not in still}
+            seen = {c: v for c, v in seen.items() if ends.get(c, passed) >= passed}
+            due += [ends[c] + 1 for c in seen if c in ends]
+        if seen:
+            self.done.update(([*seen], [last for last, _ in seen.values()], [n for _, n in seen.values()]))
+        elif self.done.exists():
             self.done.clear()
+        self.due.clear()
+        if due:
+            self._wake(min(due))
+
+    def _number(self, ready: pd.DataFrame, seen: dict) -> pd.DataFrame:
+        """Session ids of hits in order of client and time, going on from ``seen``, which is brought up to date."""
+        code, clients = pd.factorize(ready[self.names[0]])
+        order = np.lexsort((ready["_us"], code))
+        out, code = ready.iloc[order].reset_index(drop=True), code[order]
+        us = out["_us"].to_numpy()
+        begins = np.flatnonzero(np.r_[True, code[1:] != code[:-1]])
+        ends = np.r_[begins[1:], len(code)] - 1
+        secs = us // 1_000_000
+        before = np.r_[secs[:1], secs[:-1]]
+        known = [seen.get(c) for c in clients]
+        before[begins] = [secs[b] - self.gap if k is None else k[0] // 1_000_000 for b, k in zip(begins, known)]
+        new = (secs - before >= self.gap).astype("int64")
+        so_far = np.cumsum(new)
+        earlier = np.array([0 if k is None else k[1] for k in known]) - (so_far[begins] - new[begins])
+        number = so_far + earlier[code]
+        seen.update(zip(clients, zip(us[ends].tolist(), number[ends].tolist())))
+        return out.assign(is_late=False, is_new_session=new.astype("int32"), session_id=number)
 
     def close(self) -> None:
         pass
@@ -102,6 +148,7 @@ def session_ids_stream(
     gap_secs: int = DEFAULT_GAP_SECS,
     keep: Sequence[str] = (),
     expire_secs: int | None = None,
+    slots: int = 1024,
 ) -> DataFrame:
     """``user, ts, <keep>, is_late, is_new_session, session_id`` of a hit stream.
 
@@ -110,32 +157,37 @@ def session_ids_stream(
     ids. Hits without a user or time are left out, as in the batch form. Of
     hits at one time any may be the first of a session. ``expire_secs`` must
     exceed ``gap_secs``. Needs the RocksDB state store (``start_session_ids``
-    sets it). A client is one key: all its hits of a micro-batch meet in one
-    task, which holds its hits of the watermark's delay.
+    sets it). A client's hits of a micro-batch meet in one task, which holds the
+    hits of the watermark's delay of one of ``slots`` slots at a time, and
+    rewrites the slot's clients when any of them moves on. ``slots`` is the most
+    tasks that share the work; a checkpoint goes on with its number of slots only.
     """
     if expire_secs is not None and expire_secs < gap_secs:
         raise ValueError("expire_secs must not be below gap_secs")
     known = hits.where(col(user).isNotNull() & col(ts).isNotNull())
     known = known.withColumn("_us", epoch_micros(ts))
     # the clock moves by this column; it is then dropped, or Spark would discard late hits before they are seen
-    timed = known.withColumn("_clock", F.timestamp_micros("_us")).withWatermark("_clock", watermark).select(user, "_us", *keep)
-    held = T.StructType([timed.schema["_us"], *[timed.schema[c] for c in keep]])
+    timed = known.withColumn("_clock", F.timestamp_micros("_us")).withWatermark("_clock", watermark)
+    whole = {c: hits.schema[c].dataType for c in keep if isinstance(hits.schema[c].dataType, _WHOLE)}
+    texts = [col(c).cast("string").alias(c) if c in whole else col(c) for c in keep]
+    dealt = timed.select(F.pmod(F.hash(user), F.lit(slots)).alias("_slot"), user, "_us", *texts)
+    columns = T.StructType(dealt.schema.fields[1:])
     out = T.StructType(
         [
-            timed.schema[user],
-            *held.fields,
+            *columns.fields,
             T.StructField("is_late", T.BooleanType()),
             T.StructField("is_new_session", T.IntegerType()),
             T.StructField("session_id", T.LongType()),
         ]
     )
-    numbered = timed.groupBy(user).transformWithStateInPandas(
-        statefulProcessor=_Sessions(user, held, gap_secs, expire_secs), outputStructType=out, outputMode="Append", timeMode="EventTime"
+    numbered = dealt.groupBy("_slot").transformWithStateInPandas(
+        statefulProcessor=_Sessions(columns, gap_secs, expire_secs), outputStructType=out, outputMode="Append", timeMode="EventTime"
     )
     zoned = isinstance(hits.schema[ts].dataType, T.TimestampType)
     wall = F.timestamp_add("MICROSECOND", col("_us"), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
     time = F.timestamp_micros("_us") if zoned else wall
-    return numbered.select(user, time.alias(ts), *keep, "is_late", "is_new_session", "session_id")
+    kept = [col(c).cast(whole[c]).alias(c) if c in whole else col(c) for c in keep]
+    return numbered.select(user, time.alias(ts), *kept, "is_late", "is_new_session", "session_id")
 
 
 def start_session_ids(
