@@ -614,6 +614,42 @@ def test_nbsvm_fit_against_brute_force():
     assert primal - (a.sum() - full @ full / 2) < 1e-6 * primal
 
 
+def test_nbsvm_packed_rows():
+    """Packed rows take two bytes an index, come back whole, and fit to the same model as plain ones."""
+    edge = [0, 1, 65535, 65536, 131071, 131072, NB.DIMS - 1]
+    for found in ([], [0], [NB.DIMS - 1], edge, range(NB.DIMS)):
+        found = np.array(found, np.int32)
+        packed = NB.pack(found)
+        assert len(packed) == 4 * NB.BLOCKS + 2 * len(found)
+        assert np.array_equal(NB.unpack(packed), found) and np.array_equal(NB.unpack(memoryview(b"xx" + packed)[2:]), found)
+    rng = np.random.default_rng(5)
+    y = rng.integers(0, 2, 50)
+    rows = [np.sort(rng.choice(NB.DIMS, rng.integers(0, 300), replace=False)).astype(np.int32) for _ in y]
+    plain, packed = NB.fit_rows(rows, y), NB.fit_rows(NB.PackedRows([NB.pack(r) for r in rows]), y)
+    assert np.array_equal(plain.weight, packed.weight) and np.array_equal(plain.square, packed.square)
+    assert (plain.bias, plain.slope, plain.shift) == (packed.bias, packed.slope, packed.shift)
+
+
+def test_nbsvm_fit_holds_rows_packed(spark, monkeypatch):
+    """What the fit holds in the driver: every chosen row, whole, in the order
+    of its hash, at two bytes a feature; the model is that of the plain rows."""
+    texts = {i: f"{'good' if i % 3 else 'bad'} text {i} " + "of some words " * (i % 7) for i in range(120)}
+    df = spark.createDataFrame([(i, t) for i, t in texts.items()] + [(7, texts[7]), (8, None)], "doc_id bigint, text string")
+    lab = spark.createDataFrame([(i, int(i % 3 > 0)) for i in texts], "doc_id bigint, quality int")
+    seen, fit_rows = [], NB.fit_rows
+    monkeypatch.setattr(NB, "fit_rows", lambda rows, y, c: seen.append((rows, y)) or fit_rows(rows, y, c))
+    for most in (500, 40):
+        model = NB.fit(df, lab, max_train=most)
+        rows, y = seen.pop()
+        want = NB.training_rows(df, lab, F.lit(True), most, "doc_id", "text", "quality").orderBy(F.xxhash64("_id", "_f"), "_id").collect()
+        assert len(rows) == len(want) and (most < 120 or len(want) == 122) and list(y) == [r["_y"] for r in want]
+        plain = [np.frombuffer(r["_f"], np.int32) for r in want]
+        assert all(np.array_equal(a, b) for a, b in zip(rows, plain, strict=True))
+        assert sum(memoryview(p).nbytes for p in rows.packed) == sum(2 * len(p) + 4 * NB.BLOCKS for p in plain)
+        again = fit_rows(plain, np.array(y), 1.0)
+        assert np.array_equal(again.weight, model.weight) and (again.bias, again.slope, again.shift) == (model.bias, model.slope, model.shift)
+
+
 def test_quality_on_held_out_documents(spark):
     """Area under the curve of the held-out fold of sf0.1's labels."""
     sf = "/root/testdata/sf0.1"

@@ -34,6 +34,15 @@ def ship(spark: SparkSession) -> None:
     sc._trafficlens_shipped = True
 
 
+def give_back() -> None:
+    """Give this process's freed memory back to the system."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc
+        pass
+
+
 def giving_back(run):
     """The task function ``run`` (batches to batches), after whose last batch
     the worker gives freed memory back to the system. Workers outlive their
@@ -44,11 +53,7 @@ def giving_back(run):
         try:
             yield from run(batches)
         finally:
-            pa.default_memory_pool().release_unused()
-            try:
-                ctypes.CDLL(None).malloc_trim(0)
-            except (AttributeError, OSError):  # not glibc
-                pass
+            give_back()
 
     return wrapped
 

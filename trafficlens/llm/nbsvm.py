@@ -7,7 +7,8 @@ and a hinge-loss linear model is fitted by dual coordinate descent. A logistic
 curve fitted on held-back margins turns a margin into a probability.
 
 The fit uses at most ``max_train`` labelled rows (those with the smallest hash
-of their id), whose features reach the driver; the model has a fixed number of
+of their id), whose features reach the driver as Arrow batches, two bytes for
+each, and are unpacked a row at a time; the model has a fixed number of
 dimensions. Scoring runs on every whole text, as an Arrow UDF on one column,
 without any shuffle.
 """
@@ -15,7 +16,7 @@ without any shuffle.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from zlib import crc32
 
@@ -25,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, DoubleType
 
-from .common import giving_back, ship, text_or_empty, text_slices
+from .common import give_back, giving_back, ship, text_or_empty, text_slices
 
 HASH_BITS = 18
 # where the indices of 2- and 3-byte grams, words and pairs of words begin
@@ -33,6 +34,8 @@ ORDER2, ORDER3 = 256, 256 + 65536
 WORDS = ORDER3 + (1 << HASH_BITS)
 PAIRS = WORDS + (1 << HASH_BITS)
 DIMS = PAIRS + (1 << HASH_BITS)
+BLOCKS = (DIMS >> 16) + 1  # of 65,536 indices, for packed rows
+_FIRST = np.arange(BLOCKS) << 16
 SLICE = 1 << 20  # bytes of a text that are looked at together
 _SHIFT = np.uint32(32 - HASH_BITS)
 _SPACE = re.compile(rb"\s")
@@ -90,6 +93,47 @@ def features(text: str) -> np.ndarray:
     return found if len(raw) <= SLICE else _distinct(found)
 
 
+def pack(found: np.ndarray) -> bytes:
+    """Sorted indices as the number of them in each block of 65,536, and then
+    their places within the blocks: two bytes for each index."""
+    counts = np.bincount(found >> 16, minlength=BLOCKS).astype(np.uint32)
+    return counts.tobytes() + (found & 0xFFFF).astype(np.uint16).tobytes()
+
+
+def unpack(packed) -> np.ndarray:
+    """The indices from ``pack``; ``packed`` is any buffer."""
+    found = np.repeat(_FIRST, np.frombuffer(packed, np.uint32, BLOCKS))
+    found += np.frombuffer(packed, np.uint16, offset=4 * BLOCKS)
+    return found
+
+
+@dataclass
+class PackedRows(Sequence):
+    """Feature rows that stay packed; one is unpacked each time it is read."""
+
+    packed: Sequence
+
+    def __len__(self) -> int:
+        return len(self.packed)
+
+    def __getitem__(self, i: int) -> np.ndarray:
+        return unpack(self.packed[i])
+
+
+@dataclass
+class SomeRows(Sequence):
+    """Those of ``rows`` at the places ``at``."""
+
+    rows: Sequence[np.ndarray]
+    at: np.ndarray
+
+    def __len__(self) -> int:
+        return len(self.at)
+
+    def __getitem__(self, i: int) -> np.ndarray:
+        return self.rows[self.at[i]]
+
+
 @dataclass
 class NBSVM:
     """``margin = sum(weight[f]) / sqrt(sum(square[f])) + bias`` over a text's
@@ -109,7 +153,7 @@ class NBSVM:
         return float(1.0 / (1.0 + np.exp(-np.clip(self.slope * margin + self.shift, -50, 50))))
 
 
-def log_count_ratios(rows: list[np.ndarray], y: np.ndarray, alpha: float = 1.0) -> np.ndarray:
+def log_count_ratios(rows: Sequence[np.ndarray], y: np.ndarray, alpha: float = 1.0) -> np.ndarray:
     pos, neg = np.full(DIMS, alpha), np.full(DIMS, alpha)
     for found, label in zip(rows, y):
         (pos if label else neg)[found] += 1
@@ -118,7 +162,7 @@ def log_count_ratios(rows: list[np.ndarray], y: np.ndarray, alpha: float = 1.0)
 
 
 def dual_coordinate_descent(
-    rows: list[np.ndarray], y: np.ndarray, ratio: np.ndarray, c: float = 1.0, epochs: int = 15, seed: int = 7, tolerance: float = 1e-3
+    rows: Sequence[np.ndarray], y: np.ndarray, ratio: np.ndarray, c: float = 1.0, epochs: int = 15, seed: int = 7, tolerance: float = 1e-3
 ) -> tuple[np.ndarray, float, np.ndarray]:
     """Minimise ``(|w|^2 + bias^2) / 2 + c * sum(hinge)`` one dual variable at
     a time; returns w, bias and the dual variables. Rows are the scaled
@@ -163,7 +207,7 @@ def logistic_curve(margins: np.ndarray, y: np.ndarray, steps: int = 50) -> tuple
     return float(max(beta[0], 0.0)), float(beta[1])
 
 
-def fit_rows(rows: list[np.ndarray], y: np.ndarray, c: float = 1.0) -> NBSVM:
+def fit_rows(rows: Sequence[np.ndarray], y: np.ndarray, c: float = 1.0) -> NBSVM:
     """Fit on feature rows. With one class (or no row) alone there is nothing
     to separate: every score is the smoothed share of label 1."""
     y = np.asarray(y, np.int64)
@@ -173,8 +217,8 @@ def fit_rows(rows: list[np.ndarray], y: np.ndarray, c: float = 1.0) -> NBSVM:
     fold = np.arange(len(y)) % 5 == 0
     margins, labels = [], []
     if 0 < y[~fold].sum() < (~fold).sum():
-        held = _fit_once([r for r, f in zip(rows, fold) if not f], y[~fold], c)
-        margins, labels = [held.margin(r) for r, f in zip(rows, fold) if f], y[fold]
+        held = _fit_once(SomeRows(rows, np.flatnonzero(~fold)), y[~fold], c)
+        margins, labels = [held.margin(r) for r in SomeRows(rows, np.flatnonzero(fold))], y[fold]
     model = _fit_once(rows, y, c)
     if len(labels) == 0 or labels.min() == labels.max():
         margins, labels = [model.margin(r) for r in rows], y
@@ -182,7 +226,7 @@ def fit_rows(rows: list[np.ndarray], y: np.ndarray, c: float = 1.0) -> NBSVM:
     return model
 
 
-def _fit_once(rows: list[np.ndarray], y: np.ndarray, c: float) -> NBSVM:
+def _fit_once(rows: Sequence[np.ndarray], y: np.ndarray, c: float) -> NBSVM:
     ratio = log_count_ratios(rows, y)
     w, bias, _ = dual_coordinate_descent(rows, y, ratio, c)
     return NBSVM((w * ratio).astype(np.float32), (ratio * ratio).astype(np.float32), bias, 1.0, 0.0)
@@ -214,6 +258,10 @@ def _feature_column(texts: pa.Array) -> pa.Array:
     return pa.array([np.sort(features(t)).astype(np.int32).tobytes() for t in texts.to_pylist()], pa.binary())
 
 
+def _packed_column(found: pa.Array) -> pa.Array:
+    return pa.array([pack(np.frombuffer(f.as_buffer(), np.int32)) for f in found], pa.binary())
+
+
 def fit(
     docs: DataFrame,
     labels: DataFrame,
@@ -230,8 +278,16 @@ def fit(
     ship(docs.sparkSession)
     usable = ~held_out if held_out is not None else F.lit(True)
     rows = training_rows(docs, labels, usable, max_train, id_col, text_col, label_col)
-    rows = rows.orderBy(F.xxhash64("_id", "_f"), "_id").limit(2 * max_train).collect()
-    return fit_rows([np.frombuffer(r["_f"], np.int32) for r in rows], np.array([r["_y"] for r in rows]), c)
+    packed = F.arrow_udf(_packed_column, returnType=BinaryType())
+    rows = rows.select("_id", "_y", F.xxhash64("_id", "_f").alias("_order"), packed("_f").alias("_packed"))
+    # Arrow buffers are read in place, with no Row for each; collect() would hold
+    # the rows several times over, in the driver's JVM and in Python
+    rows = rows.orderBy("_order", "_id").limit(2 * max_train).select("_y", "_packed").toArrow()
+    try:
+        return fit_rows(PackedRows([v.as_buffer() for v in rows["_packed"]]), rows["_y"].to_numpy(), c)
+    finally:
+        del rows
+        give_back()
 
 
 def scorer(df: DataFrame, model: NBSVM):
